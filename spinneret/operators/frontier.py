@@ -209,13 +209,18 @@ def batch_pick(
     """``seq, url, ishub`` of the next batch: due rows in queue order, a quota
     per mode and, with ``limit``, one row per host across both modes.
 
-    One pass over the frontier keeps the first due hub and page of every host.
-    The mode whose quota is filled earlier by hosts' first rows takes those
-    rows; the other mode then chooses among the hosts that are left. Beyond
-    the per-host aggregate only top-k lists of at most ``count`` rows are read.
+    One hash aggregate keeps the queue position of every host's first due hub
+    and first due page. The mode whose quota is filled earlier by hosts' first
+    rows takes those rows; the other mode then chooses among the hosts that are
+    left. Beyond that aggregate only top-k lists of at most ``count`` positions
+    are read, and the batch fetches its URLs with one scan.
     """
     hub_quota, url_quota = quotas(count, hub_percent)
     due = due_filter(frontier, now, hub_span, url_span)
+
+    def small(picked):
+        return F.broadcast(picked) if count <= BROADCAST_ROWS else picked
+
     if not limit:
         def front(mode, quota):
             return due.where(F.col("mode") == mode).select("seq", "url").orderBy("seq").limit(quota)
@@ -223,12 +228,15 @@ def batch_pick(
         return union_tagged(front("hub", hub_quota), front("url", url_quota))
 
     def first_of(mode):
-        return F.min(F.when(F.col("mode") == mode, F.struct("seq", "url")))
+        return F.min(F.when(F.col("mode") == mode, F.col("seq")))
 
+    # The filter drops nothing; it makes every branch below read both columns,
+    # so that all of them share one exchange.
     hosts = (
         due.withColumn("host", netloc(F.col("url")))
         .groupBy("host")
         .agg(first_of("hub").alias("hub"), first_of("url").alias("page"))
+        .where(F.coalesce("hub", "page").isNotNull())
     )
 
     def earliest(mode, rows, only_leading):
@@ -237,46 +245,39 @@ def batch_pick(
         keep = leads if only_leading else F.lit(True)
         return (
             hosts.where(F.col(mode).isNotNull() & keep)
-            .orderBy(f"{mode}.seq")
+            .select("host", F.col(mode).alias("seq"))
+            .orderBy("seq")
             .limit(rows)
         )
 
     leading_hubs = earliest("hub", hub_quota, True)
     leading_pages = earliest("page", url_quota, True)
 
-    def filled_at(leading, mode, quota):
+    def filled_at(leading, quota):
         """Queue position that fills the quota; none if it stays open."""
         if quota == 0:
             return F.lit(-1).cast("bigint")
         full = F.count(F.lit(1)) == quota
-        last = F.when(full, F.max(f"{mode}.seq")).otherwise(F.lit(2**63 - 1))
-        return leading.agg(last).scalar()
+        return leading.agg(F.when(full, F.max("seq")).otherwise(F.lit(2**63 - 1))).scalar()
 
-    hubs_first = filled_at(leading_hubs, "hub", hub_quota) <= filled_at(
-        leading_pages, "page", url_quota
-    )
+    hubs_first = filled_at(leading_hubs, hub_quota) <= filled_at(leading_pages, url_quota)
 
     def among_free(mode, quota, taken):
         # At most len(taken) of the candidates fall away, so `count` suffice.
-        taken_hosts = taken.select("host")
-        if count <= BROADCAST_ROWS:
-            taken_hosts = F.broadcast(taken_hosts)
         return (
             earliest(mode, count, False)
-            .join(taken_hosts, "host", "left_anti")
-            .orderBy(f"{mode}.seq")
+            .join(small(taken.select("host")), "host", "left_anti")
+            .orderBy("seq")
             .limit(quota)
         )
 
-    def rows(picked, mode):
-        return picked.select(f"{mode}.seq", f"{mode}.url")
-
     def batch(hubs, pages):
-        return union_tagged(rows(hubs, "hub"), rows(pages, "page"))
+        return union_tagged(hubs.select("seq"), pages.select("seq"))
 
     from_hubs = batch(leading_hubs, among_free("page", url_quota, leading_hubs))
     from_pages = batch(among_free("hub", hub_quota, leading_pages), leading_pages)
-    return from_hubs.where(hubs_first).unionByName(from_pages.where(~hubs_first))
+    picked = from_hubs.where(hubs_first).unionByName(from_pages.where(~hubs_first))
+    return frontier.select("seq", "url").join(small(picked), "seq")
 
 
 def mark_pended(frontier: DataFrame, picked: DataFrame, now: float) -> DataFrame:
