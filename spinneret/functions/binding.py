@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body(value)`` with ``value`` computed once, however often it is used.
 
-    Works inside higher-order functions too, where ``withColumn`` cannot.
+    Higher-order functions are interpreted, so this is for rarer branches.
     """
     return F.transform(F.array(value), body).getItem(0)
 

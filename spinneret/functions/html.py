@@ -4,7 +4,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spinneret.functions.binding import let
-from spinneret.functions.urls import canonical_url, resolve_against, split_url
+from spinneret.functions.urls import base_parts, canonical_url, resolve_against
 
 # The anchor pattern (case-insensitive, dot matches newline) and
 # the characters a text strip removes.
@@ -37,13 +37,12 @@ def page_link_set(url: Column, html: Column) -> Column:
     The set is built inside the row, so a page graph needs no shuffle.
     """
     def absolute(parts):
-        links = F.transform(
-            clean_links(anchor_hrefs(html)),
-            lambda link: let(resolve_against(url, parts, link), canonical_url),
-        )
-        return F.array_distinct(F.filter(links, lambda link: link != ""))
+        hrefs = clean_links(F.array_distinct(anchor_hrefs(html)))
+        links = F.transform(hrefs, lambda link: resolve_against(url, parts, link))
+        canonical = F.transform(links, canonical_url)
+        return F.array_distinct(F.filter(canonical, lambda link: link != ""))
 
-    return let(split_url(url), absolute)
+    return let(base_parts(url), absolute)
 
 
 def match_pairs(

@@ -1,7 +1,9 @@
-"""URL columns: authority, canonical form, relative resolution.
+"""URLs: authority, canonical form, relative resolution.
 
-The expressions follow the generic URL syntax the way the standard library's
-``urllib.parse`` reads it, which the tests use as the yardstick.
+Every function maps Columns to a Column. Rewrites are chains in which each step
+uses its input once, so expressions stay small when the optimizer moves them.
+Parts are read the way the standard library's ``urllib.parse`` reads them, which
+the tests use as the yardstick.
 """
 
 from pyspark.sql import Column
@@ -20,11 +22,28 @@ BINARY_SUFFIXES = (
 STATIC_PAGE_MARKERS = (".html?", ".htm?", ".shtml?", ".shtm?")
 TRACKING_KEY_PREFIXES = ("spm", "utm_")
 
-WEB_SCHEMES = ("http", "https")
-SCHEME_PATTERN = r"^([a-zA-Z][a-zA-Z0-9+.\-]*):"
-NETLOC_PATTERN = r"^(?:[a-zA-Z][a-zA-Z0-9+.\-]*:)?//([^/?#]*)"
+SCHEME = r"[a-zA-Z][a-zA-Z0-9+.\-]*:"
+NETLOC_PATTERN = rf"^(?:{SCHEME})?//([^/?#]*)"
 LEADING_CONTROLS = "".join(map(chr, range(0x21)))
 
+# Only web URLs have ``;`` parameters, in the last path segment.
+WEB_START = rf"(?:(?i:https?):|(?!{SCHEME}))"
+NO_PATH = r"//[^/?#]*(?:[?#]|\z)"
+EMPTY_PARAMS = rf"^({WEB_START}(?!{NO_PATH})(?:[^?#]*/)?[^/;?#]*);(?=[?#]|\z)"
+BINARY_PATH = (
+    rf"(?i)^(?:{WEB_START}(?://[^/?]*+)?+(?:(?:[^?]*/)?[^/?;]*\.|(?<=:))"
+    rf"(?:{'|'.join(BINARY_SUFFIXES)})(?:;[^/?]*)?"
+    rf"|(?!https?:){SCHEME}(?://[^/?]*+)?+(?:[^?]*\.|(?<=:))(?:{'|'.join(BINARY_SUFFIXES)}))(?:\?|\z)"
+)
+UNWANTED_PART = rf"&(?:(?:{'|'.join(TRACKING_KEY_PREFIXES)})[^&]*|[^&=]*)(?=&|\z)"
+
+MIXED_SCHEME = r"^[a-z0-9+.\-]*[A-Z][a-zA-Z0-9+.\-]*:"
+
+# URLs without anything to rewrite, and links that only need the site in front.
+PLAIN_URL = r"^https?://[^/?#;\t\r\n]+(?:/[^?#;\t\r\n]*)?\z"
+PLAIN_PAGE = r"^https?://[^/?#;\t\r\n]+/[^?#;\t\r\n]*\z"
+PLAIN_ROOTED = r"^(?:/(?![/.])[^/?#;\t\r\n]*)+\z"
+
 
 def netloc(url: Column) -> Column:
     """Authority with port and user info; empty when there is none."""
@@ -54,150 +73,81 @@ def url_key(url: Column) -> Column:
     return F.sha2(url, 256)
 
 
-def _from(text: Column, start: Column) -> Column:
-    return F.substring(text, start, F.length(text))
-
-
-def _beyond(text: Column, head: Column) -> Column:
-    """What follows ``head`` and the one delimiter after it."""
-    return _from(text, F.length(head) + 2)
-
+def http_only(url: Column) -> Column:
+    return url.startswith("http")
 
-def split_url(url: Column, default_scheme: Column | None = None) -> Column:
-    """STRUCT<scheme, netloc, path, params, query, fragment>, all non-null.
 
-    ``params`` is the ``;`` part of the last path segment and is cut for web
-    schemes (and scheme-less text) only.
-    """
-    inherited = F.lit("") if default_scheme is None else default_scheme
-    cleaned = F.translate(F.ltrim(url, F.lit(LEADING_CONTROLS)), "\t\r\n", "")
+def has_static_marker(url: Column) -> Column:
+    found = F.lit(False)
+    for marker in STATIC_PAGE_MARKERS:
+        found = found | url.contains(marker)
+    return found
 
-    def cut_tail(text):
-        body = F.substring_index(text, "#", 1)
-        head = F.substring_index(body, "?", 1)
-        return record(head=head, query=_beyond(body, head), fragment=_beyond(text, body))
 
-    def cut_scheme(u):
-        scheme = F.regexp_extract(u.head, SCHEME_PATTERN, 1)
-        rest = F.when(scheme == "", u.head).otherwise(_beyond(u.head, scheme))
-        return record(
-            scheme=F.when(scheme == "", inherited).otherwise(F.lower(scheme)),
-            rest=rest, query=u.query, fragment=u.fragment,
-        )
-
-    def cut_netloc(u):
-        rooted = u.rest.startswith("//")
-        host = F.when(
-            rooted, F.substring_index(_from(u.rest, F.lit(3)), "/", 1)
-        ).otherwise("")
-        path = F.when(rooted, _from(u.rest, F.length(host) + 3)).otherwise(u.rest)
-        return record(
-            scheme=u.scheme, netloc=host, path=path, query=u.query, fragment=u.fragment
-        )
+def static_page_trim(url: Column) -> Column:
+    """Cut at the first ``?`` when a static-page marker occurs anywhere."""
+    return F.when(has_static_marker(url), F.substring_index(url, "?", 1)).otherwise(url)
 
-    def cut_params(u):
-        last = F.substring_index(u.path, "/", -1)
-        has_params = last.contains(";") & u.scheme.isin("", *WEB_SCHEMES)
-        params = _beyond(last, F.substring_index(last, ";", 1))
-        return record(
-            scheme=u.scheme,
-            netloc=u.netloc,
-            path=F.when(
-                has_params,
-                F.substring(u.path, F.lit(1), F.length(u.path) - F.length(params) - 1),
-            ).otherwise(u.path),
-            params=F.when(has_params, params).otherwise(""),
-            query=u.query,
-            fragment=u.fragment,
-        )
 
-    return let(
-        cleaned,
-        lambda text: let(
-            cut_tail(text),
-            lambda a: let(
-                cut_scheme(a), lambda b: let(cut_netloc(b), cut_params)
-            ),
-        ),
-    )
+def _without_controls(url: Column) -> Column:
+    return F.translate(F.ltrim(url, F.lit(LEADING_CONTROLS)), "\t\r\n", "")
 
 
-def _lead(text: Column, delimiter: str) -> Column:
-    return F.when(text == "", "").otherwise(F.concat(F.lit(delimiter), text))
+def _without_fragment(url: Column) -> Column:
+    return F.substring_index(_without_controls(url), "#", 1)
 
 
-def join_url(
-    scheme: Column, host: Column, path: Column, params: Column, query: Column, fragment: Column
-) -> Column:
-    """The inverse of ``split_url``; empty parts take their delimiter with them."""
-    def hierarchical(p):
-        no_slash = (p != "") & ~p.startswith("/")
-        rooted = (p == "") | p.startswith("/")
-        return (
-            F.when(host != "", F.concat(F.lit("//"), host, F.when(no_slash, "/").otherwise(""), p))
-            .when(p.startswith("//"), F.concat(F.lit("//"), p))
-            .when(scheme.isin(*WEB_SCHEMES) & rooted, F.concat(F.lit("//"), p))
-            .otherwise(p)
-        )
+def _from(text: Column, start: Column) -> Column:
+    return F.substring(text, start, F.length(text))
 
-    return F.concat(
-        F.when(scheme == "", "").otherwise(F.concat(scheme, F.lit(":"))),
-        let(F.concat(path, _lead(params, ";")), hierarchical),
-        _lead(query, "?"),
-        _lead(fragment, "#"),
-    )
 
+def _lower_scheme(url: Column) -> Column:
+    def lowered(u):
+        scheme = F.substring_index(u, ":", 1)
+        return F.when(
+            u.rlike(MIXED_SCHEME), F.concat(F.lower(scheme), _from(u, F.length(scheme) + 1))
+        ).otherwise(u)
 
-def http_only(url: Column) -> Column:
-    return url.startswith("http")
+    return let(url, lowered)
 
 
-def has_static_marker(url: Column) -> Column:
-    found = F.lit(False)
-    for marker in STATIC_PAGE_MARKERS:
-        found = found | url.contains(marker)
-    return found
+def _without_empty_params(url: Column) -> Column:
+    return F.when(url.contains(";"), F.regexp_replace(url, EMPTY_PARAMS, "$1")).otherwise(url)
 
 
-def static_page_trim(url: Column) -> Column:
-    """Cut at the first ``?`` when a static-page marker occurs anywhere."""
-    return F.when(has_static_marker(url), F.substring_index(url, "?", 1)).otherwise(url)
+def _has_binary_path(url: Column) -> Column:
+    """For a URL without fragment."""
+    return url.rlike(BINARY_PATH)
 
 
-def is_binary_path(path: Column) -> Column:
-    return F.lower(F.substring_index(path, ".", -1)).isin(*BINARY_SUFFIXES)
+def _wanted_query(url: Column) -> Column:
+    """Query with its ``?``, without tracking and valueless parts, or nothing."""
+    parts = F.regexp_replace(url, r"^[^?]*\?", "&")
+    kept = F.regexp_replace(parts, UNWANTED_PART, "")
+    return F.when(url.contains("?"), F.regexp_replace(kept, "^&", "?")).otherwise("")
 
 
 def drop_binary(url: Column) -> Column:
     """The URL, or an empty string when its path has a binary suffix."""
-    return let(split_url(url), lambda u: F.when(is_binary_path(u.path), "").otherwise(url))
+    return F.when(_has_binary_path(_without_fragment(url)), "").otherwise(url)
 
 
-def clean_query(query: Column) -> Column:
+def strip_tracking(url: Column) -> Column:
     """Drop tracking parameters and parts without ``=``; keep the order."""
-    def wanted(part):
-        keep = part.contains("=")
-        for prefix in TRACKING_KEY_PREFIXES:
-            keep = keep & ~part.startswith(prefix)
-        return keep
-
-    return F.when(query == "", "").otherwise(
-        F.concat_ws("&", F.filter(F.split(query, "&"), wanted))
-    )
-
+    def stripped(text):
+        body = F.substring_index(text, "#", 1)
+        return F.concat(
+            let(F.substring_index(body, "?", 1), _without_empty_params),
+            _wanted_query(body),
+            F.regexp_replace(_from(text, F.length(body) + 1), r"^#\z", ""),
+        )
 
-def strip_tracking(url: Column) -> Column:
-    return let(
-        split_url(url),
-        lambda u: join_url(u.scheme, u.netloc, u.path, u.params, clean_query(u.query), u.fragment),
-    )
+    return let(_lower_scheme(_without_controls(url)), stripped)
 
 
 def drop_fragment(url: Column) -> Column:
-    return let(
-        split_url(url),
-        lambda u: join_url(u.scheme, u.netloc, u.path, u.params, u.query, F.lit("")),
-    )
+    spelled = let(_lower_scheme(_without_fragment(url)), _without_empty_params)
+    return F.regexp_replace(spelled, r"^([^?]*)\?\z", "$1")
 
 
 def canonical_url(url: Column) -> Column:
@@ -205,22 +155,50 @@ def canonical_url(url: Column) -> Column:
 
     Not HTTP -> rejected; static pages lose their query; binary suffixes are
     rejected; tracking parameters and the fragment go; an empty path is ``/``.
+    Plain URLs, the common case, only have their suffix looked at.
     """
-    def rebuilt(u):
-        path = F.when(u.path == "", "/").otherwise(u.path)
-        return F.when(is_binary_path(u.path), "").otherwise(
-            join_url(u.scheme, u.netloc, path, u.params, clean_query(u.query), F.lit(""))
-        )
-
+    suffix = F.lower(F.substring_index(url, ".", -1))
     return (
-        F.when(~http_only(url), "")
+        F.when(url.rlike(PLAIN_PAGE), F.when(suffix.isin(*BINARY_SUFFIXES), "").otherwise(url))
+        .when(~http_only(url), "")
         .when(has_static_marker(url), F.substring_index(url, "?", 1))
-        .when(url.isNotNull(), let(split_url(url), rebuilt))
+        .when(url.isNotNull(), let(_lower_scheme(_without_fragment(url)), _canonical_body))
+    )
+
+
+def _canonical_body(body: Column) -> Column:
+    head = F.substring_index(body, "?", 1)
+    usual = F.regexp_replace(head, rf"^({SCHEME}//[^/]*)\z", "$1/")
+    # Without an authority only web schemes keep their two slashes.
+    bare = F.regexp_replace(head, rf"^((?!https?:){SCHEME})//(?=/(?!/)|\z)", "$1")
+    slashed = F.regexp_replace(bare, r"^(https?:)(?=/(?!/)|;[^/]*\z|\z)", "$1//")
+    odd = F.regexp_replace(slashed, rf"^(https?://(?=;[^/]*\z)|{SCHEME}(?://)?(?=\z))", "$1/")
+    with_path = F.when(body.rlike(f"^{SCHEME}//[^/?]"), usual).otherwise(odd)
+    return F.when(_has_binary_path(body), "").otherwise(
+        F.concat(let(with_path, _without_empty_params), _wanted_query(body))
+    )
+
+
+def base_parts(base: Column) -> Column:
+    """What resolution needs of a page URL: STRUCT<scheme, site, path, query>.
+
+    ``path`` keeps its parameters, ``query`` its question mark.
+    """
+    text = _without_controls(base)
+    path = F.regexp_extract(text, rf"^(?:{SCHEME})?(?://[^/?#]*)?([^?#]*)", 1)
+    scheme = F.lower(F.regexp_extract(text, rf"^({SCHEME})", 1))
+    return record(
+        scheme=scheme,
+        site=F.concat(scheme, F.lit("//"), netloc(text)),
+        path=F.regexp_replace(path, r"^((?:.*/)?[^/;]*);\z", "$1"),
+        query=F.regexp_extract(text, r"^[^?#]*(\?[^#]+)", 1),
     )
 
 
 def _drop_dot_segments(path: Column) -> Column:
-    """Collapse ``.`` and ``..``; a trailing one leaves a directory slash."""
+    """Collapse ``.`` and ``..`` of a rooted path; it stays rooted."""
+    none = F.array().cast("array<string>")
+
     def step(kept, segment):
         return (
             F.when(segment == "..", F.slice(kept, F.lit(1), F.greatest(F.size(kept) - 1, F.lit(0))))
@@ -229,81 +207,89 @@ def _drop_dot_segments(path: Column) -> Column:
         )
 
     def collapse(segments):
-        kept = F.aggregate(segments, F.array().cast("array<string>"), step)
-        tail = F.when(
-            F.element_at(segments, -1).isin(".", ".."), F.array(F.lit(""))
-        ).otherwise(F.array().cast("array<string>"))
-        return F.concat_ws("/", F.concat(kept, tail))
+        ends_in_dots = F.element_at(segments, -1).isin(".", "..")
+        tail = F.when(ends_in_dots, F.array(F.lit(""))).otherwise(none)
+        joined = F.concat_ws("/", F.concat(F.aggregate(segments, none, step), tail))
+        return F.regexp_replace(joined, "^(?!/)", "/")
 
-    collapsed = let(F.split(path, "/"), collapse)
-    return F.when(path.contains("."), collapsed).otherwise(path)
+    dotted = path.rlike(r"/\.\.?(?:/|\z)")
+    return F.when(dotted, let(F.split(path, "/"), collapse)).otherwise(path)
 
 
 def _below(base_path: Column, path: Column) -> Column:
-    """A relative path placed in the directory of the base path."""
-    def without_inner_blanks(segments):
-        inner = F.slice(segments, F.lit(2), F.greatest(F.size(segments) - 2, F.lit(0)))
-        return F.when(F.size(segments) < 2, F.concat_ws("/", segments)).otherwise(
-            F.concat_ws(
-                "/",
-                F.concat(
-                    F.slice(segments, 1, 1),
-                    F.filter(inner, lambda s: s != ""),
-                    F.slice(segments, -1, 1),
-                ),
-            )
-        )
+    """A relative path in the directory of the base path.
 
-    def directory(parts):
-        return F.when(F.element_at(parts, -1) == "", parts).otherwise(
-            F.slice(parts, F.lit(1), F.size(parts) - 1)
-        )
+    Blank segments vanish, except the first and the last.
+    """
+    file_name = F.length(F.substring_index(base_path, "/", -1))
+    # The parameters of the base belong to its file name.
+    directory = F.substring(base_path, F.lit(1), F.length(base_path) - file_name)
+    joined = F.concat(F.when(base_path == "", "/").otherwise(directory), path)
+    return F.regexp_replace(joined, "/{2,}", "/")
 
-    return let(
-        F.concat(let(F.split(base_path, "/"), directory), F.split(path, "/")),
-        without_inner_blanks,
-    )
 
+def resolve_against(base: Column, parts: Column, link: Column) -> Column:
+    """``link`` made absolute; ``parts`` is ``base_parts(base)``.
 
-def resolve_against(base: Column, base_parts: Column, link: Column) -> Column:
-    """``link`` made absolute; ``base_parts`` is ``split_url(base)``."""
-    def place(u):
-        # A link with an authority stands alone; an empty path means the page
-        # itself; anything else is put under the page's directory or root.
-        alone = u.netloc != ""
-        same_page = (u.path == "") & (u.params == "")
-        path = (
-            F.when(alone, u.path)
-            .when(same_page, base_parts.path)
-            .when(u.path.startswith("/"), _drop_dot_segments(u.path))
-            .otherwise(let(_below(base_parts.path, u.path), _drop_dot_segments))
+    A base that is no web URL, and a link with another scheme, leave the link
+    as it is.
+    """
+    def cut(reference):
+        head = F.regexp_extract(reference, r"^[^?#]*", 0)
+        tail = F.regexp_replace(_from(reference, F.length(head) + 1), r"^\?(?=#|\z)", "")
+        return record(
+            alone=reference.rlike("^//[^/?#]"),
+            head=F.regexp_replace(head, r"^//(?=/|\z)", ""),
+            tail=F.regexp_replace(tail, r"^([^#]*)#\z", "$1"),
         )
+
+    def cut_params(r):
+        pattern = r"(?s)^((?:.*/)?[^/;]*)(;.*)?\z"
         return record(
-            netloc=F.when(alone, u.netloc).otherwise(base_parts.netloc),
-            path=path,
-            rootless=~alone & ~same_page,
-            params=F.when(same_page & ~alone, base_parts.params).otherwise(u.params),
-            query=F.when(same_page & ~alone & (u.query == ""), base_parts.query).otherwise(u.query),
+            alone=r.alone,
+            head=r.head,
+            path=F.regexp_extract(r.head, pattern, 1),
+            params=F.regexp_replace(F.regexp_extract(r.head, pattern, 2), r"^;\z", ""),
+            tail=r.tail,
         )
 
-    def spell(u, t):
-        path = F.when(t.rootless & (t.path == ""), "/").otherwise(t.path)
-        return join_url(u.scheme, t.netloc, path, t.params, t.query, u.fragment)
+    def place(r):
+        own_query = r.tail.startswith("?")
+        here = F.concat(
+            parts.site, parts.path, F.when(own_query, "").otherwise(parts.query), r.tail
+        )
+        path = F.when(r.path.startswith("/"), _drop_dot_segments(r.path)).otherwise(
+            let(_below(parts.path, r.path), _drop_dot_segments)
+        )
+        return (
+            F.when(r.alone, F.concat(parts.scheme, _without_empty_params(r.head), r.tail))
+            .when((r.path == "") & (r.params == ""), here)
+            .otherwise(F.concat(parts.site, path, r.params, r.tail))
+        )
 
-    def resolved(u):
-        foreign = (u.scheme != base_parts.scheme) | ~u.scheme.isin(*WEB_SCHEMES)
-        return F.when(foreign, link).otherwise(let(place(u), lambda t: spell(u, t)))
+    def unless_foreign(u):
+        foreign = (u.scheme != "") & (u.scheme != parts.scheme)
+        reference = _from(u.text, F.length(u.scheme) + 1)
+        placed = let(reference, lambda text: let(cut(text), lambda r: let(cut_params(r), place)))
+        return F.when(foreign, link).otherwise(placed)
+
+    def with_scheme(text):
+        scheme = F.lower(F.regexp_extract(text, rf"^({SCHEME})", 1))
+        return let(record(text=text, scheme=scheme), unless_foreign)
 
     return (
         F.when(base == "", link)
         .when(link == "", base)
-        .when(
-            base.isNotNull() & link.isNotNull(),
-            let(split_url(link, base_parts.scheme), resolved),
-        )
+        .when(~parts.scheme.isin("http:", "https:"), link)
+        .when(link.rlike(PLAIN_ROOTED), F.concat(parts.site, link))
+        .when(link.rlike(PLAIN_URL), link)
+        .when(base.isNotNull() & link.isNotNull(), let(_without_controls(link), with_scheme))
     )
 
 
 def resolve_link(base: Column, link: Column) -> Column:
-    """Resolve one link against the URL its page was served from."""
-    return let(split_url(base), lambda parts: resolve_against(base, parts, link))
+    """Resolve one link against the URL its page was served from.
+
+    The base is a page URL, so it has an authority.
+    """
+    return let(base_parts(base), lambda parts: resolve_against(base, parts, link))

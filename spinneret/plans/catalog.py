@@ -71,12 +71,15 @@ def valid_host(spark, sf_dir):
     return pages.where(ux.valid_host(F.col("url")))
 
 
-def variant_query(name, column, sql):
+def variant_query(name, function, sql, web_only=False):
+    """A URL rule over all variants. Rules that follow the HTTP test in the
+    canonical form see web URLs only."""
     @query(name, sql)
     def run(spark, sf_dir):
-        return fx.url_variants(spark, sf_dir).select(
-            "page_id", "variant", column(F.col("url")).alias("out")
-        )
+        variants = fx.url_variants(spark, sf_dir)
+        if web_only:
+            variants = variants.where(ux.http_only(F.col("url")))
+        return variants.select("page_id", "variant", function(F.col("url")).alias("out"))
 
 
 VARIANT_CANON = f"WITH {fx.VARIANTS_SQL}, {fx.canonical_sql('variants', 'url', 'page_id, variant')}"
@@ -85,6 +88,9 @@ RAW_PARAMS = "CASE WHEN params = ';' THEN '' ELSE params END"
 RAW_QUERY = "CASE WHEN query = '' THEN '' ELSE '?' || query END"
 FRAGMENT = "CASE WHEN length(u) > length(body) + 1 THEN substr(u, length(body) + 1) ELSE '' END"
 
+WEB_VARIANTS = "FROM canon_cut4 WHERE starts_with(u, 'http')"
+SUFFIX_LIST = ", ".join(f"'{s}'" for s in ux.BINARY_SUFFIXES)
+
 variant_query("canonical_url", ux.canonical_url, f"{PARTS}, canonical AS out FROM canon")
 variant_query("http_only", ux.http_only,
               f"WITH {fx.VARIANTS_SQL} SELECT page_id, variant, starts_with(url, 'http') AS out "
@@ -93,24 +99,15 @@ variant_query("static_page_trim", ux.static_page_trim,
               f"WITH {fx.VARIANTS_SQL} SELECT page_id, variant, CASE WHEN "
               "regexp_matches(url, '\\.s?html?\\?') THEN split_part(url, '?', 1) ELSE url END "
               "AS out FROM variants")
-
-
-def web_only(column):
-    """Rules that follow the HTTP test see no foreign schemes."""
-    return lambda url: F.when(ux.http_only(url), column(url)).otherwise("")
-
-
-SUFFIX_LIST = ", ".join(f"'{s}'" for s in ux.BINARY_SUFFIXES)
-variant_query("drop_binary", web_only(ux.drop_binary),
-              f"{PARTS}, CASE WHEN NOT starts_with(u, 'http') OR lower(regexp_extract(path, "
-              f"'[^.]*$')) IN ({SUFFIX_LIST}) THEN '' ELSE u END AS out FROM canon_cut4")
-variant_query("strip_tracking", web_only(ux.strip_tracking),
-              f"{PARTS}, CASE WHEN starts_with(u, 'http') THEN site || path || {RAW_PARAMS} || "
-              "CASE WHEN kept = '' THEN '' ELSE '?' || kept END || "
-              f"{FRAGMENT} ELSE '' END AS out FROM canon_cut4")
-variant_query("drop_fragment", web_only(ux.drop_fragment),
-              f"{PARTS}, CASE WHEN starts_with(u, 'http') THEN site || path || {RAW_PARAMS} || "
-              f"{RAW_QUERY} ELSE '' END AS out FROM canon_cut4")
+variant_query("drop_binary", ux.drop_binary,
+              f"{PARTS}, CASE WHEN lower(regexp_extract(path, '[^.]*$')) IN ({SUFFIX_LIST}) "
+              f"THEN '' ELSE u END AS out {WEB_VARIANTS}", web_only=True)
+variant_query("strip_tracking", ux.strip_tracking,
+              f"{PARTS}, site || path || {RAW_PARAMS} || CASE WHEN kept = '' THEN '' "
+              f"ELSE '?' || kept END || {FRAGMENT} AS out {WEB_VARIANTS}", web_only=True)
+variant_query("drop_fragment", ux.drop_fragment,
+              f"{PARTS}, site || path || {RAW_PARAMS} || {RAW_QUERY} AS out {WEB_VARIANTS}",
+              web_only=True)
 
 
 @query("resolve_link", f"""
@@ -257,13 +254,12 @@ def redirect_fold(spark, sf_dir):
     WHERE mode = 'hub' OR url NOT IN (SELECT url FROM pages)""")
 def unseen_urls(spark, sf_dir):
     """Links and canonical page URLs against all stored page URLs."""
-    pages = table(spark, sf_dir, "pages")
     mode = F.when(F.col("page_id") % 5 == 0, "hub").otherwise("url").alias("mode")
     found = rank.union_all(
         fx.links(spark, sf_dir).select(F.col("link").alias("url"), mode),
-        pages.select(ux.canonical_url(F.col("url")).alias("url"), mode),
+        fx.served_pages(spark, sf_dir).select(F.col("canonical").alias("url"), mode),
     )
-    return fr.unseen_urls(found, pages)
+    return fr.unseen_urls(found, table(spark, sf_dir, "pages"))
 
 
 CANDIDATES_SQL = f"""{fx.LINKS_SQL}, {fx.canonical_sql('pages', 'url', 'page_id', 'served')},
@@ -276,9 +272,7 @@ def candidates(spark, sf_dir):
     page = F.col("page_id")
     return rank.union_all(
         fx.links(spark, sf_dir).select(F.col("link").alias("url"), page.alias("rank")),
-        table(spark, sf_dir, "pages").select(
-            ux.canonical_url(F.col("url")).alias("url"), page.alias("rank")
-        ),
+        fx.served_pages(spark, sf_dir).select(F.col("canonical").alias("url"), page.alias("rank")),
     )
 
 
@@ -470,8 +464,9 @@ SERVED = fx.canonical_sql("pages", "url", "page_id, html", "served")
 
 def incoming_pages(spark, sf_dir):
     """Every page again, under its canonical URL and with a changed body."""
-    return table(spark, sf_dir, "pages").select(
-        ux.canonical_url(F.col("url")).alias("url"), F.concat("html", F.lit("<!-- again -->")).alias("html"), "page_id"
+    body = F.concat("html", F.lit("<!-- again -->"))
+    return fx.served_pages(spark, sf_dir).select(
+        F.col("canonical").alias("url"), body.alias("html"), "page_id"
     )
 
 
@@ -1072,9 +1067,11 @@ def stream_hub_refresh(spark, sf_dir):
     fx.hosts(spark, sf_dir).select(F.concat(F.lit("http://"), "host", F.lit("/")).alias("url")).write.parquet(
         f"{root}/hubs"
     )
-    links = lk.page_links(stream(spark, sf_dir, "pages"), ["page_id"])
+    pages = stream(spark, sf_dir, "pages")
     streams.drain(
-        streams.on_site_stream(links, f"{root}/hubs", f"{root}/out", f"{root}/checkpoint")
+        streams.on_site_stream(
+            pages, ["page_id"], f"{root}/hubs", f"{root}/out", f"{root}/checkpoint"
+        )
     )
     return spark.read.schema("page_id bigint, link string").parquet(f"{root}/out").select(
         "page_id", "link"

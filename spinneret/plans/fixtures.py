@@ -3,8 +3,8 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spinneret.functions.html import page_link_set
 from spinneret.functions.urls import BINARY_SUFFIXES, canonical_url, netloc
+from spinneret.operators.links import page_links
 
 NOW, SPAN, THRESHOLD = 20, 10, 3
 HUB_PAGES = 3
@@ -98,10 +98,7 @@ HUBS_SQL = f"""
 
 
 def links(spark: SparkSession, sf_dir: str) -> DataFrame:
-    pages = table(spark, sf_dir, "pages")
-    return pages.select(
-        "page_id", F.explode(page_link_set(F.col("url"), F.col("html"))).alias("link")
-    )
+    return page_links(table(spark, sf_dir, "pages"), ["page_id"])
 
 
 def hosts(spark: SparkSession, sf_dir: str, at_least: int = HUB_PAGES) -> DataFrame:
@@ -168,15 +165,20 @@ ATTEMPTS_SQL = """
         ts, event_id AS id FROM events)"""
 
 
+def served_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages with the canonical form of their URL."""
+    return table(spark, sf_dir, "pages").withColumn("canonical", canonical_url(F.col("url")))
+
+
 def fetches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page as one fetch, redirected to its canonical URL."""
     page = F.col("page_id")
-    return table(spark, sf_dir, "pages").select(
+    return served_pages(spark, sf_dir).select(
         page.alias("id"),
         "url",
         F.when(page % 7 == 0, 404).when(page % 11 == 0, 0).otherwise(200).alias("status"),
         F.col("html").alias("body"),
-        canonical_url(F.col("url")).alias("redirected_url"),
+        F.col("canonical").alias("redirected_url"),
         page.alias("ts"),
         F.when(page % 5 == 0, 1).otherwise(0).alias("ishub"),
     )

@@ -14,7 +14,7 @@ from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from spinneret.operators.frontier import FAILED, SUCCESS, WAITING
-from spinneret.operators.links import hub_hosts, on_site_links
+from spinneret.operators.links import hub_hosts, on_site_links, page_links
 from spinneret.operators.segments import crawl_rate
 from spinneret.operators.store import upsert_pages
 from spinneret.sources.tables import merge_into_store
@@ -147,10 +147,14 @@ def upsert_stream(pages: DataFrame, root: str, order: list[str], checkpoint: str
     return pages.writeStream.option("checkpointLocation", checkpoint).foreachBatch(merge)
 
 
-def on_site_stream(links: DataFrame, hubs_path: str, path: str, checkpoint: str):
-    """On-site links by a hub table that every micro-batch reads afresh."""
+def on_site_stream(pages: DataFrame, keys: list[str], hubs_path: str, path: str, checkpoint: str):
+    """On-site links of ``url, html`` by a hub table each micro-batch reads afresh.
+
+    Links are made distinct within the micro-batch, so no state grows.
+    """
     def keep(batch: DataFrame, number: int) -> None:
         hosts = hub_hosts(batch.sparkSession.read.parquet(hubs_path))
-        on_site_links(batch, hosts).write.mode("overwrite").parquet(f"{path}/batch={number}")
+        links = on_site_links(page_links(batch, keys), hosts)
+        links.write.mode("overwrite").parquet(f"{path}/batch={number}")
 
-    return links.writeStream.option("checkpointLocation", checkpoint).foreachBatch(keep)
+    return pages.writeStream.option("checkpointLocation", checkpoint).foreachBatch(keep)

@@ -32,51 +32,79 @@ CANONICAL = [
 ]
 
 
-def applied(spark, rows, names, column):
+def applied(spark, rows, names, function):
     df = spark.createDataFrame(
         [(i, *row) for i, row in enumerate(rows)],
         "i int, " + ", ".join(f"{n} string" for n in names),
     )
-    return [r["out"] for r in df.select("i", column.alias("out")).orderBy("i").collect()]
+    out = function(*[F.col(n) for n in names]).alias("out")
+    return [r["out"] for r in df.select("i", out).orderBy("i").collect()]
 
 
 def test_canonical_table(spark):
-    out = applied(spark, [(u,) for u, _ in CANONICAL], ["u"], urls.canonical_url(F.col("u")))
+    out = applied(spark, [(u,) for u, _ in CANONICAL], ["u"], urls.canonical_url)
     assert out == [expected for _, expected in CANONICAL]
 
 
-ALPHABET = ["a", "b.c", "/", "/", "..", ".", "?", "#", ";", "&", "=", ":", "//", "http:", "https://h.cn", "%20", "é"]
+ALPHABET = [
+    "a", "b.c", "/", "/", "..", ".", "?", "#", ";", "&", "=", ":", "//", "http:", "https://h.cn",
+    "%20", "é", ".pdf", ".ZIP", "spm", "utm_x", ".html", " ", "\n",
+]
 
 
 def random_text(rng, most):
     return "".join(rng.choice(ALPHABET) for _ in range(rng.randint(0, most)))
 
 
-def test_split_and_join_follow_the_standard_library(spark):
-    rng = random.Random(1)
-    cases = ["http://h.cn" + random_text(rng, 8) for _ in range(300)]
-    cases += [random_text(rng, 8) for _ in range(300)]
-    cases = [c for c in cases if parsable(c)]
-    u = urls.split_url(F.col("u"))
-    out = applied(spark, [(c,) for c in cases], ["u"], F.to_json(u))
-    import json
-
-    for case, got in zip(cases, out):
-        assert tuple(json.loads(got).values()) == tuple(urlparse(case)), case
-    rebuilt = applied(
-        spark, [(c,) for c in cases], ["u"],
-        urls.let(u, lambda p: urls.join_url(p.scheme, p.netloc, p.path, p.params, p.query, p.fragment)),
+def spelled_by_rules(url):
+    """The canonical rules, spelled with the standard library."""
+    if not url.startswith("http"):
+        return ""
+    if any(marker in url for marker in urls.STATIC_PAGE_MARKERS):
+        return url.split("?")[0]
+    parts = urlparse(url)
+    path = parts.path or "/"
+    if path.split(".")[-1].lower() in urls.BINARY_SUFFIXES:
+        return ""
+    query = "&".join(
+        q for q in parts.query.split("&")
+        if "=" in q and not q.startswith(urls.TRACKING_KEY_PREFIXES)
     )
-    for case, got in zip(cases, rebuilt):
-        assert got == urlunparse(urlparse(case)), case
+    return urlunparse((parts.scheme, parts.netloc, path, parts.params, query, ""))
 
 
-def parsable(url):
+def test_canonical_random(spark):
+    rng = random.Random(1)
+    cases = [rng.choice(["http://h.cn", "https://", "http:", "httpX:", "http", "HTTPS://h.cn"])
+             + random_text(rng, 9) for _ in range(1500)]
+    cases = [c for c in cases if parsable(c, any_scheme=True)]
+    out = applied(spark, [(c,) for c in cases], ["u"], urls.canonical_url)
+    for case, got in zip(cases, out):
+        assert got == spelled_by_rules(case), case
+
+
+def test_single_rules_random(spark):
+    rng = random.Random(5)
+    cases = ["http://h.cn" + random_text(rng, 9) for _ in range(600)]
+    rows = [(c,) for c in cases]
+    for case, got in zip(cases, applied(spark, rows, ["u"], urls.drop_fragment)):
+        assert got == urlunparse(urlparse(case)._replace(fragment="")), case
+    for case, got in zip(cases, applied(spark, rows, ["u"], urls.drop_binary)):
+        binary = urlparse(case).path.split(".")[-1].lower() in urls.BINARY_SUFFIXES
+        assert got == ("" if binary else case), case
+    for case, got in zip(cases, applied(spark, rows, ["u"], urls.strip_tracking)):
+        parts = urlparse(case)
+        kept = [q for q in parts.query.split("&")
+                if "=" in q and not q.startswith(urls.TRACKING_KEY_PREFIXES)]
+        assert got == urlunparse(parts._replace(query="&".join(kept))), case
+
+
+def parsable(url, any_scheme=False):
     try:
         scheme = urlparse(url).scheme
     except ValueError:
         return False
-    return scheme in ("", "http", "https")
+    return any_scheme or scheme in ("", "http", "https")
 
 
 RESOLVED = [
@@ -100,20 +128,22 @@ RESOLVED = [
     ("http://a.cn/x//y/", "z//w"),
     ("", "g"),
     ("http://a.cn/é/", "ü?x=ä"),
+    ("http://a.cn/b//", "c//"),
 ]
 
 
 def test_resolve_table(spark):
-    out = applied(spark, RESOLVED, ["b", "l"], urls.resolve_link(F.col("b"), F.col("l")))
+    out = applied(spark, RESOLVED, ["b", "l"], urls.resolve_link)
     for (base, link), got in zip(RESOLVED, out):
         assert got == urljoin(base, link), (base, link)
 
 
 def test_resolve_random(spark):
     rng = random.Random(2)
-    cases = [("http://h.cn/" + random_text(rng, 6), random_text(rng, 8)) for _ in range(800)]
+    paths = ["", "?q", "#f"] + ["/" + random_text(rng, 6) for _ in range(40)]
+    cases = [("http://h.cn" + rng.choice(paths), random_text(rng, 8)) for _ in range(1500)]
     cases = [c for c in cases if parsable(c[0]) and parsable(c[1])]
-    out = applied(spark, cases, ["b", "l"], urls.resolve_link(F.col("b"), F.col("l")))
+    out = applied(spark, cases, ["b", "l"], urls.resolve_link)
     for (base, link), got in zip(cases, out):
         assert got == urljoin(base, link), (base, link)
 
@@ -131,11 +161,12 @@ def test_resolve_random(spark):
     ],
 )
 def test_single_columns(spark, column, expected):
-    out = applied(spark, [("http://u@a.example.com:8080/b/c.jpg?x=1#f",)], ["u"], column(F.col("u")))
+    out = applied(spark, [("http://u@a.example.com:8080/b/c.jpg?x=1#f",)], ["u"], column)
     assert out == [expected]
 
 
 def test_host_validity_and_nulls(spark):
     rows = [("http://a.cn/x",), ("http://localhost/x",), ("/x.y",), (None,)]
-    assert applied(spark, rows, ["u"], urls.valid_host(F.col("u"))) == [True, False, False, None]
-    assert applied(spark, rows[-1:], ["u"], urls.resolve_link(F.col("u"), F.lit("a"))) == [None]
+    assert applied(spark, rows, ["u"], urls.valid_host) == [True, False, False, None]
+    pairs = [(None, "a"), ("http://a.cn/", None)]
+    assert applied(spark, pairs, ["b", "l"], urls.resolve_link) == [None, None]
