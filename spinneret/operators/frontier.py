@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from spinneret.functions.urls import netloc, valid_host
 from spinneret.operators.joins import BROADCAST_ROWS, hot_split_join
 from spinneret.operators.ordering import number_rows
+from spinneret.operators.scratch import settle
 
 FRONTIER_SCHEMA = (
     "seq bigint, host string, url string, status string, mode string, "
@@ -40,8 +41,10 @@ def frontier_admit(
 
     ``candidates`` holds ``url, mode`` and ``rank``, the order of discovery.
     A URL found twice counts once, at its first rank. Rejected hosts stay out.
+    The distinct candidates are settled: known and new rows both read them, and
+    the pages they come from should be read once.
     """
-    found = (
+    found = settle(
         candidates.where(valid_host(F.col("url")))
         .groupBy("url")
         .agg(F.min(F.struct("rank", "mode")).alias("found"))
@@ -197,6 +200,11 @@ def union_tagged(hubs: DataFrame, urls: DataFrame) -> DataFrame:
     return hubs.withColumn("ishub", F.lit(1)).unionByName(urls.withColumn("ishub", F.lit(0)))
 
 
+def _bounded(rows: DataFrame, most: int) -> DataFrame:
+    """Broadcast a frame known to hold at most ``most`` rows, if that is few."""
+    return F.broadcast(rows) if most <= BROADCAST_ROWS else rows
+
+
 def batch_pick(
     frontier: DataFrame,
     count: int,
@@ -218,9 +226,6 @@ def batch_pick(
     hub_quota, url_quota = quotas(count, hub_percent)
     due = due_filter(frontier, now, hub_span, url_span)
 
-    def small(picked):
-        return F.broadcast(picked) if count <= BROADCAST_ROWS else picked
-
     if not limit:
         def front(mode, quota):
             return due.where(F.col("mode") == mode).select("seq", "url").orderBy("seq").limit(quota)
@@ -233,8 +238,7 @@ def batch_pick(
     # The filter drops nothing; it makes every branch below read both columns,
     # so that all of them share one exchange.
     hosts = (
-        due.withColumn("host", netloc(F.col("url")))
-        .groupBy("host")
+        due.groupBy("host")
         .agg(first_of("hub").alias("hub"), first_of("url").alias("page"))
         .where(F.coalesce("hub", "page").isNotNull())
     )
@@ -266,7 +270,7 @@ def batch_pick(
         # At most len(taken) of the candidates fall away, so `count` suffice.
         return (
             earliest(mode, count, False)
-            .join(small(taken.select("host")), "host", "left_anti")
+            .join(_bounded(taken.select("host"), count), "host", "left_anti")
             .orderBy("seq")
             .limit(quota)
         )
@@ -277,17 +281,18 @@ def batch_pick(
     from_hubs = batch(leading_hubs, among_free("page", url_quota, leading_hubs))
     from_pages = batch(among_free("hub", hub_quota, leading_pages), leading_pages)
     picked = from_hubs.where(hubs_first).unionByName(from_pages.where(~hubs_first))
-    return frontier.select("seq", "url").join(small(picked), "seq")
+    return frontier.select("seq", "url").join(_bounded(picked, count), "seq")
 
 
-def mark_pended(frontier: DataFrame, picked: DataFrame, now: float) -> DataFrame:
-    """Stamp the picked rows; ``picked`` is a batch, keyed by ``seq``."""
+def mark_pended(frontier: DataFrame, picked: DataFrame, now: float, count: int) -> DataFrame:
+    """Stamp the picked rows; ``picked`` is a batch of at most ``count`` rows.
+
+    That bound lets the batch be broadcast, so the frontier is not shuffled.
+    """
     batch = picked.select("seq", F.lit(True).alias("picked"))
+    stamped = F.when(F.col("picked"), F.lit(float(now))).otherwise(F.col("pended_at"))
     return (
-        frontier.join(batch, "seq", "left")
-        .withColumn(
-            "pended_at", F.when(F.col("picked"), F.lit(float(now))).otherwise(F.col("pended_at"))
-        )
-        .drop("picked")
+        frontier.join(_bounded(batch, count), "seq", "left")
+        .withColumn("pended_at", stamped)
         .select(*frontier.columns)
     )

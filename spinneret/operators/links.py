@@ -14,6 +14,13 @@ def ok_fetches(fetches: DataFrame, hub_flag: str = "ishub") -> tuple[DataFrame,
     return ok.where(F.col(hub_flag) == 1), ok.where(F.col(hub_flag) == 0)
 
 
+def page_bytes(fetches: DataFrame) -> DataFrame:
+    """Status, UTF-8 size of the body and final URL of every fetch."""
+    return fetches.select(
+        "status", F.octet_length("body").cast("bigint").alias("bytes"), "redirected_url"
+    )
+
+
 def page_links(
     pages: DataFrame, keys: list[str], url: str = "url", html: str = "html"
 ) -> DataFrame:

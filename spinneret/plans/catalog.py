@@ -60,8 +60,6 @@ scalar("base_name", "pages", lambda: ux.base_name(F.col("url")), ["page_id"],
 scalar("origin_cut", "pages", lambda: ux.origin_cut(F.col("url")), ["page_id"],
        "split_part(url, '.com', 1) || '.com'")
 scalar("url_hash_key", "pages", lambda: ux.url_key(F.col("url")), ["page_id"], "sha256(url)")
-scalar("page_bytes", "pages", lambda: F.octet_length("html").cast("bigint"), ["page_id", "url"],
-       "strlen(html)::BIGINT")
 
 
 @query("valid_host", f"""SELECT page_id, url FROM pages
@@ -234,6 +232,12 @@ def ok_fetches(spark, sf_dir):
     )
 
 
+@query("page_bytes", f"""WITH {fx.FETCHES_SQL}
+    SELECT status, strlen(body)::BIGINT AS bytes, redirected_url FROM fetches""")
+def page_bytes(spark, sf_dir):
+    return lk.page_bytes(fx.fetches(spark, sf_dir))
+
+
 @query("redirect_fold", f"WITH {fx.FETCHES_SQL} SELECT id, url, code FROM folded_fetches")
 def redirect_fold(spark, sf_dir):
     return fr.redirect_fold(
@@ -406,7 +410,7 @@ def batch_pick_nolimit(spark, sf_dir):
     CASE WHEN seq IN (SELECT seq FROM picked) THEN {fx.NOW} ELSE pended_at END::DOUBLE AS pended_at,
     failure FROM frontier""")
 def mark_pended(spark, sf_dir):
-    return fr.mark_pended(fx.frontier(spark, sf_dir), pick(spark, sf_dir), fx.NOW)
+    return fr.mark_pended(fx.frontier(spark, sf_dir), pick(spark, sf_dir), fx.NOW, BATCH)
 
 
 @query("frontier_snapshot", f"{FRONT} SELECT {FRONT_COLUMNS} FROM frontier")

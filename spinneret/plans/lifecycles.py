@@ -32,8 +32,8 @@ def crawl_pass(
 
     ``fetches`` holds ``id, url, status, body, redirected_url, ts, ishub``.
     Returns the frontier and the store after the pass; ``next_batch`` on the
-    frontier gives the next batch. The narrow results that several later steps
-    read (outcomes, links found) are settled, so no step repeats another's work.
+    frontier gives the next batch. The outcomes, which several later steps read,
+    are settled, so no step repeats another's work.
     """
     attempts = fr.redirect_fold(
         fetches.select("url", "redirected_url", F.col("status").alias("code"), "ts", "id")
@@ -53,7 +53,7 @@ def crawl_pass(
     new_store = upsert_pages(upsert_status(store, ended, ["turn"]), bodies, ["ts", "id"])
 
     links = on_site_links(page_links(hubs, ["id"], "redirected_url", "body"), hosts)
-    found = settle(links.groupBy(F.col("link").alias("url")).agg(F.min("id").alias("rank")))
+    found = links.groupBy(F.col("link").alias("url")).agg(F.min("id").alias("rank"))
     known = rank.union_all(store.select("url"), ended.select("url"), bodies.select("url"))
     fresh = fr.unseen_urls(found.withColumn("mode", F.lit("url")), known)
     new_frontier = fr.frontier_admit(

@@ -57,6 +57,11 @@ def test_batch_pick_aggregates_the_frontier_once(spark, small):
     assert "SortAggregate" not in final
 
 
+def test_marking_a_batch_does_not_shuffle_the_frontier(spark, small):
+    text = plan(catalog.QUERIES["mark_pended"](spark, small))
+    assert "SortMergeJoin" not in text
+
+
 def test_cross_products_are_literals(spark, small):
     for name in ("template_cross", "search_urls", "rule_targets"):
         text = plan(catalog.QUERIES[name](spark, small))
