@@ -9,7 +9,7 @@ from spinneret.functions.urls import base_parts, canonical_url, resolve_against
 # The anchor pattern (case-insensitive, dot matches newline) and
 # the characters a text strip removes.
 ANCHOR_PATTERN = r"""(?is)<a[^>]*?href=['"]?([^> '"]+)[^>]*?>(.*?)</a>"""
-TITLE_PATTERN = r"(?is)<title>(.*?)</title>"
+TITLE_PATTERN = r"(?is)<title[^>]*>(.*?)</title>"
 BLANKS = (
     "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
     "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
@@ -80,5 +80,5 @@ def first_regex(text: Column, pattern: str, before: str = "", after: str = "") -
 
 
 def title_token(html: Column) -> Column:
-    """First blank-separated token of the page title."""
+    """First blank-separated token of the page title, entities as written."""
     return F.substring_index(F.regexp_extract(html, TITLE_PATTERN, 1), " ", 1)

@@ -586,6 +586,16 @@ def feed_items(spark, sf_dir):
     return feeds.feed_items(fx.feed(spark, sf_dir), "json", ("conv_id", "feed_page"))
 
 
+@query("item_steps", f"""WITH {fx.ITEMS_SQL} SELECT conv_id, feed_page, pos,
+    name || ': ' || upper(title) AS title FROM items""")
+def item_steps(spark, sf_dir):
+    """Two item steps, given out of order, run by their priority."""
+    items = feeds.feed_items(fx.feed(spark, sf_dir), "json", ("conv_id", "feed_page"))
+    upper = (100, lambda df: df.withColumn("title", F.upper("title")))
+    signed = (300, lambda df: df.withColumn("title", F.concat("name", F.lit(": "), "title")))
+    return feeds.apply_steps(items, [signed, upper]).select("conv_id", "feed_page", "pos", "title")
+
+
 ITEMS_ONLY = f"WITH {fx.ITEMS_SQL} SELECT {fx.ITEM_COLUMNS_SQL} FROM items"
 
 
@@ -1006,22 +1016,36 @@ def stream(spark, sf_dir, name):
     return streams.read_stream(spark, sf_dir, name, table(spark, sf_dir, name).schema)
 
 
-@query("stream_outcome", f"{OUTCOMES} SELECT url, state, failure FROM outcomes")
-def stream_outcome(spark, sf_dir):
-    root = scratch_path(spark, "outcomes")
+def attempt_stream(spark, sf_dir):
     kind = F.col("event_type")
-    attempts = stream(spark, sf_dir, "events").select(
+    return stream(spark, sf_dir, "events").select(
         F.col("user_id").cast("string").alias("url"),
         F.when(F.col("user_id") % 5 == 0, "hub").otherwise("url").alias("mode"),
         F.when(kind == "purchase", 200).when(kind == "signup", 404).otherwise(500).alias("code"),
         "ts",
         F.col("event_id").alias("id"),
     )
-    outcomes = streams.outcome_stream(attempts, fx.THRESHOLD)
+
+
+@query("stream_outcome", f"{OUTCOMES} SELECT url, state, failure FROM outcomes")
+def stream_outcome(spark, sf_dir):
+    root = scratch_path(spark, "outcomes")
+    outcomes = streams.outcome_stream(attempt_stream(spark, sf_dir), fx.THRESHOLD)
     streams.drain(streams.write_batches(outcomes, f"{root}/out", f"{root}/checkpoint"))
     return streams.latest_outcomes(spark, f"{root}/out")
 
 
+@query("stream_status", f"""{OUTCOMES} SELECT url, CASE state WHEN 'success' THEN '1' ELSE '0' END
+    AS status, NULL::VARCHAR AS html FROM outcomes WHERE state <> 'waiting'""")
+def stream_status(spark, sf_dir):
+    root = scratch_path(spark, "status")
+    outcomes = streams.outcome_stream(attempt_stream(spark, sf_dir), fx.THRESHOLD)
+    streams.drain(
+        streams.status_stream(outcomes, f"{root}/store", f"{root}/checkpoint", uuid.uuid4().hex)
+    )
+    return tables.read_page_store(spark, f"{root}/store")
+
+
 @query("stream_dedupe", "SELECT DISTINCT user_id::VARCHAR AS url FROM events")
 def stream_dedupe(spark, sf_dir):
     root = scratch_path(spark, "dedupe")

@@ -16,7 +16,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from spinneret.operators.frontier import FAILED, SUCCESS, WAITING
 from spinneret.operators.links import hub_hosts, on_site_links, page_links
 from spinneret.operators.segments import crawl_rate
-from spinneret.operators.store import upsert_pages
+from spinneret.operators.store import upsert_pages, upsert_status
 from spinneret.sources.tables import merge_into_store
 
 ATTEMPT_SCHEMA = "url string, mode string, code int, ts timestamp, id bigint, n bigint"
@@ -119,6 +119,23 @@ def latest_outcomes(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def status_stream(outcomes: DataFrame, root: str, checkpoint: str, writer: str):
+    """Record the URLs that ended in the page store: ``1`` success, ``0`` failure."""
+    def record(batch: DataFrame, number: int) -> None:
+        ended = batch.where(F.col("state") != WAITING).select(
+            "url",
+            F.when(F.col("state") == SUCCESS, "1").otherwise("0").alias("status"),
+            F.lit(number).alias("batch"),
+        )
+        merge_into_store(ended, root, ["batch"], upsert_status, writer=writer, batch=number)
+
+    return (
+        outcomes.writeStream.outputMode("update")
+        .option("checkpointLocation", checkpoint)
+        .foreachBatch(record)
+    )
+
+
 def dedupe_stream(urls: DataFrame, ts: str, delay: str) -> DataFrame:
     """First sighting of each URL while the watermark remembers it."""
     def first_in_batch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
