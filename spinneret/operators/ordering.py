@@ -23,13 +23,13 @@ def last_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
 def number_rows(df: DataFrame, order: list[Column], name: str, start: Column | int = 0) -> DataFrame:
     """Dense numbers along a total order, without a single-task window.
 
-    A range sort fixes partition and place of every row; the result is settled
-    so both stay fixed. The number is the place plus the size of all earlier
-    partitions, of which there are only as many as shuffle partitions.
+    ``order`` ends in a unique column, so a value that many rows share is split
+    as well. A range sort fixes partition and place of every row; the result is
+    settled so both stay fixed. The number is the place plus the size of all
+    earlier partitions, of which there are only as many as shuffle partitions.
     """
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     placed = settle(
-        df.repartitionByRange(parts, *order)
+        df.repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .withColumn("_part", F.spark_partition_id())
         .withColumn("_place", F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1))

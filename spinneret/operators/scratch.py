@@ -28,6 +28,12 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Compute once, keep reliably, drop the lineage."""
-    scratch_root(df.sparkSession)
-    return df.checkpoint()
+    """Compute once into a Parquet table of the scratch folder and read that.
+
+    Cuts the lineage; a lost executor costs nothing, and later steps read only
+    the columns they need.
+    """
+    spark = df.sparkSession
+    path = scratch_path(spark, "settled")
+    df.write.parquet(path, compression="zstd")
+    return spark.read.schema(df.schema).parquet(path)
