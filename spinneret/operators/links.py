@@ -1,6 +1,8 @@
 """Link graph: links per page, links on hub sites, yield per hub."""
 
-from pyspark.sql import DataFrame
+from functools import lru_cache
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spinneret.functions.html import page_link_set
@@ -25,9 +27,15 @@ def page_links(
     pages: DataFrame, keys: list[str], url: str = "url", html: str = "html"
 ) -> DataFrame:
     """One row per page and distinct link. No shuffle: the set is built in the row."""
-    return pages.select(
-        *keys, F.explode(page_link_set(F.col(url), F.col(html))).alias("link")
-    )
+    application = pages.sparkSession.sparkContext.applicationId
+    return pages.select(*keys, F.explode(_link_set(url, html, application)).alias("link"))
+
+
+@lru_cache(maxsize=16)
+def _link_set(url: str, html: str, application: str) -> Column:
+    """Putting the expression together costs more than planning it, and a stream
+    needs it for every micro-batch."""
+    return page_link_set(F.col(url), F.col(html))
 
 
 def hub_hosts(hubs: DataFrame, url: str = "url") -> DataFrame:
