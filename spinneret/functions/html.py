@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 from spinneret.functions.binding import let
 from spinneret.functions.urls import base_parts, canonical_url, resolve_against
 
-# The anchor pattern (case-insensitive, dot matches newline) and
-# the characters a text strip removes.
+# The anchor and title patterns (case-insensitive, dot matches
+# newline) and the characters a text strip removes.
 ANCHOR_PATTERN = r"""(?is)<a[^>]*?href=['"]?([^> '"]+)[^>]*?>(.*?)</a>"""
+UP_TO_LAST_CLOSE = r"(?is)^.*</a>"
 TITLE_PATTERN = r"(?is)<title[^>]*>(.*?)</title>"
 BLANKS = (
     "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
@@ -27,8 +28,13 @@ def clean_links(links: Column) -> Column:
 
 
 def anchor_hrefs(html: Column) -> Column:
-    """All ``href`` values of closed anchors, in document order."""
-    return F.regexp_extract_all(html, F.lit(ANCHOR_PATTERN), F.lit(1))
+    """All ``href`` values of closed anchors, in document order.
+
+    Nothing behind the last closing tag can match. Cutting it off keeps pages
+    with many unclosed anchors from being scanned to the end for each of them.
+    """
+    closed = F.regexp_extract(html, UP_TO_LAST_CLOSE, 0)
+    return F.regexp_extract_all(closed, F.lit(ANCHOR_PATTERN), F.lit(1))
 
 
 def page_link_set(url: Column, html: Column) -> Column:

@@ -42,7 +42,7 @@ MIXED_SCHEME = r"^[a-z0-9+.\-]*[A-Z][a-zA-Z0-9+.\-]*:"
 # URLs without anything to rewrite, and links that only need the site in front.
 PLAIN_URL = r"^https?://[^/?#;\t\r\n]+(?:/[^?#;\t\r\n]*)?\z"
 PLAIN_PAGE = r"^https?://[^/?#;\t\r\n]+/[^?#;\t\r\n]*\z"
-PLAIN_ROOTED = r"^(?:/(?![/.])[^/?#;\t\r\n]*)+\z"
+PLAIN_ROOTED = r"^(?!.*/[/.])/[^?#;\t\r\n]*\z"
 
 
 def netloc(url: Column) -> Column:

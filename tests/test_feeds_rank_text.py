@@ -165,3 +165,9 @@ def test_templates_rules_and_targets(spark):
         spark.createDataFrame([("a b&c",)], "q string"), {"s": "http://s.cn/?q="}, "q"
     ).first()
     assert found.search_url == "http://s.cn/?q=a+b%26c"
+
+
+def test_unclosed_anchors_stay_linear(spark):
+    page = "<a href=/x>x</A>" + "<a href=/open>" * 40000
+    df = spark.createDataFrame([(page,)], "h string")
+    assert df.select(html.anchor_hrefs(F.col("h")).alias("l")).first().l == ["/x"]

@@ -7,8 +7,6 @@ from spinneret.operators.store import upsert_pages
 from spinneret.sources.tables import read_page_store
 from spinneret.streaming import streams
 
-ATTEMPTS = "url string, mode string, code int, ts timestamp_ntz, id bigint"
-
 
 def write_part(spark, rows, schema, folder, name):
     spark.createDataFrame(rows, schema).coalesce(1).write.parquet(f"{folder}/{name}")

@@ -170,3 +170,12 @@ def test_host_validity_and_nulls(spark):
     assert applied(spark, rows, ["u"], urls.valid_host) == [True, False, False, None]
     pairs = [(None, "a"), ("http://a.cn/", None)]
     assert applied(spark, pairs, ["b", "l"], urls.resolve_link) == [None, None]
+
+
+def test_very_long_links(spark):
+    long = "/a" * 30000
+    cases = [("http://h.cn/", long), ("http://h.cn/", long[1:] + "?x=1"), ("http://h.cn/", long + ";p#f")]
+    out = applied(spark, cases, ["b", "l"], urls.resolve_link)
+    assert out == [urljoin(base, link) for base, link in cases]
+    rows = [(o,) for o in out]
+    assert applied(spark, rows, ["u"], urls.canonical_url) == [spelled_by_rules(o) for o in out]
