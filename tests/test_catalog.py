@@ -3,6 +3,7 @@
 import pytest
 
 import __spark_entry__ as driver
+from spinneret.plans import catalog
 from tests.oracle import compare, connect
 
 ROWS_ONLY = {"binary_assets"}
@@ -14,17 +15,17 @@ def connection(small):
 
 
 def test_every_query_has_a_twin():
-    assert set(driver.queries()) - set(driver.oracle_sql()) == ROWS_ONLY
+    assert set(catalog.QUERIES) - set(catalog.ORACLES) == ROWS_ONLY
     assert set(driver.oracle_sql()) <= set(driver.queries())
 
 
-@pytest.mark.parametrize("name", sorted(driver.queries()))
+@pytest.mark.parametrize("name", sorted(catalog.QUERIES))
 def test_query(spark, small, connection, name):
-    df = driver.queries()[name](spark, small)
+    df = catalog.QUERIES[name](spark, small)
     if name in ROWS_ONLY:
         assert df.count() > 0
     else:
-        assert compare(connection, driver.oracle_sql()[name], df) == ""
+        assert compare(connection, catalog.ORACLES[name], df) == ""
 
 
 def test_entry(spark):
