@@ -3,8 +3,22 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spinneret.llm import decontaminate, fingerprint, license_scan, mixing, secret_scan, url_rules
-from spinneret.llm.columns import body, documents
+from spinneret.llm import (
+    decontaminate,
+    fingerprint,
+    license_scan,
+    mixing,
+    quality,
+    secret_scan,
+    simhash,
+    token_files,
+    toxicity,
+    url_rules,
+)
+from spinneret.llm.columns import documents
+from spinneret.operators.scratch import scratch_path
+
+TOKENIZER = "byte_bpe_50k.json"
 
 # The rules of the URL query.
 URL_RULES = [
@@ -16,12 +30,45 @@ URL_RULES = [
 ]
 
 
+def tokenizer_path(name: str = TOKENIZER) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document."""
+    found = simhash.close_components(simhash.fingerprints(documents(spark, sf_dir)))
+    digits = F.lower(F.lpad(F.hex("s0"), 16, "0"))
+    return found.select("doc_id", digits.alias("fingerprint"), "component_id", "n_equal")
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Expected severity of every document, and whether it is toxic."""
+    docs = documents(spark, sf_dir)
+    model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return toxicity.score_documents(docs, model).drop("key")
+
+
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Leaked benchmark items per document."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     return decontaminate.leaks(documents(spark, sf_dir), benchmark).drop("key")
 
 
+def op4_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Written to token files and read back from them."""
+    path = scratch_path(spark, "tokens")
+    token_files.write_token_files(documents(spark, sf_dir), path, tokenizer_path())
+    return token_files.read_token_files(spark, path)
+
+
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    forest = quality.learn(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return quality.score_documents(docs, forest)
+
+
 def op6_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprint.fingerprint_edits(documents(spark, sf_dir).select("doc_id", "text"))
 
@@ -57,7 +104,11 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_simhash": op1_simhash,
+    "op2_toxicity": op2_toxicity,
     "op3_decontaminate": op3_decontaminate,
+    "op4_token_files": op4_token_files,
+    "op5_quality": op5_quality,
     "op6_fingerprint": op6_fingerprint,
     "op7_url_filter": op7_url_filter,
     "op8_license_scan": op8_license_scan,
