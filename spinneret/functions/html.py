@@ -7,10 +7,13 @@ from spinneret.functions.binding import let
 from spinneret.functions.urls import base_parts, canonical_url, resolve_against
 
 # The anchor and title patterns (case-insensitive, dot matches
-# newline) and the characters a text strip removes.
-ANCHOR_PATTERN = r"""(?is)<a[^>]*?href=['"]?([^> '"]+)[^>]*?>(.*?)</a>"""
+# newline) and the characters a text strip removes. Where no anchor begins, the
+# second branch takes the rest of the tag, which cannot hold another one; its
+# groups stay empty. The title is tried at its first tag only: where that one
+# fails, all later ones do. So both are linear in any text.
+ANCHOR_PATTERN = r"""(?is)<a(?:[^>]*?href=['"]?([^> '"]+)[^>]*+>(.*?)</a>|[^>]*+(?:>|$))"""
 UP_TO_LAST_CLOSE = r"(?is)^.*</a>"
-TITLE_PATTERN = r"(?is)<title[^>]*>(.*?)</title>"
+TITLE_PATTERN = r"(?is)^(?>.*?<title)[^>]*+>(.*?)</title>"
 BLANKS = (
     "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
     "\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
@@ -34,7 +37,8 @@ def anchor_hrefs(html: Column) -> Column:
     with many unclosed anchors from being scanned to the end for each of them.
     """
     closed = F.regexp_extract(html, UP_TO_LAST_CLOSE, 0)
-    return F.regexp_extract_all(closed, F.lit(ANCHOR_PATTERN), F.lit(1))
+    found = F.regexp_extract_all(closed, F.lit(ANCHOR_PATTERN), F.lit(1))
+    return F.filter(found, lambda href: href != "")
 
 
 def page_link_set(url: Column, html: Column) -> Column:
@@ -77,14 +81,30 @@ def match_pairs(
     )
 
 
-def first_regex(text: Column, pattern: str, before: str = "", after: str = "") -> Column:
-    """First capture, wrapped again; NULL when nothing matches."""
-    return F.when(
-        text.rlike(pattern),
-        F.concat(F.lit(before), F.regexp_extract(text, pattern, 1), F.lit(after)),
+def anchor_pairs(df: DataFrame, html: str, names: tuple[str, str] = ("href", "label")) -> DataFrame:
+    """One row per closed anchor with its ``href`` and inner text, numbered from 0."""
+    closed = F.regexp_extract(F.col(html), UP_TO_LAST_CLOSE, 0)
+    href, label = names
+    pairs = F.arrays_zip(
+        *[F.regexp_extract_all(closed, F.lit(ANCHOR_PATTERN), F.lit(i + 1)).alias(n)
+          for i, n in enumerate(names)]
+    )
+    kept = [c for c in df.columns if c != html]
+    found = F.filter(pairs, lambda pair: pair[href] != "")
+    return df.select(*kept, F.posexplode(found).alias("pos", "pair")).select(
+        *kept, "pos", F.col(f"pair.{href}").alias(href), F.col(f"pair.{label}").alias(label)
     )
 
 
+def first_regex(text: Column, pattern: str, before: str = "", after: str = "") -> Column:
+    """First capture, wrapped again; NULL when nothing matches.
+
+    The capture is read from the matched part alone, so the text is searched once.
+    """
+    matched = F.regexp_substr(text, F.lit(pattern))
+    return F.concat(F.lit(before), F.regexp_extract(matched, pattern, 1), F.lit(after))
+
+
 def title_token(html: Column) -> Column:
     """First blank-separated token of the page title, entities as written."""
     return F.substring_index(F.regexp_extract(html, TITLE_PATTERN, 1), " ", 1)

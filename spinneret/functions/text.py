@@ -6,6 +6,8 @@ from pyspark.sql import functions as F
 from spinneret.functions.html import clean_text
 
 REPLACEMENT_CHARACTER = "\ufffd"
+#: A sequence of noncharacters, which no text holds.
+STAND_IN = "\ufdd0\ufdd1\ufdd0"
 
 
 def manifest_entries(text: Column) -> Column:
@@ -58,13 +60,21 @@ def json_field(document: Column, path: str) -> Column:
 def decode_body(body: Column, charset: Column) -> Column:
     """Bytes to text in a known charset; undecodable bytes are dropped.
 
-    UTF-8 (also meant by a NULL charset) is repaired natively. Any other
-    charset goes through ``decode``, which needs
-    ``spark.sql.legacy.javaCharsets`` for names such as GBK and
-    ``spark.sql.legacy.codingErrorAction`` to survive undecodable bytes.
+    UTF-8 (also meant by a NULL charset) is repaired natively and keeps the
+    replacement characters that the text itself holds. Any other charset goes
+    through ``decode``: names such as GBK need ``spark.sql.legacy.javaCharsets``
+    set to true, and ``spark.sql.legacy.codingErrorAction`` set to true replaces
+    undecodable bytes, which are then dropped, where Spark would fail.
     """
     is_utf8 = F.coalesce(F.upper(charset), F.lit("UTF-8")).isin("UTF-8", "UTF8")
-    text = F.when(is_utf8, F.make_valid_utf8(body.cast("string"))).otherwise(
-        F.call_function("decode", body, charset)
+    raw = body.cast("string")
+    # Replacement characters of a broken text are set aside before it is repaired.
+    apart = F.replace(raw, F.lit(REPLACEMENT_CHARACTER), F.lit(STAND_IN))
+    repaired = F.replace(F.make_valid_utf8(apart), F.lit(REPLACEMENT_CHARACTER), F.lit(""))
+    utf8 = F.when(F.is_valid_utf8(raw), raw).otherwise(
+        F.replace(repaired, F.lit(STAND_IN), F.lit(REPLACEMENT_CHARACTER))
     )
-    return F.replace(text, F.lit(REPLACEMENT_CHARACTER), F.lit(""))
+    other = F.replace(
+        F.call_function("decode", body, charset), F.lit(REPLACEMENT_CHARACTER), F.lit("")
+    )
+    return F.when(is_utf8, utf8).otherwise(other)

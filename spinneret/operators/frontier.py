@@ -4,11 +4,11 @@ A frontier row is ``seq, host, url, status, mode, pended_at, failure``; ``url``
 is unique and ``seq`` is the queue order. ``now`` is always an argument.
 """
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from spinneret.functions.urls import netloc, valid_host
-from spinneret.operators.joins import BROADCAST_ROWS, hot_split_join
+from spinneret.operators.joins import BROADCAST_ROWS, hot_split_join, lookup_join
 from spinneret.operators.ordering import number_rows
 from spinneret.operators.scratch import settle
 
@@ -25,13 +25,12 @@ def unseen_urls(candidates: DataFrame, store: DataFrame) -> DataFrame:
     """Candidates not yet in the store, whatever their stored status.
 
     Hubs are not tested. The same link is found on many pages, so candidates
-    are made distinct before the join.
+    are made distinct before the join; they are evaluated once.
     """
-    distinct = candidates.distinct()
-    unseen = distinct.where(F.col("mode") == "url").join(
-        store.select("url").distinct(), "url", "left_anti"
-    )
-    return unseen.unionByName(distinct.where(F.col("mode") != "url"))
+    found = candidates.distinct().alias("c")
+    kept = store.select("url").alias("s")
+    tested = (F.col("c.url") == F.col("s.url")) & (F.col("c.mode") == "url")
+    return found.join(kept, tested, "left_anti")
 
 
 def frontier_admit(
@@ -41,24 +40,24 @@ def frontier_admit(
 
     ``candidates`` holds ``url, mode`` and ``rank``, the order of discovery.
     A URL found twice counts once, at its first rank. Rejected hosts stay out.
-    The distinct candidates are settled: known and new rows both read them, and
-    the pages they come from should be read once.
+    The distinct candidates and the frontier are settled: known and new rows both
+    read them, and what they come from should be evaluated once.
     """
     found = settle(
         candidates.where(valid_host(F.col("url")))
         .groupBy("url")
         .agg(F.min(F.struct("rank", "mode")).alias("found"))
     )
-    both = frontier.join(found, "url", "full_outer")
+    frontier = settle(frontier)
     stale = F.col("found").isNotNull() & (F.lit(now) - F.col("pended_at") > pend_span)
-    known = both.where(F.col("seq").isNotNull()).select(
+    known = frontier.join(found, "url", "left").select(
         "seq", "host", "url",
         F.when(stale, WAITING).otherwise(F.col("status")).alias("status"),
         "mode",
         F.when(stale, F.lit(0.0)).otherwise(F.col("pended_at")).alias("pended_at"),
         "failure",
     )
-    fresh = both.where(F.col("seq").isNull()).select(
+    fresh = found.join(frontier.select("url"), "url", "left_anti").select(
         "url", F.col("found.mode").alias("mode"), F.col("found.rank").alias("rank")
     )
     last = frontier.agg(F.coalesce(F.max("seq"), F.lit(-1))).first()[0]
@@ -112,51 +111,77 @@ def url_outcome(
     failure). Mode ``hub``: only 404 ends it; 200 counts as a failure when
     ``strict``. What comes after the end is ignored. ``failure`` is the count a
     waiting URL carries on, NULL for a URL that has left.
+    """
+    kept = settle(attempts.select("url", "mode", "failure", "code", *order))
+    entries = kept.groupBy("url").agg(
+        F.first("mode").alias("mode"), F.first("failure").alias("failure"), *_counts(order)
+    )
+    return _decided(kept, entries, threshold, order, strict)
+
+
+def frontier_outcomes(
+    attempts: DataFrame, frontier: DataFrame, threshold: int = 3,
+    order: tuple[str, ...] = ("ts", "id"), strict: bool = False,
+) -> DataFrame:
+    """``url_outcome`` of the attempts on URLs in the frontier.
 
-    Only the earliest few failures and the earliest ending of a URL decide, so
-    each map task sends no more than those (window group limit) however many
-    attempts one URL has.
+    Attempts are reduced to one row per URL before they meet the frontier, so
+    both sides of that join hold each URL once and no URL is hot.
     """
-    leaves_at = max(threshold + 1, 2)
-    is_hub = F.col("mode") == "hub"
-    moment = F.struct(*order)
+    kept = settle(attempts.select("url", "code", *order))
+    counted = kept.groupBy("url").agg(*_counts(order))
+    entries = counted.join(frontier.select("url", "mode", "failure"), "url")
+    return _decided(kept, entries, threshold, order, strict)
+
 
+def _counts(order: tuple[str, ...]) -> list[Column]:
+    """What decides a URL but for the failures before its end; all combine before a shuffle."""
     ending = F.col("code").isin(200, 404)
-    by_kind = Window.partitionBy("url", "_ending").orderBy(*order)
-    decisive = (
-        attempts.where(~is_hub)
-        .withColumn("_ending", ending)
-        .withColumn("_rank", F.row_number().over(by_kind))
-        .where(F.col("_rank") <= leaves_at)
-    )
-    last_straw = F.greatest(F.lit(leaves_at) - F.col("failure"), F.lit(1))
-    folded = decisive.groupBy("url", "mode").agg(
-        F.min(F.when(F.col("_ending"), F.struct(moment.alias("at"), "code"))).alias("end"),
-        F.min(F.when(~F.col("_ending") & (F.col("_rank") >= last_straw), moment)).alias("straw"),
-        (F.first("failure") + F.count_if(~F.col("_ending"))).cast("int").alias("failure"),
-    )
-    ended_first = F.col("end").isNotNull() & (
-        F.col("straw").isNull() | (F.col("end.at") < F.col("straw"))
+    return [
+        F.count_if(~ending).alias("failed"),
+        F.count_if(F.col("code") == 200).alias("served"),
+        F.count_if(F.col("code") == 404).alias("missing"),
+        F.min(F.when(ending, F.struct(F.struct(*order).alias("at"), "code"))).alias("end"),
+    ]
+
+
+def _decided(
+    attempts: DataFrame, entries: DataFrame, threshold: int, order: tuple[str, ...], strict: bool
+) -> DataFrame:
+    """States out of one row per URL.
+
+    Only a page with an ending and enough failures to leave needs the order of its
+    attempts: the failures before the ending are counted for such pages alone.
+    This holds for any threshold.
+    """
+    entries = settle(entries)
+    is_hub = F.col("mode") == "hub"
+    needed = F.greatest(F.lit(max(threshold + 1, 2)) - F.col("failure"), F.lit(1))
+    open_case = ~is_hub & F.col("end").isNotNull() & (F.col("failed") >= needed)
+    doubtful = entries.where(open_case).select("url", F.col("end.at").alias("_end"))
+    failures = attempts.where(~F.col("code").isin(200, 404))
+    before = (
+        lookup_join(failures, doubtful, "url", "inner")
+        .where(F.struct(*order) < F.col("_end"))
+        .groupBy("url")
+        .agg(F.count(F.lit(1)).alias("before"))
     )
+    settled = entries.join(before, "url", "left")
+    before_end = F.when(open_case, F.coalesce("before", F.lit(0))).otherwise(F.col("failed"))
+    # Failures equal in order with the ending do not come before it.
+    leaves = F.when(F.col("end").isNull(), F.col("failed")).otherwise(before_end) >= needed
     url_state = (
-        F.when(ended_first & (F.col("end.code") == 200), SUCCESS)
-        .when(ended_first | F.col("straw").isNotNull(), FAILED)
+        F.when(leaves, FAILED)
+        .when(F.col("end.code") == 200, SUCCESS)
+        .when(F.col("end.code") == 404, FAILED)
         .otherwise(WAITING)
     )
-    urls = folded.select("url", "mode", url_state.alias("state"), "failure")
-
-    counted = F.col("code") != 404 if strict else ~ending
-    hubs = (
-        attempts.where(is_hub)
-        .groupBy("url", "mode")
-        .agg(
-            F.when(F.count_if(F.col("code") == 404) > 0, FAILED).otherwise(WAITING).alias("state"),
-            (F.first("failure") + F.count_if(counted)).cast("int").alias("failure"),
-        )
-    )
-    left = F.col("state") != WAITING
-    return urls.unionByName(hubs).withColumn(
-        "failure", F.when(~left, F.col("failure"))
+    hub_state = F.when(F.col("missing") > 0, FAILED).otherwise(WAITING)
+    added = F.col("failed") + F.when(is_hub & F.lit(strict), F.col("served")).otherwise(0)
+    state = F.when(is_hub, hub_state).otherwise(url_state)
+    return settled.select(
+        "url", "mode", state.alias("state"),
+        F.when(state == WAITING, F.col("failure") + added).cast("int").alias("failure"),
     )
 
 

@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 64 * 1024 * 1024
-SALTS = 16
 HOT_SHARE = 200
+MOST_SALTS = 1000
 
 
 def _row_bytes(df: DataFrame) -> Column:
@@ -42,15 +42,18 @@ def lookup_join(
     """Join ``facts`` to a unique-keyed lookup.
 
     The lookup is broadcast when it is counted to be small. Beyond that the
-    facts are salted, so a key that holds a large share of them is spread over
-    ``SALTS`` tasks; the lookup is repeated once per salt.
+    facts are salted, so a key that holds a large share of them is spread over as
+    many tasks as there are shuffle partitions (at most ``MOST_SALTS``); the lookup
+    is repeated once per salt.
     """
     if fits_broadcast(lookup, rows):
         return facts.join(F.broadcast(lookup), on, how)
     content = F.xxhash64(*[F.col(f"`{c}`") for c in facts.columns])
-    salt = F.pmod(content + F.spark_partition_id(), F.lit(SALTS).cast("bigint"))
+    salts = min(int(facts.sparkSession.conf.get("spark.sql.shuffle.partitions")), MOST_SALTS)
+    mixed = F.shiftrightunsigned(content, 1) + F.spark_partition_id()
+    salt = F.pmod(mixed, F.lit(salts).cast("bigint"))
     spread = lookup.withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(SALTS - 1).cast("bigint")))
+        "_salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint")))
     )
     return facts.withColumn("_salt", salt).join(spread, [on, "_salt"], how).drop("_salt")
 

@@ -1,7 +1,5 @@
 """Link graph: links per page, links on hub sites, yield per hub."""
 
-from functools import lru_cache
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -24,17 +22,22 @@ def page_bytes(fetches: DataFrame) -> DataFrame:
 
 
 def page_links(
-    pages: DataFrame, keys: list[str], url: str = "url", html: str = "html"
+    pages: DataFrame, keys: list[str], url: str = "url", html: str = "html",
+    keep_linkless: bool = False, links: Column | None = None,
 ) -> DataFrame:
-    """One row per page and distinct link. No shuffle: the set is built in the row."""
-    application = pages.sparkSession.sparkContext.applicationId
-    return pages.select(*keys, F.explode(_link_set(url, html, application)).alias("link"))
+    """One row per page and distinct link. No shuffle: the set is built in the row.
+
+    With ``keep_linkless`` a page without links has one row with a NULL link.
+    ``links`` is the expression of ``link_set``, for callers that need it often.
+    """
+    expand = F.explode_outer if keep_linkless else F.explode
+    links = link_set(url, html) if links is None else links
+    return pages.select(*keys, expand(links).alias("link"))
 
 
-@lru_cache(maxsize=16)
-def _link_set(url: str, html: str, application: str) -> Column:
-    """Putting the expression together costs more than planning it, and a stream
-    needs it for every micro-batch."""
+def link_set(url: str = "url", html: str = "html") -> Column:
+    """Links of a page as a column. Putting it together costs more than planning it,
+    so a stream does that once and not for every micro-batch."""
     return page_link_set(F.col(url), F.col(html))
 
 
@@ -49,9 +52,9 @@ def on_site_links(links: DataFrame, hosts: DataFrame, link: str = "link") -> Dat
 
 
 def link_yield(links: DataFrame, hosts: DataFrame, keys: list[str]) -> DataFrame:
-    """Kept and total links per page; pages that keep none stay."""
+    """Kept and total links per page; pages that keep none, or have none, stay."""
     hosted = links.withColumn("host", netloc(F.col("link")))
     flagged = lookup_join(hosted, hosts.withColumn("kept", F.lit(True)), "host", "left")
     return flagged.groupBy(*keys).agg(
-        F.count_if("kept").alias("good_links"), F.count(F.lit(1)).alias("all_links")
+        F.count_if("kept").alias("good_links"), F.count("link").alias("all_links")
     )

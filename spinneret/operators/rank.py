@@ -31,24 +31,32 @@ def union_all(*frames: DataFrame) -> DataFrame:
     return reduce(DataFrame.unionByName, frames)
 
 
+def union_indexed(order: list[str], *frames: DataFrame) -> DataFrame:
+    """All rows, numbered anew from 0: frame by frame, each by its ``order``."""
+    tagged = union_all(*[f.withColumn("_frame", F.lit(i)) for i, f in enumerate(frames)])
+    numbered = number_rows(tagged, [F.col("_frame"), *[F.col(c) for c in order]], "index")
+    return numbered.drop("_frame")
+
+
 def union_set(left: DataFrame, right: DataFrame) -> DataFrame:
     return left.unionByName(right).distinct()
 
 
 def live_only(df: DataFrame, latency: str = "ping") -> DataFrame:
-    return df.where(F.col(latency) != DEAD)
+    """Rows that are not marked dead; a missing latency does not mark a row."""
+    return df.where((F.col(latency) != DEAD) | F.col(latency).isNull())
 
 
 def latency_rank(
     df: DataFrame, latency: str, tie_break: list[str], top: int | None = None
 ) -> DataFrame:
-    """Distinct live rows numbered from 0 by rising latency.
+    """Distinct live rows numbered from 0 by rising latency, missing ones last.
 
     ``tie_break`` makes the order total. With ``top`` only the first rows are
     sorted out; without, a range sort spreads the whole order.
     """
     live = live_only(dedupe(df), latency)
-    order = [F.col(latency), *[F.col(c) for c in tie_break]]
+    order = [F.col(latency).asc_nulls_last(), *[F.col(c) for c in tie_break]]
     if top is not None:
         live = live.orderBy(*order).limit(top)
     return number_rows(live, order, "rank")

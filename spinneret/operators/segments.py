@@ -1,12 +1,10 @@
 """Ordered segments: manifests to rows, rows to assembled objects."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spinneret.functions.text import manifest_entries
 
-SEGMENTS_PER_PIECE = 1000
-
 
 def segment_rows(df: DataFrame, text: str, keys: list[str]) -> DataFrame:
     """One row per manifest entry, numbered from 0."""
@@ -29,25 +27,30 @@ def segment_number(df: DataFrame, values: str, keys: list[str], width: int = 9,
 
 
 def ordered_merge(
-    df: DataFrame, keys: list[str], pos: str, text: str, separator: str = "",
-    per_piece: int = SEGMENTS_PER_PIECE,
-) -> DataFrame:
-    """Concatenate segments in order, in pieces of ``per_piece`` places.
+    df: DataFrame, keys: list[str], pos: str, text: str, path: str, separator: str = "\n"
+) -> None:
+    """Assemble segments in order into one text file per object, below ``path``.
 
-    An object of few segments is one row (``piece`` 0). A huge one is spread
-    over many rows in piece order, so no task ever holds a whole object.
+    The segments of an object are sorted by place (NULL first) and written one after
+    the other with ``separator`` (not empty) behind each, so no row, and no memory of
+    a task, ever holds a whole object, however long it is. Each folder
+    ``key=value`` holds one object.
     """
-    piece = F.floor(F.col(pos) / per_piece).cast("bigint")
-    ordered = F.array_sort(F.collect_list(F.struct(F.col(pos), F.col(text))))
-    return (
-        df.groupBy(*keys, piece.alias("piece"))
-        .agg(
-            F.array_join(F.transform(ordered, lambda s: s[text]), separator).alias("body"),
-            F.count(F.lit(1)).alias("segments"),
-        )
+    ordered = df.select(*keys, pos, text).repartition(*keys).sortWithinPartitions(*keys, pos)
+    (
+        ordered.select(*keys, F.col(text).alias("value"))
+        .write.partitionBy(*keys).option("lineSep", separator).text(path)
     )
 
 
+def read_objects(spark: SparkSession, path: str, keys: str, separator: str = "\n") -> DataFrame:
+    """The files of ``ordered_merge`` as rows ``keys, body``, for objects that fit a row."""
+    files = spark.read.schema(f"value string, {keys}").text(path, wholetext=True)
+    kept = [c for c in files.columns if c != "value"]
+    length = F.length("value") - len(separator)
+    return files.select(*kept, F.substring("value", F.lit(1), length).alias("body"))
+
+
 def crawl_rate(tasks: DataFrame, ts: str, seconds: int) -> DataFrame:
     """Tasks per second in aligned windows, rounded to two decimals."""
     issued = tasks.groupBy(F.window(ts, f"{seconds} seconds").alias("w")).agg(

@@ -191,7 +191,7 @@ def link_trim(spark, sf_dir):
             regexp_extract_all(html, '{fx.ANCHOR_SQL}', 2, 'is') AS labels FROM pages))""")
 def anchor_pairs(spark, sf_dir):
     pages = table(spark, sf_dir, "pages").select("page_id", "html")
-    return hx.match_pairs(pages, "html", hx.ANCHOR_PATTERN, ("href", "label"))
+    return hx.anchor_pairs(pages, "html")
 
 
 scalar("first_regex", "pages",
@@ -215,10 +215,12 @@ def on_site_links(spark, sf_dir):
 
 
 @query("link_yield", f"""WITH {fx.LINKS_SQL}, {fx.HUBS_SQL}
-    SELECT page_id, count(hosts.host) AS good_links, count(*) AS all_links
-    FROM links LEFT JOIN hosts ON hosts.host = {fx.netloc_sql('link')} GROUP BY page_id""")
+    SELECT p.page_id, count(hosts.host) AS good_links, count(link) AS all_links
+    FROM pages p LEFT JOIN links USING (page_id)
+    LEFT JOIN hosts ON hosts.host = {fx.netloc_sql('link')} GROUP BY p.page_id""")
 def link_yield(spark, sf_dir):
-    return lk.link_yield(fx.links(spark, sf_dir), fx.hosts(spark, sf_dir), ["page_id"])
+    graph = lk.page_links(table(spark, sf_dir, "pages"), ["page_id"], keep_linkless=True)
+    return lk.link_yield(graph, fx.hosts(spark, sf_dir), ["page_id"])
 
 
 @query("ok_fetches", f"""WITH {fx.FETCHES_SQL}
@@ -347,6 +349,11 @@ FETCH_OUTCOMES = f"""{fx.FETCHES_SQL}, {fx.FRONTIER_SQL},
     {fx.outcome_sql('tried')}"""
 
 
+PASS_OUTCOMES = f"""{fx.FETCHES_SQL}, {fx.TRIED_FRONTIER_SQL},
+    tried AS (SELECT t.url, mode, failure, code, ts, id FROM folded_fetches t JOIN frontier USING (url)),
+    {fx.outcome_sql('tried', carried='failure')}"""
+
+
 @query("frontier_after_outcomes", f"""WITH {FETCH_OUTCOMES}
     SELECT f.seq, f.host, f.url, f.status, f.mode, f.pended_at,
         coalesce(o.failure, f.failure) AS failure
@@ -359,8 +366,7 @@ def frontier_after_outcomes(spark, sf_dir):
             "id", "ts", "url", "redirected_url", F.col("status").alias("code")
         )
     )
-    outcomes = fr.url_outcome(fr.attempt_join(attempts, pool), fx.THRESHOLD)
-    return fr.apply_outcomes(pool, outcomes)
+    return fr.apply_outcomes(pool, fr.frontier_outcomes(attempts, pool, fx.THRESHOLD))
 
 
 @query("due_filter", f"{FRONT} SELECT {FRONT_COLUMNS} FROM frontier WHERE {DUE}")
@@ -490,22 +496,59 @@ def page_store_upsert(spark, sf_dir):
 
 @query("page_store_merge", UPSERT_SQL)
 def page_store_merge(spark, sf_dir):
-    """The same upsert, on the bucketed Parquet store."""
+    """The same upsert, on the kept store."""
     root = scratch_path(spark, "pages")
-    stored = stored_pages(spark, sf_dir).withColumn("page_id", F.lit(0))
-    tables.merge_into_store(stored, root, ["page_id"], lambda old, new, order: st.upsert(
-        old, new, "url", order), buckets=8)
-    tables.merge_into_store(
-        incoming_pages(spark, sf_dir), root, ["page_id"], st.upsert_pages, buckets=8
-    )
+    keep_store(stored_pages(spark, sf_dir), root)
+    tables.write_pages(incoming_pages(spark, sf_dir), root, ["page_id"])
+    return tables.read_page_store(spark, root)
+
+
+def keep_store(store, root):
+    tables.insert_kept(store, root, ["status"])
+
+
+STORED_TITLE = "status = '1' AND length(html) % 2 = 0"
+FIRST_STORED = f"(SELECT min(url) FROM stored WHERE {STORED_TITLE})"
+
+
+@query("store_insert_kept", f"""WITH stored AS ({STORED}) SELECT url, status, html FROM stored
+    UNION ALL SELECT url || '#new', 'x', html FROM stored""")
+def store_insert_kept(spark, sf_dir):
+    root = scratch_path(spark, "inserted")
+    stored = stored_pages(spark, sf_dir)
+    keep_store(stored, root)
+    new = stored.select(F.concat("url", F.lit("#new")).alias("url"), F.lit("x").alias("status"), "html")
+    tables.insert_kept(new, root, ["status"])
+    return tables.read_page_store(spark, root)
+
+
+@query("store_delete_kept", f"""WITH stored AS ({STORED}), one AS (SELECT {FIRST_STORED} AS url)
+    SELECT url, status, html FROM stored WHERE NOT coalesce(url LIKE '%.html', false)
+        AND url NOT IN (SELECT url FROM one WHERE url IS NOT NULL)""")
+def store_delete_kept(spark, sf_dir):
+    """The first match of one query and all of another, deleted in the kept store."""
+    root = scratch_path(spark, "deleted")
+    keep_store(stored_pages(spark, sf_dir), root)
+    tables.delete_kept(spark, root, F.expr(STORED_TITLE))
+    tables.delete_kept(spark, root, F.expr("url LIKE '%.html'"), many=True)
+    return tables.read_page_store(spark, root)
+
+
+@query("store_update_kept", f"""WITH stored AS ({STORED})
+    SELECT url, CASE WHEN url LIKE '%.html' THEN 'page' ELSE status END AS status,
+        CASE WHEN url = {FIRST_STORED} THEN upper(html) ELSE html END AS html FROM stored""")
+def store_update_kept(spark, sf_dir):
+    root = scratch_path(spark, "updated")
+    keep_store(stored_pages(spark, sf_dir), root)
+    tables.update_kept(spark, root, F.expr(STORED_TITLE), {"html": F.upper("html")})
+    tables.update_kept(spark, root, F.expr("url LIKE '%.html'"), {"status": F.lit("page")}, many=True)
     return tables.read_page_store(spark, root)
 
 
 @query("status_upsert", """WITH stored AS (SELECT DISTINCT user_id::VARCHAR AS url FROM events
         WHERE event_type = 'view'),
     last AS (SELECT user_id::VARCHAR AS url, arg_max(CASE event_type WHEN 'purchase' THEN '1'
-        ELSE '0' END, (ts, event_id)) AS status FROM events
-        WHERE event_type IN ('purchase', 'signup') GROUP BY 1)
+        ELSE '0' END, (ts, event_id)) AS status FROM events GROUP BY 1)
     SELECT coalesce(s.url, l.url) AS url, coalesce(l.status, '0') AS status,
         CASE WHEN s.url IS NOT NULL THEN 'page of ' || s.url END AS html
     FROM stored s FULL JOIN last l ON s.url = l.url""")
@@ -518,7 +561,7 @@ def status_upsert(spark, sf_dir):
         .distinct()
         .select("url", F.lit("0").alias("status"), F.concat(F.lit("page of "), "url").alias("html"))
     )
-    outcomes = events.where(F.col("event_type").isin("purchase", "signup")).select(
+    outcomes = events.select(
         url.alias("url"),
         F.when(F.col("event_type") == "purchase", "1").otherwise("0").alias("status"),
         "ts",
@@ -661,10 +704,22 @@ def item_export(spark, sf_dir):
     return rank.union_all(*back)
 
 
-@query("binary_assets")
+TABLES = (
+    "region nation customer supplier part orders lineitem events documents embeddings pages "
+    "benchmark labels conversations"
+).split()
+
+
+@query("binary_assets", "SELECT name, 'PAR1' AS head, 'PAR1' AS tail FROM (VALUES "
+       + ", ".join(f"('{t}.parquet')" for t in TABLES) + ") t(name)")
 def binary_assets(spark, sf_dir):
-    """Name and size of the table files; their bytes are not read for that."""
-    return files.read_assets(spark, sf_dir, "*.parquet").select("name", "length")
+    """The table files with the bytes at both ends of their content."""
+    def ends(start):
+        return F.substring("content", start, 4).cast("string")
+
+    return files.read_assets(spark, sf_dir, "*.parquet").select(
+        "name", ends(1).alias("head"), ends(-4).alias("tail")
+    )
 
 
 # Source ranking
@@ -751,11 +806,12 @@ def source_coverage(spark, sf_dir):
     return rank.source_coverage(table(spark, sf_dir, "documents"), "source")
 
 
-@query("union_pages", "SELECT doc_id, lang, n_chars FROM documents")
+@query("union_pages", """SELECT doc_id, lang, n_chars,
+    row_number() OVER (ORDER BY lang <> 'en', doc_id) - 1 AS index FROM documents""")
 def union_pages(spark, sf_dir):
     documents = table(spark, sf_dir, "documents").select("doc_id", "lang", "n_chars")
     english = F.col("lang") == "en"
-    return rank.union_all(documents.where(english), documents.where(~english))
+    return rank.union_indexed(["doc_id"], documents.where(english), documents.where(~english))
 
 
 @query("union_tagged", f"""{FRONT} SELECT seq, url,
@@ -810,7 +866,7 @@ def rules(spark, sf_dir):
         .agg(F.count(F.lit(1)).alias("n"))
         .where(F.col("n") > 1)
     )
-    follow = F.col("n") >= fx.HUB_PAGES
+    follow = F.col("n") > seen.agg(F.avg("n")).scalar()
     return seen.select(
         "site",
         follow.alias("follow"),
@@ -822,8 +878,8 @@ def rules(spark, sf_dir):
 
 RULES_SQL = f"""sites AS (SELECT string_split(url, '/')[3] AS site, count(*) AS n FROM pages
         GROUP BY 1 HAVING count(*) > 1),
-    rules AS (SELECT site, n >= {fx.HUB_PAGES} AS follow,
-        CASE WHEN n >= {fx.HUB_PAGES} THEN 'https://' || site END AS prefix FROM sites)"""
+    rules AS (SELECT site, n > (SELECT avg(n) FROM sites) AS follow,
+        CASE WHEN n > (SELECT avg(n) FROM sites) THEN 'https://' || site END AS prefix FROM sites)"""
 
 
 @query("site_rule", f"""WITH {RULES_SQL} SELECT page_id, string_split(url, '/')[3] AS site, follow,
@@ -874,13 +930,14 @@ scalar("line_from_end", "documents", lambda: tx.line_at(F.col("text"), -2), ["do
        f"{LINES}[-2]")
 
 
-@query("ordered_merge", """SELECT conv_id, turn // 1000 AS piece,
-    string_agg(text, chr(10) ORDER BY turn) AS body, count(*) AS segments
-    FROM conversations GROUP BY 1, 2""")
+@query("ordered_merge", """SELECT conv_id, string_agg(text, chr(10) ORDER BY turn) AS body
+    FROM conversations GROUP BY 1""")
 def ordered_merge(spark, sf_dir):
-    return segments.ordered_merge(
-        table(spark, sf_dir, "conversations"), ["conv_id"], "turn", "text", "\n"
-    )
+    """Turns assembled into one file per conversation, and the files read back."""
+    path = scratch_path(spark, "objects")
+    turns = table(spark, sf_dir, "conversations")
+    segments.ordered_merge(turns, ["conv_id"], "turn", "text", path, "\n")
+    return segments.read_objects(spark, path, "conv_id bigint", "\n")
 
 
 @query("prefix_list", f"""SELECT page_id, 'https://m.example.com' || href AS link FROM (SELECT
@@ -890,8 +947,8 @@ def prefix_list(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", F.explode(prefixed).alias("link"))
 
 
-scalar("date_compact", "orders", lambda: tx.date_tag(F.col("o_orderdate"), "staobaoz_"),
-       ["o_orderkey"], "'staobaoz_' || strftime(o_orderdate, '%Y%m%d')")
+scalar("date_compact", "orders", lambda: tx.date_tag(F.col("o_orderdate"), "harvest_"),
+       ["o_orderkey"], "'harvest_' || strftime(o_orderdate, '%Y%m%d')")
 scalar("store_time", "events",
        lambda: F.date_format(tx.local_time(F.col("ts")), "yyyy-MM-dd HH:mm:ss"), ["event_id"],
        "strftime(ts + INTERVAL 8 HOUR, '%Y-%m-%d %H:%M:%S')")
@@ -961,18 +1018,20 @@ def crawl_rate(spark, sf_dir):
 
 # One whole crawl pass
 
-@query("crawl_pass_store", f"""WITH {FETCH_OUTCOMES},
+@query("crawl_pass_store", f"""WITH {PASS_OUTCOMES}, {fx.SEEN_SQL},
     kept AS (SELECT redirected_url AS url, arg_max(body, id) AS html FROM fetches
         WHERE status = 200 AND ishub = 0 GROUP BY 1),
     gone AS (SELECT url, CASE state WHEN 'success' THEN '1' ELSE '0' END AS status
-        FROM outcomes WHERE state <> 'waiting')
-    SELECT coalesce(k.url, e.url) AS url, e.status, k.html
-    FROM kept k FULL JOIN gone e ON k.url = e.url""")
+        FROM outcomes WHERE state <> 'waiting'),
+    urls AS (SELECT url FROM kept UNION SELECT url FROM gone UNION SELECT url FROM seen)
+    SELECT u.url, coalesce(e.status, s.status) AS status, coalesce(k.html, s.html) AS html
+    FROM urls u LEFT JOIN kept k ON k.url = u.url LEFT JOIN gone e ON e.url = u.url
+    LEFT JOIN seen s ON s.url = u.url""")
 def crawl_pass_store(spark, sf_dir):
     return one_pass(spark, sf_dir)[1]
 
 
-@query("crawl_pass_frontier", f"""WITH {FETCH_OUTCOMES}, {fx.HUBS_SQL},
+@query("crawl_pass_frontier", f"""WITH {PASS_OUTCOMES}, {fx.SEEN_SQL}, {fx.HUBS_SQL},
     gone AS (SELECT url FROM outcomes WHERE state <> 'waiting'),
     kept AS (SELECT redirected_url AS url FROM fetches WHERE status = 200 AND ishub = 0),
     raw AS (SELECT id, regexp_extract(redirected_url, '^[a-z]+://[^/]*') AS base,
@@ -983,7 +1042,7 @@ def crawl_pass_store(spark, sf_dir):
     fresh AS (SELECT canonical AS url, min(id) AS rank FROM canon
         WHERE canonical <> '' AND {fx.netloc_sql('canonical')} IN (SELECT host FROM hosts)
         AND canonical NOT IN (SELECT url FROM gone) AND canonical NOT IN (SELECT url FROM kept)
-        GROUP BY 1),
+        AND canonical NOT IN (SELECT url FROM seen) GROUP BY 1),
     pool AS (SELECT f.seq, f.host, f.url, f.status, f.mode, f.pended_at,
         coalesce(o.failure, f.failure) AS failure FROM frontier f LEFT JOIN outcomes o
         ON o.url = f.url WHERE o.state IS NULL OR o.state = 'waiting')
@@ -1000,10 +1059,10 @@ def crawl_pass_frontier(spark, sf_dir):
 
 
 def one_pass(spark, sf_dir):
-    """All pages fetched once, into an empty store."""
+    """All pages fetched once, with a third of them stored and failures carried on."""
     return lc.crawl_pass(
-        fx.frontier(spark, sf_dir),
-        spark.createDataFrame([], st.STORE_SCHEMA),
+        fx.tried_frontier(spark, sf_dir),
+        fx.seen_store(spark, sf_dir),
         fx.fetches(spark, sf_dir),
         fx.hosts(spark, sf_dir),
         lc.CrawlSettings(now=fx.NOW),
@@ -1030,29 +1089,56 @@ def attempt_stream(spark, sf_dir):
 @query("stream_outcome", f"{OUTCOMES} SELECT url, state, failure FROM outcomes")
 def stream_outcome(spark, sf_dir):
     root = scratch_path(spark, "outcomes")
-    outcomes = streams.outcome_stream(attempt_stream(spark, sf_dir), fx.THRESHOLD)
-    streams.drain(streams.write_batches(outcomes, f"{root}/out", f"{root}/checkpoint"))
-    return streams.latest_outcomes(spark, f"{root}/out")
+    attempts = attempt_stream(spark, sf_dir)
+    streams.drain(streams.outcome_stream(attempts, root, f"{root}-checkpoint", fx.THRESHOLD))
+    return streams.latest_outcomes(spark, root).select("url", "state", "failure")
 
 
 @query("stream_status", f"""{OUTCOMES} SELECT url, CASE state WHEN 'success' THEN '1' ELSE '0' END
     AS status, NULL::VARCHAR AS html FROM outcomes WHERE state <> 'waiting'""")
 def stream_status(spark, sf_dir):
     root = scratch_path(spark, "status")
-    outcomes = streams.outcome_stream(attempt_stream(spark, sf_dir), fx.THRESHOLD)
-    streams.drain(
-        streams.status_stream(outcomes, f"{root}/store", f"{root}/checkpoint", uuid.uuid4().hex)
-    )
+    streams.drain(streams.outcome_stream(
+        attempt_stream(spark, sf_dir), f"{root}/outcomes", f"{root}/checkpoint", fx.THRESHOLD,
+        store=f"{root}/store",
+    ))
     return tables.read_page_store(spark, f"{root}/store")
 
 
-@query("stream_dedupe", "SELECT DISTINCT user_id::VARCHAR AS url FROM events")
+@query("stream_dedupe", """SELECT user_id::VARCHAR AS url, min(ts) AS ts FROM events GROUP BY 1""")
 def stream_dedupe(spark, sf_dir):
     root = scratch_path(spark, "dedupe")
     urls = stream(spark, sf_dir, "events").select(F.col("user_id").cast("string").alias("url"), "ts")
-    first = streams.dedupe_stream(urls, "ts", "3650 days")
-    streams.drain(streams.write_batches(first, f"{root}/out", f"{root}/checkpoint", "append"))
-    return spark.read.schema("url string").parquet(f"{root}/out").select("url")
+    streams.drain(streams.dedupe_stream(urls, "ts", root, f"{root}-checkpoint"))
+    seen = tables.read_log(spark, root, "seen", streams.SEEN_SCHEMA)
+    return seen.select("url", F.col("ts").cast("timestamp_ntz").alias("ts"))
+
+
+def crawl_pages_stream(spark, sf_dir):
+    """A store and a frontier kept from before, and one pass over a stream of pages."""
+    root = scratch_path(spark, "crawl")
+    before = fx.seen_store(spark, sf_dir)
+    tables.commit(spark, root, {
+        "frontier": fx.tried_frontier(spark, sf_dir),
+        "pages": before.select("url", "html"), "status": before.select("url", "status"),
+    })
+    pages = fx.fetches_of(
+        stream(spark, sf_dir, "pages").withColumn("canonical", ux.canonical_url(F.col("url")))
+    )
+    streams.drain(streams.crawl_stream(
+        pages, root, fx.hosts(spark, sf_dir), lc.CrawlSettings(now=fx.NOW), f"{root}-checkpoint"
+    ))
+    return root
+
+
+@query("stream_crawl_pass", ORACLES["crawl_pass_frontier"])
+def stream_crawl_pass(spark, sf_dir):
+    return tables.load_frontier(spark, crawl_pages_stream(spark, sf_dir))
+
+
+@query("stream_crawl_store", ORACLES["crawl_pass_store"])
+def stream_crawl_store(spark, sf_dir):
+    return tables.read_page_store(spark, crawl_pages_stream(spark, sf_dir))
 
 
 @query("stream_rate", RATE_SQL)

@@ -7,7 +7,6 @@ from spinneret.functions.urls import BINARY_SUFFIXES, canonical_url, netloc
 from spinneret.operators.links import page_links
 
 NOW, SPAN, THRESHOLD = 20, 10, 3
-HUB_PAGES = 3
 FEED_PAGE = 50
 
 # Endings put on every page URL, so that each canonical rule meets each page.
@@ -93,23 +92,22 @@ LINKS_SQL = f"""
     links AS (SELECT DISTINCT page_id, canonical AS link FROM canon WHERE canonical <> '')"""
 
 HUBS_SQL = f"""
-    hosts AS (SELECT {netloc_sql('url')} AS host FROM pages GROUP BY 1
-        HAVING count(*) >= {HUB_PAGES})"""
+    host_sizes AS (SELECT {netloc_sql('url')} AS host, count(*) AS n FROM pages GROUP BY 1),
+    hosts AS (SELECT host FROM host_sizes WHERE n > (SELECT avg(n) FROM host_sizes))"""
 
 
 def links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page_links(table(spark, sf_dir, "pages"), ["page_id"])
 
 
-def hosts(spark: SparkSession, sf_dir: str, at_least: int = HUB_PAGES) -> DataFrame:
-    """Hosts that serve several pages stand in for the hub list."""
-    return (
+def hosts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hosts with more pages than the average one stand in for the hub list."""
+    sizes = (
         table(spark, sf_dir, "pages")
         .groupBy(netloc(F.col("url")).alias("host"))
         .agg(F.count(F.lit(1)).alias("n"))
-        .where(F.col("n") >= at_least)
-        .select("host")
     )
+    return sizes.where(F.col("n") > sizes.agg(F.avg("n")).scalar()).select("host")
 
 
 def frontier(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -143,15 +141,34 @@ def attempts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def outcome_sql(source: str, threshold: int = THRESHOLD) -> str:
-    """Common tables ending in ``outcomes`` for ``source(url, mode, code, ts, id)``."""
+def tried_frontier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The frontier with failures of earlier passes."""
+    return frontier(spark, sf_dir).withColumn("failure", (F.col("seq") % 4).cast("int"))
+
+
+TRIED_FRONTIER_SQL = FRONTIER_SQL.replace("0::INTEGER AS failure", "(page_id % 4)::INTEGER AS failure")
+
+
+def seen_store(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The store before a pass: a third of the pages."""
+    return table(spark, sf_dir, "pages").where(F.col("page_id") % 3 == 0).select(
+        "url", F.lit("1").alias("status"), F.concat(F.lit("old "), "html").alias("html")
+    )
+
+
+SEEN_SQL = "seen AS (SELECT url, '1' AS status, 'old ' || html AS html FROM pages WHERE page_id % 3 = 0)"
+
+
+def outcome_sql(source: str, threshold: int = THRESHOLD, carried: str = "0") -> str:
+    """Common tables ending in ``outcomes`` for ``source(url, mode, code, ts, id)`` and
+    the failures ``carried`` from before."""
     return f"""
     folded AS (SELECT *, row_number() OVER w AS i,
-        sum(CASE WHEN code NOT IN (200, 404) THEN 1 ELSE 0 END) OVER w AS fails
+        {carried} + sum(CASE WHEN code NOT IN (200, 404) THEN 1 ELSE 0 END) OVER w AS fails
         FROM {source} WINDOW w AS (PARTITION BY url ORDER BY ts, id)),
     ending AS (SELECT *, CASE WHEN code = 404 THEN 'failed'
         WHEN mode = 'url' AND code = 200 THEN 'success'
-        WHEN mode = 'url' AND fails > {threshold} THEN 'failed' END AS ends FROM folded),
+        WHEN mode = 'url' AND fails > {threshold} AND code <> 200 THEN 'failed' END AS ends FROM folded),
     ended AS (SELECT url, mode, arg_min(ends, i) FILTER (ends IS NOT NULL) AS state,
         max(fails) AS fails FROM ending GROUP BY url, mode),
     outcomes AS (SELECT url, mode, coalesce(state, 'waiting') AS state,
@@ -172,8 +189,12 @@ def served_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fetches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every page as one fetch, redirected to its canonical URL."""
+    return fetches_of(served_pages(spark, sf_dir))
+
+
+def fetches_of(served: DataFrame) -> DataFrame:
     page = F.col("page_id")
-    return served_pages(spark, sf_dir).select(
+    return served.select(
         page.alias("id"),
         "url",
         F.when(page % 7 == 0, 404).when(page % 11 == 0, 0).otherwise(200).alias("status"),

@@ -9,6 +9,7 @@ from spinneret.operators import frontier as fr
 from spinneret.operators import rank
 from spinneret.operators.feeds import feed_items
 from spinneret.operators.links import ok_fetches, on_site_links, page_links
+from spinneret.operators.ordering import last_per_key
 from spinneret.operators.scratch import settle
 from spinneret.operators.store import upsert_pages, upsert_status
 from spinneret.sources.files import write_items_csv
@@ -24,42 +25,51 @@ class CrawlSettings:
     hub_percent: int = 50
 
 
-def crawl_pass(
-    frontier: DataFrame, store: DataFrame, fetches: DataFrame, hosts: DataFrame,
+def pass_changes(
+    frontier: DataFrame, known: DataFrame, fetches: DataFrame, hosts: DataFrame,
     settings: CrawlSettings,
-) -> tuple[DataFrame, DataFrame]:
-    """One pass: attempts settle the frontier, hubs feed it, pages are stored.
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """One pass as what it changes: attempts settle the frontier, hubs feed it, pages are kept.
 
-    ``fetches`` holds ``id, url, status, body, redirected_url, ts, ishub``.
-    Returns the frontier and the store after the pass; ``next_batch`` on the
-    frontier gives the next batch. The outcomes, which several later steps read,
-    are settled, so no step repeats another's work.
+    ``fetches`` holds ``id, url, status, body, redirected_url, ts, ishub``; ``known`` the
+    URLs of the store. Gives the frontier after the pass, ``url, status`` of the URLs that
+    left, and ``url, html`` of the pages, each URL once. The outcomes, which several steps
+    read, are settled, so no step repeats another's work.
     """
     attempts = fr.redirect_fold(
         fetches.select("url", "redirected_url", F.col("status").alias("code"), "ts", "id")
     )
-    outcomes = settle(
-        fr.url_outcome(fr.attempt_join(attempts, frontier), settings.failure_threshold)
-    )
+    outcomes = settle(fr.frontier_outcomes(attempts, frontier, settings.failure_threshold))
     ended = outcomes.where(F.col("state") != fr.WAITING).select(
-        "url",
-        F.when(F.col("state") == fr.SUCCESS, "1").otherwise("0").alias("status"),
-        F.lit(0).alias("turn"),
+        "url", F.when(F.col("state") == fr.SUCCESS, "1").otherwise("0").alias("status")
     )
     hubs, pages = ok_fetches(fetches)
-    bodies = pages.select(
-        F.col("redirected_url").alias("url"), F.col("body").alias("html"), "ts", "id"
-    )
-    new_store = upsert_pages(upsert_status(store, ended, ["turn"]), bodies, ["ts", "id"])
+    bodies = last_per_key(
+        pages.where(F.col("redirected_url").isNotNull()).select(
+            F.col("redirected_url").alias("url"), F.col("body").alias("html"), "ts", "id"
+        ),
+        ["url"], ["ts", "id"],
+    ).select("url", "html")
 
     links = on_site_links(page_links(hubs, ["id"], "redirected_url", "body"), hosts)
     found = links.groupBy(F.col("link").alias("url")).agg(F.min("id").alias("rank"))
-    known = rank.union_all(store.select("url"), ended.select("url"), bodies.select("url"))
-    fresh = fr.unseen_urls(found.withColumn("mode", F.lit("url")), known)
-    new_frontier = fr.frontier_admit(
+    seen = rank.union_all(known.select("url"), ended.select("url"), bodies.select("url"))
+    fresh = fr.unseen_urls(found.withColumn("mode", F.lit("url")), seen)
+    after = fr.frontier_admit(
         fr.apply_outcomes(frontier, outcomes), fresh, settings.now, settings.pend_span
     )
-    return new_frontier, new_store
+    return after, ended, bodies
+
+
+def crawl_pass(
+    frontier: DataFrame, store: DataFrame, fetches: DataFrame, hosts: DataFrame,
+    settings: CrawlSettings,
+) -> tuple[DataFrame, DataFrame]:
+    """The frontier and the store after a pass; ``next_batch`` on the frontier gives the next batch."""
+    after, ended, bodies = pass_changes(frontier, store.select("url"), fetches, hosts, settings)
+    turn = F.lit(0).alias("turn")
+    with_status = upsert_status(store, ended.select("*", turn), ["turn"])
+    return after, upsert_pages(with_status, bodies.select("*", turn), ["turn"])
 
 
 def next_batch(frontier: DataFrame, settings: CrawlSettings) -> DataFrame:

@@ -1,119 +1,239 @@
-"""Versioned Parquet tables: frontier snapshots and the bucketed page store.
+"""Kept tables: a folder of appended Parquet batches, newest row per key wins.
 
-Every write goes to a new version folder and counts once Spark has put its
-``_SUCCESS`` mark there, so readers never see half a version.
+A commit appends what changed to one or more tables of a folder and then puts a
+mark of its own there; readers see marked commits only, and all tables of a commit
+at once. Nothing is rewritten by a commit. ``fold_store`` writes the current rows as
+one commit from which reading then starts, and ``drop_folded`` removes what lies
+before it. One writer at a time.
+
+The page store has three tables, so that a status never touches a page body:
+``pages (url, html)``, ``status (url, status)`` and ``gone (url)``.
 """
 
 from collections.abc import Callable
+from typing import NamedTuple
+from urllib.parse import quote, unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spinneret.operators.frontier import FRONTIER_SCHEMA
+from spinneret.operators.joins import fits_broadcast, lookup_join
+from spinneret.operators.ordering import last_per_key
+from spinneret.operators.scratch import settle
 from spinneret.operators.store import STORE_SCHEMA
 
-BUCKETS = 64
-MANIFEST_SCHEMA = "buckets int, held map<int,bigint>, writers map<string,bigint>"
-
-
-def committed_versions(spark: SparkSession, root: str) -> list[int]:
-    path = spark._jvm.org.apache.hadoop.fs.Path(root)
-    files = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not files.exists(path):
-        return []
-    names = [entry.getPath().getName() for entry in files.listStatus(path)]
-    return sorted(
-        int(name.split("=")[1])
-        for name in names
-        if name.startswith("version=")
-        and files.exists(spark._jvm.org.apache.hadoop.fs.Path(f"{root}/{name}/_SUCCESS"))
-    )
+PAGE_SCHEMA, STATUS_SCHEMA, GONE_SCHEMA = "url string, html string", "url string, status string", "url string"
+MARKS = "_marks"
+
+
+class Commit(NamedTuple):
+    number: int
+    fold: bool
+    writer: str
+    batch: int
+    tables: frozenset[str]
+
+
+def _path(spark: SparkSession, path: str):
+    made = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return made, made.getFileSystem(spark._jsc.hadoopConfiguration())
 
 
-def save_snapshot(df: DataFrame, root: str) -> int:
-    """Write the whole table as a new version. ``df`` may read an older one."""
-    versions = committed_versions(df.sparkSession, root)
-    version = versions[-1] + 1 if versions else 0
-    df.write.mode("overwrite").parquet(f"{root}/version={version}", compression="zstd")
-    return version
+def _names(spark: SparkSession, path: str) -> list[str]:
+    where, files = _path(spark, path)
+    return [e.getPath().getName() for e in files.listStatus(where)] if files.exists(where) else []
 
 
-def load_snapshot(spark: SparkSession, root: str, schema: str) -> DataFrame:
-    """The newest complete version; an empty table when there is none."""
-    versions = committed_versions(spark, root)
-    if not versions:
-        return spark.createDataFrame([], schema)
-    return spark.read.schema(schema).parquet(f"{root}/version={versions[-1]}")
+def commits(spark: SparkSession, root: str) -> list[Commit]:
+    """The finished commits of a folder, oldest first; one listing of its marks.
 
+    A folder with data and without any mark is an error rather than empty.
+    """
+    found = []
+    for name in _names(spark, f"{root}/{MARKS}"):
+        if not name.startswith("."):
+            number, fold, writer, batch, tables = name.split(",")
+            found.append(
+                Commit(int(number), fold == "fold", unquote(writer), int(batch), frozenset(tables.split("+")))
+            )
+    if not found and any(not n.startswith(".") for n in _names(spark, root)):
+        raise ValueError(f"{root} holds data, but no commit of it was finished")
+    return sorted(found)
+
+
+def commit(
+    spark: SparkSession, root: str, frames: dict[str, DataFrame], writer: str = "", batch: int = -1,
+    fold: bool = False,
+) -> int | None:
+    """Append ``frames`` to the tables they are named by, as one commit.
+
+    Each frame is evaluated once, by its write. A ``writer``'s batch that is not
+    newer than its last one is left out (None), so a replay changes nothing.
+    """
+    done = commits(spark, root) if _names(spark, f"{root}/{MARKS}") else []
+    if writer and any(c.writer == writer and c.batch >= batch for c in done):
+        return None
+    number = done[-1].number + 1 if done else 0
+    for table, frame in frames.items():
+        frame.write.mode("overwrite").parquet(f"{root}/{table}/commit={number}", compression="zstd")
+    tables = "+".join(sorted(frames))
+    mark = f"{number:012d},{'fold' if fold else 'add'},{quote(writer, safe='')},{batch},{tables}"
+    where, files = _path(spark, f"{root}/{MARKS}/{mark}")
+    files.create(where).close()
+    return number
+
+
+def read_log(spark: SparkSession, root: str, table: str, schema: str, newest: bool = False) -> DataFrame:
+    """Rows of a table with their ``commit``, from the last fold on; or of its ``newest`` commit."""
+    done = commits(spark, root)
+    folded = max((c.number for c in done if c.fold), default=0)
+    held = [c.number for c in done if c.number >= folded and table in c.tables]
+    held = held[-1:] if newest else held
+    whole = f"{schema}, commit bigint"
+    if not held:
+        return spark.createDataFrame([], whole)
+    paths = [f"{root}/{table}/commit={n}" for n in held]
+    return spark.read.schema(whole).option("basePath", f"{root}/{table}").parquet(*paths)
+
+
+def drop_folded(spark: SparkSession, root: str) -> int:
+    """Remove the commits before the last fold; gives their number."""
+    done = commits(spark, root)
+    folded = max((c.number for c in done if c.fold), default=0)
+    old = [c for c in done if c.number < folded]
+    for c in old:
+        for name in _names(spark, f"{root}/{MARKS}"):
+            if name.startswith(f"{c.number:012d},"):
+                where, files = _path(spark, f"{root}/{MARKS}/{name}")
+                files.delete(where, False)
+        for table in c.tables:
+            where, files = _path(spark, f"{root}/{table}/commit={c.number}")
+            files.delete(where, True)
+    return len(old)
+
+
+# Frontier snapshots
 
 def save_frontier(frontier: DataFrame, root: str) -> int:
-    return save_snapshot(frontier, root)
+    """Keep the whole frontier as a new commit. ``frontier`` may read an older one."""
+    return commit(frontier.sparkSession, root, {"frontier": frontier})
 
 
 def load_frontier(spark: SparkSession, root: str) -> DataFrame:
-    return load_snapshot(spark, root, FRONTIER_SCHEMA)
+    """The newest kept frontier; an empty one when there is none."""
+    return read_log(spark, root, "frontier", FRONTIER_SCHEMA, newest=True).drop("commit")
+
 
+# Page store
 
-# Page store in URL-hash buckets. A merge rewrites only the buckets it touches;
-# the one-row manifest of a version says which version holds each bucket and
-# the last batch of every streaming writer. One writer at a time.
+def _last(rows: DataFrame, value: str, order: list[str]) -> DataFrame:
+    known = rows.where(F.col("url").isNotNull()).select("url", value, *order)
+    return last_per_key(known, ["url"], order).select("url", value)
 
-def with_bucket(df: DataFrame, buckets: int) -> DataFrame:
-    return df.withColumn("bucket", F.pmod(F.xxhash64("url"), F.lit(buckets)).cast("int"))
 
+def write_pages(pages: DataFrame, root: str, order: list[str], writer: str = "", batch: int = -1) -> int | None:
+    """Replace or add ``html`` by URL; the last row by ``order`` wins, the status stays."""
+    return commit(pages.sparkSession, root, {"pages": _last(pages, "html", order)}, writer, batch)
 
-def _manifest(spark: SparkSession, root: str) -> dict:
-    row = load_snapshot(spark, f"{root}/manifest", MANIFEST_SCHEMA).first()
-    return row.asDict() if row else {"buckets": None, "held": {}, "writers": {}}
 
+def write_status(outcomes: DataFrame, root: str, order: list[str], writer: str = "", batch: int = -1) -> int | None:
+    """Replace or add ``status`` by URL; no page body is read or written."""
+    return commit(outcomes.sparkSession, root, {"status": _last(outcomes, "status", order)}, writer, batch)
+
+
+def insert_kept(documents: DataFrame, root: str, order: list[str], writer: str = "", batch: int = -1) -> int | None:
+    """Append whole documents ``url, status, html``."""
+    last = settle(
+        last_per_key(documents.where(F.col("url").isNotNull()), ["url"], order)
+        .select("url", "status", "html")
+    )
+    frames = {"pages": last.select("url", "html"), "status": last.select("url", "status")}
+    return commit(documents.sparkSession, root, frames, writer, batch)
 
-def _read_buckets(spark: SparkSession, root: str, held: dict[int, int]) -> DataFrame:
-    paths = [f"{root}/data/version={v}/bucket={b}" for b, v in held.items()]
-    if not paths:
-        return spark.createDataFrame([], STORE_SCHEMA)
-    return spark.read.schema(STORE_SCHEMA).parquet(*paths)
+
+def _matching(spark: SparkSession, root: str, predicate: Column, many: bool) -> DataFrame:
+    """Stored rows to change: all matches, or the one with the smallest URL."""
+    found = read_page_store(spark, root).where(predicate)
+    return found if many else found.orderBy("url").limit(1)
+
+
+def delete_kept(spark: SparkSession, root: str, predicate: Column, many: bool = False) -> int | None:
+    """Delete matching documents of the kept store: their URLs are noted as gone."""
+    return commit(spark, root, {"gone": _matching(spark, root, predicate, many).select("url")})
+
+
+def update_kept(
+    spark: SparkSession, root: str, predicate: Column, values: dict[str, Column], many: bool = False
+) -> int | None:
+    """Set ``status`` or ``html`` of matching documents; only these columns are written."""
+    unknown = set(values) - {"status", "html"}
+    if unknown:
+        raise ValueError(f"not a column of the store that can be set: {sorted(unknown)}")
+    changed = settle(
+        _matching(spark, root, predicate, many).select("url", *[v.alias(n) for n, v in values.items()])
+    )
+    tables = {"status": "status", "html": "pages"}
+    return commit(spark, root, {tables[n]: changed.select("url", n) for n in values})
+
+
+def _stale(rows: DataFrame, gone: DataFrame) -> DataFrame:
+    """``url, commit`` of rows that a newer row or a deletion has replaced; narrow columns only."""
+    places = rows.select("url", "commit")
+    newest = places.groupBy("url").agg(F.max("commit").alias("newest"))
+    kept = newest.join(gone, "url", "left")
+    old = (F.col("commit") < F.col("newest")) | (F.col("newest") <= F.col("deleted"))
+    return places.join(kept, "url").where(old).select("url", "commit")
 
 
 def read_page_store(spark: SparkSession, root: str) -> DataFrame:
-    return _read_buckets(spark, root, _manifest(spark, root)["held"])
-
-
-def merge_into_store(
-    incoming: DataFrame,
-    root: str,
-    order: list[str],
-    change: Callable[[DataFrame, DataFrame, list[str]], DataFrame],
-    buckets: int = BUCKETS,
-    writer: str | None = None,
-    batch: int = 0,
-) -> None:
-    """Apply ``upsert_pages`` or ``upsert_status`` to the stored table.
-
-    ``buckets`` counts for a new store only. A ``writer``'s batch that is not
-    newer than its last one is left out, so a replay changes nothing.
+    """``url, status, html`` of the store as it is now.
+
+    Which rows count is decided on URLs and commit numbers. Bodies then leave out the
+    replaced ones by an anti join and meet their status in a lookup; both sides are
+    broadcast where they are counted to be small, so that bodies are not shuffled.
     """
-    spark = incoming.sparkSession
-    manifest = _manifest(spark, root)
-    if writer is not None and manifest["writers"].get(writer, -1) >= batch:
-        return
-    buckets = manifest["buckets"] or buckets
-    incoming = incoming.where(F.col("url").isNotNull())
-    touched = [
-        row.bucket for row in with_bucket(incoming, buckets).select("bucket").distinct().collect()
-    ]
-    done = committed_versions(spark, f"{root}/manifest")
-    version = done[-1] + 1 if done else 0
-    held = manifest["held"]
-    if touched:
-        current = _read_buckets(spark, root, {b: held[b] for b in touched if b in held})
-        (
-            with_bucket(change(current, incoming, order), buckets)
-            .hint("rebalance", "bucket")
-            .write.mode("overwrite")
-            .partitionBy("bucket")
-            .parquet(f"{root}/data/version={version}", compression="zstd")
-        )
-        held.update({b: version for b in touched})
-    writers = manifest["writers"] | ({writer: batch} if writer is not None else {})
-    row = spark.createDataFrame([(buckets, held, writers)], MANIFEST_SCHEMA)
-    row.coalesce(1).write.mode("overwrite").parquet(f"{root}/manifest/version={version}")
+    pages = read_log(spark, root, "pages", PAGE_SCHEMA)
+    status = read_log(spark, root, "status", STATUS_SCHEMA)
+    gone = read_log(spark, root, "gone", GONE_SCHEMA).groupBy("url").agg(F.max("commit").alias("deleted"))
+    stale = _stale(pages, gone)
+    stale = F.broadcast(stale) if fits_broadcast(stale) else stale
+    bodies = pages.join(stale, ["url", "commit"], "left_anti").select("url", "html")
+    last = (
+        status.groupBy("url").agg(F.max(F.struct("commit", "status")).alias("last"))
+        .join(gone, "url", "left")
+        .where(F.col("deleted").isNull() | (F.col("last.commit") > F.col("deleted")))
+        .select("url", "last.status")
+    )
+    with_body = lookup_join(bodies, last, "url", "left").select("url", "status", "html")
+    without = last.join(bodies.select("url"), "url", "left_anti").select(
+        "url", "status", F.lit(None).cast("string").alias("html")
+    )
+    return with_body.unionByName(without)
+
+
+def stored_urls(spark: SparkSession, root: str) -> DataFrame:
+    """URLs that were ever stored; no body is read. A URL may come more than once."""
+    pages = read_log(spark, root, "pages", PAGE_SCHEMA).select("url")
+    return pages.unionByName(read_log(spark, root, "status", STATUS_SCHEMA).select("url"))
+
+
+def fold_store(spark: SparkSession, root: str) -> int | None:
+    """Write the current rows as one commit, from which reading starts."""
+    now = settle(read_page_store(spark, root))
+    others = {t for c in commits(spark, root) for t in c.tables} - {"pages", "status", "gone"}
+    if others:
+        raise ValueError(f"the folder also keeps {sorted(others)}; fold those with it")
+    frames = {
+        "pages": now.where(F.col("html").isNotNull()).select("url", "html"),
+        "status": now.where(F.col("status").isNotNull() | F.col("html").isNull()).select("url", "status"),
+    }
+    return commit(spark, root, frames, fold=True)
+
+
+def fold_when(spark: SparkSession, root: str, every: int, fold: Callable[[SparkSession, str], int | None]) -> None:
+    """Fold once ``every`` or more commits have come since the last fold."""
+    done = commits(spark, root)
+    since = max((c.number for c in done if c.fold), default=-1)
+    if done and done[-1].number - since >= every:
+        fold(spark, root)

@@ -1,27 +1,32 @@
 """The crawl loop as Structured Streaming queries.
 
-Late data follows the watermark: rows behind it are dropped. Hot keys are cut
-down inside each map task before the shuffle to the stateful operator.
+Each micro-batch is folded by the batch operators against what is kept, so a stream
+and its batch twin are one code, nothing runs in Python, and no state grows: what is
+known lies in kept tables. A replayed micro-batch changes nothing.
 """
 
-from collections.abc import Iterator
 from typing import Any
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
-from spinneret.operators.frontier import FAILED, SUCCESS, WAITING
-from spinneret.operators.links import hub_hosts, on_site_links, page_links
+from spinneret.operators.frontier import SUCCESS, WAITING, frontier_outcomes
+from spinneret.operators.links import hub_hosts, link_set, on_site_links, page_links
+from spinneret.operators.scratch import settle
 from spinneret.operators.segments import crawl_rate
-from spinneret.operators.store import upsert_pages, upsert_status
-from spinneret.sources.tables import merge_into_store
+from spinneret.plans.lifecycles import CrawlSettings, pass_changes
+from spinneret.sources.tables import (
+    commit,
+    load_frontier,
+    read_log,
+    stored_urls,
+    write_pages,
+    write_status,
+)
 
-ATTEMPT_SCHEMA = "url string, mode string, code int, ts timestamp, id bigint, n bigint"
-OUTCOME_SCHEMA = "url string, state string, failure int"
-STATE_SCHEMA = "state string, failure int"
+OUTCOME_SCHEMA = "url string, mode string, state string, failure int"
+SEEN_SCHEMA = "url string, ts timestamp"
 
 
 def read_stream(spark: SparkSession, folder: str, table: str, schema: Any) -> DataFrame:
@@ -39,65 +44,50 @@ def drain(writer: Any) -> None:
     query.awaitTermination()
 
 
-def _decisive_attempts(batches: Iterator[pd.DataFrame], leaves_at: int) -> Iterator[pd.DataFrame]:
-    """Per Arrow batch, the attempts that can decide a URL's state.
+def _each_batch(stream: DataFrame, checkpoint: str, work: Any):
+    return stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(work)
 
-    Mode ``url``: the first ending and the first few failures. Mode ``hub``:
-    the first 404 and one row that carries the number of failures.
+
+def outcome_stream(
+    attempts: DataFrame, root: str, checkpoint: str, threshold: int = 3, store: str | None = None,
+    writer: str = "outcomes",
+):
+    """Fold attempts ``url, mode, code, ts, id`` into the kept state of their URLs.
+
+    A micro-batch is folded in order of ``ts, id`` on top of the failures kept so far;
+    URLs that have left are not looked at again. Its outcomes are appended to the table
+    ``outcomes`` below ``root`` and, with ``store``, the URLs that left are noted in that
+    page store: ``1`` success, ``0`` failure.
     """
-    for batch in batches:
-        batch = batch.sort_values(["ts", "id"], kind="stable").assign(n=1)
-        hub = batch["mode"] == "hub"
-        ending = batch["code"].isin([200, 404])
-
-        pages = batch[~hub]
-        place = pages.groupby([pages["url"], ending[~hub]]).cumcount()
-        kept = pages[place < ending[~hub].map({True: 1, False: leaves_at})]
-
-        hubs = batch[hub]
-        gone = hubs[hubs["code"] == 404].drop_duplicates("url")
-        failed = (~ending[hub]).astype("int64").groupby(hubs["url"]).sum()
-        counted = hubs.drop_duplicates("url")
-        counted = counted.assign(code=0, n=counted["url"].map(failed))
-        yield pd.concat([kept, counted, gone])
-
-
-def _fold(leaves_at: int):
-    def fold(key: tuple, chunks: Iterator[pd.DataFrame], state: GroupState):
-        status, failure = state.get if state.exists else (WAITING, 0)
-        for row in pd.concat(chunks).sort_values(["ts", "id"], kind="stable").itertuples():
-            if status != WAITING:
-                break
-            if row.code == 404:
-                status = FAILED
-            elif row.mode == "hub":
-                failure += int(row.n)
-            elif row.code == 200:
-                status = SUCCESS
-            else:
-                failure += 1
-                status = FAILED if failure >= leaves_at else WAITING
-        state.update((status, failure))
-        yield pd.DataFrame(
-            {"url": [key[0]], "state": [status],
-             "failure": pd.array([failure if status == WAITING else None], dtype="Int32")}
+    def fold(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        tried = settle(batch.select("url", "mode", "code", F.col("ts").cast("timestamp").alias("ts"), "id"))
+        known = latest_outcomes(spark, root)
+        entries = (
+            tried.groupBy("url").agg(F.first("mode").alias("mode"))
+            .join(known.drop("mode"), "url", "left")
+            .where(F.col("state").isNull() | (F.col("state") == WAITING))
+            .select("url", "mode", F.coalesce("failure", F.lit(0)).alias("failure"))
         )
+        outcomes = settle(frontier_outcomes(tried.drop("mode"), settle(entries), threshold))
+        if store is not None:
+            ended = outcomes.where(F.col("state") != WAITING).select(
+                "url", F.when(F.col("state") == SUCCESS, "1").otherwise("0").alias("status"),
+                F.lit(number).alias("batch"),
+            )
+            write_status(ended, store, ["batch"], writer, number)
+        commit(spark, root, {"outcomes": outcomes}, writer, number)
 
-    return fold
+    return _each_batch(attempts, checkpoint, fold)
 
 
-def outcome_stream(attempts: DataFrame, threshold: int = 3) -> DataFrame:
-    """State of each URL after every micro-batch that tried it.
-
-    Attempts hold ``url, mode, code, ts, id``. Within a micro-batch they are
-    folded in order of ``ts, id``; across micro-batches in order of arrival.
-    """
-    leaves_at = max(threshold + 1, 2)
-    decisive = attempts.select(
-        "url", "mode", "code", F.col("ts").cast("timestamp").alias("ts"), "id"
-    ).mapInPandas(lambda it: _decisive_attempts(it, leaves_at), ATTEMPT_SCHEMA)
-    return decisive.groupBy("url").applyInPandasWithState(
-        _fold(leaves_at), OUTCOME_SCHEMA, STATE_SCHEMA, "update", GroupStateTimeout.NoTimeout
+def latest_outcomes(spark: SparkSession, root: str) -> DataFrame:
+    """Current state per URL out of the kept micro-batches."""
+    kept = read_log(spark, root, "outcomes", OUTCOME_SCHEMA)
+    return (
+        kept.groupBy("url")
+        .agg(F.max_by(F.struct("mode", "state", "failure"), "commit").alias("last"))
+        .select("url", "last.mode", "last.state", "last.failure")
     )
 
 
@@ -109,45 +99,19 @@ def write_batches(stream: DataFrame, path: str, checkpoint: str, mode: str = "up
     return stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).foreachBatch(keep)
 
 
-def latest_outcomes(spark: SparkSession, path: str) -> DataFrame:
-    """Current state per URL out of the kept micro-batches."""
-    kept = spark.read.schema(f"{OUTCOME_SCHEMA}, batch bigint").parquet(path)
-    return (
-        kept.groupBy("url")
-        .agg(F.max_by(F.struct("state", "failure"), "batch").alias("last"))
-        .select("url", "last.state", "last.failure")
-    )
-
+def dedupe_stream(urls: DataFrame, ts: str, root: str, checkpoint: str, writer: str = "seen"):
+    """Append the first sighting of each URL to the table ``seen`` below ``root``.
 
-def status_stream(outcomes: DataFrame, root: str, checkpoint: str, writer: str):
-    """Record the URLs that ended in the page store: ``1`` success, ``0`` failure."""
-    def record(batch: DataFrame, number: int) -> None:
-        ended = batch.where(F.col("state") != WAITING).select(
-            "url",
-            F.when(F.col("state") == SUCCESS, "1").otherwise("0").alias("status"),
-            F.lit(number).alias("batch"),
-        )
-        merge_into_store(ended, root, ["batch"], upsert_status, writer=writer, batch=number)
-
-    return (
-        outcomes.writeStream.outputMode("update")
-        .option("checkpointLocation", checkpoint)
-        .foreachBatch(record)
-    )
-
-
-def dedupe_stream(urls: DataFrame, ts: str, delay: str) -> DataFrame:
-    """First sighting of each URL while the watermark remembers it."""
-    def first_in_batch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            yield batch.sort_values("ts", kind="stable").drop_duplicates("url")
+    A micro-batch is made distinct and tested against all that was ever kept, so a URL is
+    found once however late or long ago it was seen; no watermark drops a row.
+    """
+    def keep(batch: DataFrame, number: int) -> None:
+        first = batch.groupBy("url").agg(F.min(F.col(ts).cast("timestamp")).alias("ts"))
+        known = read_log(batch.sparkSession, root, "seen", SEEN_SCHEMA).select("url")
+        fresh = first.join(known, "url", "left_anti")
+        commit(batch.sparkSession, root, {"seen": fresh}, writer, number)
 
-    seen = urls.select("url", F.col(ts).cast("timestamp").alias("ts"))
-    return (
-        seen.mapInPandas(first_in_batch, "url string, ts timestamp")
-        .withWatermark("ts", delay)
-        .dropDuplicatesWithinWatermark(["url"])
-    )
+    return _each_batch(urls, checkpoint, keep)
 
 
 def rate_stream(tasks: DataFrame, ts: str, seconds: int, delay: str) -> DataFrame:
@@ -157,11 +121,29 @@ def rate_stream(tasks: DataFrame, ts: str, seconds: int, delay: str) -> DataFram
 
 
 def upsert_stream(pages: DataFrame, root: str, order: list[str], checkpoint: str, writer: str):
-    """Merge each micro-batch of ``url, html`` into the page store once."""
-    def merge(batch: DataFrame, number: int) -> None:
-        merge_into_store(batch, root, order, upsert_pages, writer=writer, batch=number)
+    """Append each micro-batch of ``url, html`` to the page store once."""
+    return _each_batch(
+        pages, checkpoint, lambda batch, number: write_pages(batch, root, order, writer, number)
+    )
+
 
-    return pages.writeStream.option("checkpointLocation", checkpoint).foreachBatch(merge)
+def crawl_stream(
+    fetches: DataFrame, root: str, hosts: DataFrame, settings: CrawlSettings, checkpoint: str,
+    writer: str = "crawl",
+):
+    """One crawl pass per micro-batch of fetches, on the frontier and store kept in ``root``.
+
+    The new frontier, the pages and the status of a pass are one commit.
+    """
+    def run(batch: DataFrame, number: int) -> None:
+        spark = batch.sparkSession
+        frontier, ended, bodies = pass_changes(
+            load_frontier(spark, root), stored_urls(spark, root), settle(batch), hosts, settings
+        )
+        frames = {"frontier": frontier, "status": ended, "pages": bodies}
+        commit(spark, root, frames, writer, number)
+
+    return _each_batch(fetches, checkpoint, run)
 
 
 def on_site_stream(pages: DataFrame, keys: list[str], hubs_path: str, path: str, checkpoint: str):
@@ -169,9 +151,11 @@ def on_site_stream(pages: DataFrame, keys: list[str], hubs_path: str, path: str,
 
     Links are made distinct within the micro-batch, so no state grows.
     """
+    found = link_set()
+
     def keep(batch: DataFrame, number: int) -> None:
         hosts = hub_hosts(batch.sparkSession.read.parquet(hubs_path))
-        links = on_site_links(page_links(batch, keys), hosts)
+        links = on_site_links(page_links(batch, keys, links=found), hosts)
         links.write.mode("overwrite").parquet(f"{path}/batch={number}")
 
     return pages.writeStream.option("checkpointLocation", checkpoint).foreachBatch(keep)

@@ -6,7 +6,7 @@ import __spark_entry__ as driver
 from spinneret.plans import catalog
 from tests.oracle import compare, connect
 
-ROWS_ONLY = {"binary_assets"}
+ROWS_ONLY = set()
 
 
 @pytest.fixture(scope="module")

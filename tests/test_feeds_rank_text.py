@@ -104,11 +104,67 @@ def test_manifest_and_segment_names(spark):
     assert [r.l for r in last] == ["b.ts\r", None, None]
 
 
-def test_merge_splits_huge_objects_into_ordered_pieces(spark):
-    df = spark.range(25).select(F.lit("o").alias("k"), F.col("id").alias("pos"), F.col("id").cast("string").alias("t"))
-    got = segments.ordered_merge(df, ["k"], "pos", "t", ",", per_piece=10).orderBy("piece").collect()
-    assert ",".join(r.body for r in got) == ",".join(map(str, range(25)))
-    assert [r.segments for r in got] == [10, 10, 5]
+def test_merge_gives_one_object_whatever_its_length(spark, tmp_path):
+    df = spark.range(5000).select(
+        F.when(F.col("id") % 50 == 0, "small").otherwise("large").alias("k"),
+        (5000 - F.col("id")).alias("pos"), F.col("id").cast("string").alias("t"))
+    df = df.unionByName(spark.createDataFrame([("large", None, "first")], "k string, pos bigint, t string"))
+    segments.ordered_merge(df.repartition(7), ["k"], "pos", "t", str(tmp_path / "o"), ",")
+    got = {r.k: r.body for r in segments.read_objects(spark, str(tmp_path / "o"), "k string", ",").collect()}
+    large = [str(i) for i in range(4999, -1, -1) if i % 50]
+    assert got["large"] == ",".join(["first", *large])
+    assert got["small"] == ",".join(str(i) for i in range(4950, -1, -50))
+    assert all(len(list(d.glob("part-*"))) == 1 for d in (tmp_path / "o").glob("k=*"))
+
+
+def test_a_missing_latency_is_live_and_last(spark):
+    df = spark.createDataFrame([("a", None), ("b", 2.0), ("c", -1.0), ("d", 1.0)], "ip string, ping double")
+    got = rank.latency_rank(df, "ping", ["ip"]).orderBy("rank").collect()
+    assert [r.ip for r in got] == ["d", "b", "a"]
+    both = rank.union_indexed(["ip"], df.where("ping > 0"), df.where("ping < 0"))
+    assert [(r.ip, r["index"]) for r in both.orderBy("index").collect()] == [("b", 0), ("d", 1), ("c", 2)]
+
+
+def test_genuine_replacement_characters_stay(spark):
+    df = spark.createDataFrame(
+        [("a\ufffdb".encode(),), ("a\ufffdb".encode() + b"\xff\xc3",)], "b binary")
+    out = df.select(text.decode_body(F.col("b"), F.lit("utf-8")).alias("t")).collect()
+    assert [r.t for r in out] == ["a\ufffdb", "a\ufffdb"]
+
+
+def test_hostile_markup_stays_linear(spark):
+    import time
+
+    hostile = ["<a " * 40_000, "<title>" * 40_000, "<title " * 40_000, "<a href=x>" * 40_000,
+               "<a " * 20_000 + "<a href=/x>x</a>" + "<a href=" * 20_000]
+    df = spark.createDataFrame([(h,) for h in hostile], "h string").coalesce(1)
+    start = time.time()
+    got = df.select(html.anchor_hrefs(F.col("h")).alias("l"), html.title_token(F.col("h")).alias("t"),
+                    html.first_regex(F.col("h"), html.TITLE_PATTERN).alias("f")).collect()
+    assert time.time() - start < 15
+    assert [r.l for r in got] == [[], [], [], [], ["/x"]]
+    assert all(r.t == "" and r.f is None for r in got)
+
+
+def test_titles_and_anchors_equal_the_plain_patterns(spark):
+    import random
+    import re
+
+    anchor = re.compile(r"""<a[^>]*?href=['"]?([^> '"]+)[^>]*?>(.*?)</a>""", re.I | re.S)
+    title = re.compile(r"<title[^>]*>(.*?)</title>", re.I | re.S)
+    rng = random.Random(5)
+    parts = ["<a ", "<A", "href=", "'", '"', ">", "</a>", "</A>", "x", " ", "\n", "<title", "</title>", "<b>", "href=''"]
+    pages = ["".join(rng.choice(parts) for _ in range(rng.randrange(40))) for _ in range(3000)]
+    df = spark.createDataFrame(list(enumerate(pages)), "i int, h string")
+    got = df.select("i", html.anchor_hrefs(F.col("h")).alias("l"),
+                    html.first_regex(F.col("h"), html.TITLE_PATTERN).alias("t")).collect()
+    for r in got:
+        found = title.search(pages[r.i])
+        assert r.l == [m[0] for m in anchor.findall(pages[r.i])], pages[r.i]
+        assert r.t == (found.group(1) if found else None), pages[r.i]
+    pairs = html.anchor_pairs(df, "h").collect()
+    want = [(i, k, *m) for i, p in enumerate(pages) for k, m in enumerate(anchor.findall(p))]
+    assert sorted(map(tuple, pairs)) == want
 
 
 def test_decode_known_charsets(spark):

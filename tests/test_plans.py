@@ -2,11 +2,14 @@
 
 import re
 
+from pyspark.sql import functions as F
+
 from spinneret.operators import frontier as fr
 from spinneret.operators import links as lk
 from spinneret.operators import store as st
 from spinneret.plans import catalog
 from spinneret.plans import fixtures as fx
+from spinneret.sources import tables
 
 PYTHON = ("ArrowEvalPython", "BatchEvalPython", "MapInPandas", "FlatMapGroupsInPandas")
 
@@ -37,9 +40,56 @@ def test_predicates_reach_the_scan(spark, small):
     assert "text" not in text.split("ReadSchema")[1]
 
 
-def test_outcome_cuts_rows_before_its_shuffle(spark, small):
-    text = plan(fr.url_outcome(fx.attempts(spark, small)))
-    assert "WindowGroupLimit" in text and "Partial" in text
+def test_outcomes_read_their_attempts_once_and_are_aggregates(spark, small):
+    """Also for a threshold that no top-k operator could bound."""
+    read = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for batch in batches:
+            read.add(len(batch))
+            yield batch
+
+    attempts = fx.attempts(spark, small)
+    watched = attempts.mapInPandas(counted, attempts.schema)
+    outcomes = fr.url_outcome(watched, threshold=2000)
+    text = plan(outcomes)
+    outcomes.collect()
+    assert read.value == attempts.count()
+    assert "Window" not in text and "MapInPandas" not in text
+
+
+def test_admission_evaluates_frontier_and_candidates_once(spark, small):
+    read = {"frontier": spark.sparkContext.accumulator(0), "found": spark.sparkContext.accumulator(0)}
+
+    def watched(df, name):
+        def counted(batches):
+            for batch in batches:
+                read[name].add(len(batch))
+                yield batch
+
+        return df.mapInPandas(counted, df.schema)
+
+    pool = fx.frontier(spark, small)
+    found = catalog.candidates(spark, small).withColumn("mode", F.lit("url"))
+    fr.frontier_admit(watched(pool, "frontier"), watched(found, "found"), 20, 10).collect()
+    assert read["frontier"].value == pool.count()
+    assert read["found"].value == found.count()
+
+
+def test_unseen_reads_its_pages_once(spark, small):
+    text = plan(catalog.QUERIES["unseen_urls"](spark, small))
+    assert text.count("regexp_extract_all") <= 1 * text.count("Generate explode")
+    assert text.count("Generate explode") == 1
+
+
+def test_bodies_of_the_kept_store_are_not_shuffled(spark, small, tmp_path):
+    root = str(tmp_path / "store")
+    catalog.keep_store(catalog.stored_pages(spark, small), root)
+    tables.write_pages(catalog.incoming_pages(spark, small), root, ["page_id"])
+    text = plan(tables.read_page_store(spark, root))
+    for line in text.split("\n"):
+        if re.search(r"(?<!Broadcast)Exchange ", line):
+            assert "html" not in line
 
 
 def test_upsert_cuts_rows_before_its_shuffle(spark, small):

@@ -4,7 +4,8 @@ from pyspark.sql import functions as F
 
 from spinneret.operators import frontier as fr
 from spinneret.operators.store import upsert_pages
-from spinneret.sources.tables import read_page_store
+from spinneret.plans.lifecycles import CrawlSettings
+from spinneret.sources.tables import commit, load_frontier, read_log, read_page_store
 from spinneret.streaming import streams
 
 
@@ -34,8 +35,7 @@ def test_outcomes_over_several_batches_and_a_restart(spark, tmp_path):
     folder, out, check = (str(tmp_path / n) for n in ("in", "out", "check"))
     for part in range(3):
         table.where(F.floor(F.col("id") / 300) == part).coalesce(1).write.parquet(f"{folder}/p{part}")
-        stream = streams.outcome_stream(source(spark, folder, table.schema))
-        streams.drain(streams.write_batches(stream, out, check))
+        streams.drain(streams.outcome_stream(source(spark, folder, table.schema), out, check))
     got = {(r.url, r.state, r.failure) for r in streams.latest_outcomes(spark, out).collect()}
     batch = fr.url_outcome(table.withColumn("failure", F.lit(0))).select("url", "state", "failure")
     assert got == {tuple(r) for r in batch.collect()}
@@ -49,11 +49,47 @@ def test_dedupe_keeps_one_sighting(spark, tmp_path):
         "FROM range(40)"
     ).coalesce(1).write.parquet(f"{folder}/a")
     schema = spark.read.parquet(f"{folder}/a").schema
-    first = streams.dedupe_stream(source(spark, folder, schema), "ts", "10 days")
     out, check = str(tmp_path / "out"), str(tmp_path / "check")
-    streams.drain(streams.write_batches(first, out, check, "append"))
-    got = [r.url for r in spark.read.parquet(out).collect()]
-    assert sorted(got) == [f"u{i}" for i in range(7)]
+
+    def run():
+        streams.drain(streams.dedupe_stream(source(spark, folder, schema), "ts", out, check))
+        return {r.url: r.ts.isoformat() for r in read_log(spark, out, "seen", streams.SEEN_SCHEMA).collect()}
+
+    first = run()
+    assert first == {f"u{i}": f"2024-01-01T0{i}:00:00" for i in range(7)}
+    # Years later, and years earlier: known URLs are not found again, new ones always are.
+    spark.sql(
+        "SELECT 'u' || id url, timestamp_ntz'2034-01-01' ts FROM range(8) "
+        "UNION ALL SELECT 'early', timestamp_ntz'2004-01-01'"
+    ).coalesce(1).write.parquet(f"{folder}/b")
+    assert run() == first | {"u7": "2034-01-01T00:00:00", "early": "2004-01-01T00:00:00"}
+
+
+def test_crawl_passes_are_kept_and_replayed_without_effect(spark, tmp_path):
+    root, check = str(tmp_path / "root"), str(tmp_path / "check")
+    pool = spark.createDataFrame(
+        [(0, "a.cn", "http://a.cn/", "waiting", "hub", 0.0, 0), (1, "a.cn", "http://a.cn/p", "waiting", "url", 0.0, 3)],
+        fr.FRONTIER_SCHEMA)
+    commit(spark, root, {"frontier": pool})
+    hosts = spark.createDataFrame([("a.cn",)], "host string")
+    settings = CrawlSettings(now=20)
+    schema = "id int, url string, status int, body string, redirected_url string, ts int, ishub int"
+    folder = str(tmp_path / "in")
+
+    def run():
+        streams.drain(streams.crawl_stream(source(spark, folder, schema), root, hosts, settings, check))
+        store = {(r.url, r.status, r.html) for r in read_page_store(spark, root).collect()}
+        return sorted(r.url for r in load_frontier(spark, root).collect()), store
+
+    hub = "<a href='/p'>p</a><a href='/q'>q</a><a href='http://b.cn/'>b</a>"
+    write_part(spark, [(1, "http://a.cn/", 200, hub, "http://a.cn/", 1, 1),
+                       (2, "http://a.cn/p", 500, None, "http://a.cn/p", 1, 0)], schema, folder, "p0")
+    want = (["http://a.cn/", "http://a.cn/q"], {("http://a.cn/p", "0", None)})
+    assert run() == want  # the page had failed three times before
+    assert run() == want
+    write_part(spark, [(3, "http://a.cn/q", 200, "text", "http://a.cn/q", 2, 0)], schema, folder, "p1")
+    want[0].remove("http://a.cn/q")
+    assert run() == (want[0], want[1] | {("http://a.cn/q", "1", "text")})
 
 
 def test_upserts_merge_batch_by_batch(spark, tmp_path):
