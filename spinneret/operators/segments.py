@@ -27,16 +27,30 @@ def segment_number(df: DataFrame, values: str, keys: list[str], width: int = 9,
 
 
 def ordered_merge(
-    df: DataFrame, keys: list[str], pos: str, text: str, path: str, separator: str = "\n"
+    df: DataFrame, keys: list[str], pos: str, text: str, separator: str = ""
+) -> DataFrame:
+    """One row per object: its segments concatenated by place (NULL first).
+
+    For many objects that each fit a row; ``write_objects`` takes any length.
+    """
+    ordered = F.array_sort(F.collect_list(F.struct(F.col(pos), F.col(text))))
+    return df.groupBy(*keys).agg(
+        F.array_join(F.transform(ordered, lambda s: s[text]), separator).alias("body"),
+        F.count(F.lit(1)).alias("segments"),
+    )
+
+
+def write_objects(
+    df: DataFrame, keys: list[str], order: list[str], text: str, path: str, separator: str = "\n"
 ) -> None:
     """Assemble segments in order into one text file per object, below ``path``.
 
-    The segments of an object are sorted by place (NULL first) and written one after
-    the other with ``separator`` (not empty) behind each, so no row, and no memory of
-    a task, ever holds a whole object, however long it is. Each folder
-    ``key=value`` holds one object.
+    The segments of an object are sorted and written one after the other with
+    ``separator`` (not empty) behind each, so no row, and no memory of a task, ever
+    holds a whole object, however long it is. Each folder ``key=value`` holds one
+    object; meant for long objects rather than for very many.
     """
-    ordered = df.select(*keys, pos, text).repartition(*keys).sortWithinPartitions(*keys, pos)
+    ordered = df.select(*keys, *order, text).repartition(*keys).sortWithinPartitions(*keys, *order)
     (
         ordered.select(*keys, F.col(text).alias("value"))
         .write.partitionBy(*keys).option("lineSep", separator).text(path)
@@ -44,7 +58,7 @@ def ordered_merge(
 
 
 def read_objects(spark: SparkSession, path: str, keys: str, separator: str = "\n") -> DataFrame:
-    """The files of ``ordered_merge`` as rows ``keys, body``, for objects that fit a row."""
+    """The files of ``write_objects`` as rows ``keys, body``, for objects that fit a row."""
     files = spark.read.schema(f"value string, {keys}").text(path, wholetext=True)
     kept = [c for c in files.columns if c != "value"]
     length = F.length("value") - len(separator)

@@ -930,14 +930,22 @@ scalar("line_from_end", "documents", lambda: tx.line_at(F.col("text"), -2), ["do
        f"{LINES}[-2]")
 
 
-@query("ordered_merge", """SELECT conv_id, string_agg(text, chr(10) ORDER BY turn) AS body
-    FROM conversations GROUP BY 1""")
+@query("ordered_merge", """SELECT conv_id, string_agg(text, chr(10) ORDER BY turn) AS body,
+    count(*) AS segments FROM conversations GROUP BY 1""")
 def ordered_merge(spark, sf_dir):
-    """Turns assembled into one file per conversation, and the files read back."""
+    return segments.ordered_merge(
+        table(spark, sf_dir, "conversations"), ["conv_id"], "turn", "text", "\n"
+    )
+
+
+@query("ordered_files", """SELECT role, string_agg(text, chr(10) ORDER BY conv_id, turn) AS body
+    FROM conversations GROUP BY 1""")
+def ordered_files(spark, sf_dir):
+    """All that each role said, assembled into one file per role, and the files read back."""
     path = scratch_path(spark, "objects")
     turns = table(spark, sf_dir, "conversations")
-    segments.ordered_merge(turns, ["conv_id"], "turn", "text", path, "\n")
-    return segments.read_objects(spark, path, "conv_id bigint", "\n")
+    segments.write_objects(turns, ["role"], ["conv_id", "turn"], "text", path)
+    return segments.read_objects(spark, path, "role string")
 
 
 @query("prefix_list", f"""SELECT page_id, 'https://m.example.com' || href AS link FROM (SELECT
