@@ -137,10 +137,10 @@ def with_following(docs: DataFrame, text: str) -> DataFrame:
     NULL ids come first; documents that share an id are ordered by a hash of
     their text, and equal rows are one place in the order.
     """
+    missing = F.lit(-(1 << 63))  # stands for NULL, so a join needs no second column
     keyed = docs.select(
-        F.coalesce(F.col("doc_id").cast("bigint"), F.lit(-(1 << 63))).alias("id"),
+        F.coalesce(F.col("doc_id").cast("bigint"), missing).alias("id"),
         text_key(text).alias("key"),
-        "doc_id",
         body(text).alias("content"),
     )
     places = number_rows(
@@ -155,6 +155,7 @@ def with_following(docs: DataFrame, text: str) -> DataFrame:
     )
     requests = places.select("place", "id", "key").join(asking, "place").drop("place")
 
+    # Both joins below read the same columns of this, so they share one exchange.
     full = keyed.withColumn("own", vector("content")).repartition("id", "key")
     sent = (
         full.join(requests, ["id", "key"])
@@ -162,7 +163,8 @@ def with_following(docs: DataFrame, text: str) -> DataFrame:
         .agg(F.first(F.struct(F.expr("left(content, length)").alias("head"), F.col("own").alias("own"))).alias("next"))
     )
     return full.join(sent, ["id", "key"]).select(
-        "doc_id", "content", "own", F.col("next.head").alias("head"), F.col("next.own").alias("following")
+        F.nullif("id", missing).alias("doc_id"),
+        "content", "own", F.col("next.head").alias("head"), F.col("next.own").alias("following")
     )
 
 
