@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from spinneret.llm.columns import body, same_row, small, text_key, word_windows
 from spinneret.operators.joins import lookup_join
+from spinneret.operators.scratch import settle
 
 WINDOW = 5
 LITERALS = 2
@@ -19,6 +20,8 @@ COVERAGE = 0.8
 #: Markers in front of slot values; private-use letters, dropped from any input.
 NUMBER, NAME, UNIT = "\ue001", "\ue002", "\ue003"
 MARKERS = "\ue001-\ue003"
+#: All but ASCII letters and digits and what lies beyond Latin and general punctuation.
+SEPARATORS = r"[^a-z0-9\u00C0-\u1FFF\u2070-\x{10FFFF}]+"
 # Units that may follow a number.
 UNITS = (
     "mm|cm|km|m|kg|mg|g|ml|l|s|ms|min|mins|h|hr|hrs|kmh|mph|kwh|kw|w|mb|gb|tb|kb|"
@@ -33,14 +36,17 @@ def template_text(text: Column) -> Column:
     A token that begins with a digit is a number; a capitalised word that goes
     on a sentence is a name; a unit stands right behind a number.
     """
-    plain = F.regexp_replace(text, f"[{MARKERS}]", "")
-    whole = F.regexp_replace(plain, r"(?<=\d)[.,:](?=\d)", "")
-    named = F.regexp_replace(whole, r"(?<=[\p{L}\p{N},;] )(\p{Lu})", f"{NAME}$1")
-    counted = F.regexp_replace(named, rf"(?<![\p{{L}}\p{{N}}{NAME}])(\p{{N}})", f"{NUMBER}$1")
+    plain = text
+    for marker in (NUMBER, NAME, UNIT):
+        plain = F.replace(plain, F.lit(marker), F.lit(""))
+    # Each pattern looks for its rare character first and around it only then.
+    whole = F.regexp_replace(plain, r"[.,:](?=\d)(?<=\d.)", "")
+    named = F.regexp_replace(whole, r"(?=\p{Lu})(?<=[\p{L}\p{N},;] )", NAME)
+    counted = F.regexp_replace(named, rf"(?=\d)(?<![\p{{L}}\p{{N}}{NAME}])", NUMBER)
     united = F.regexp_replace(
         F.lower(counted), rf"({NUMBER}[\p{{L}}\p{{N}}]+ )({UNITS})(?![\p{{L}}\p{{N}}])", f"$1{UNIT}$2"
     )
-    return F.btrim(F.regexp_replace(united, rf"[^\p{{L}}\p{{M}}\p{{N}}{MARKERS}]+", " "))
+    return F.btrim(F.regexp_replace(united, SEPARATORS, " "))
 
 
 def template_only(annotated: Column) -> Column:
@@ -84,10 +90,13 @@ def template_hits(docs: DataFrame, windows: DataFrame, text: str) -> DataFrame:
     index = windows.groupBy(F.xxhash64("window").alias("hash")).agg(
         F.collect_list(F.struct("window", "item_id", "size", "at")).alias("places")
     )
+    # The key is taken before the explode, or every window would hash the whole text anew.
     spread = docs.select(
         "doc_id", text_key(text).alias("key"),
-        F.posexplode(word_windows(template_only(template_text(body(text))), WINDOW)).alias("place", "window"),
-    ).withColumn("hash", F.xxhash64("window"))
+        word_windows(template_only(template_text(body(text))), WINDOW).alias("windows"),
+    ).select("doc_id", "key", F.posexplode("windows").alias("place", "window")).withColumn(
+        "hash", F.xxhash64("window")
+    )
     met = lookup_join(spread, index, "hash", "inner")
     hits = met.select(
         "doc_id", "key", "place",
@@ -114,7 +123,8 @@ def leaks(
     """
     windows = item_windows(benchmark, literals)
     hits = template_hits(docs, windows, text)
-    enough = (
+    # Settled: it is counted for the join below, and all texts went into it.
+    enough = settle(
         hits.groupBy("doc_id", "key", "item_id", "size")
         .agg(F.array_distinct(F.flatten(F.collect_set("ats"))).alias("all"),
              F.collect_list(F.struct("diagonal", "ats")).alias("lines"))
@@ -134,10 +144,10 @@ def leaks(
 
     def slots_at(at):
         here = F.transform(
-            F.sequence(at, at + WINDOW - 1),
+            F.array(*[F.lit(o) for o in range(WINDOW)]),
             lambda o: F.struct(
-                F.get("item_tokens", o).alias("item"),
-                F.get("tokens", (o + line["diagonal"]).cast("int")).alias("doc"),
+                F.get("item_tokens", at + o).alias("item"),
+                F.get("tokens", (at + o + line["diagonal"]).cast("int")).alias("doc"),
             ),
         )
         return F.filter(here, lambda s: s["item"].rlike(f"^[{MARKERS}]"))
@@ -171,7 +181,7 @@ def leaks(
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
     """The documents that leak no item, with all their columns."""
-    leaking = leaks(docs, benchmark, text=text).select("doc_id", "key").distinct()
+    leaking = settle(leaks(docs, benchmark, text=text).select("doc_id", "key").distinct())
     return docs.alias("d").join(
         small(leaking).alias("x"), same_row("d", "x", text), "left_anti"
     )
