@@ -11,6 +11,7 @@ import re
 import zlib
 from collections.abc import Iterator
 from itertools import chain
+from string import punctuation
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +26,7 @@ END_ID = 2
 #: A segment is closed at so many ids; a chunk of one never holds more.
 SEGMENT = 1 << 21
 DOCUMENTS_AT_ONCE = 400
-KNOWN_PIECES = 400_000
+KNOWN_PIECES = 1_200_000
 LONGEST_KNOWN = 40
 PIECES_AT_ONCE = 2000
 
@@ -35,16 +36,16 @@ SEGMENT_SCHEMA = (
 )
 DOCUMENT_SCHEMA = "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint"
 
-#: White space that the pre-tokenizer would join with a blank next to it.
-JOINED_BLANKS = re.compile(r" (?:\s|$)|^\s")
+#: White space that the pre-tokenizer would join with a blank or line break next to it.
+JOINED_BLANKS = re.compile(r"[ \n](?:\s|$)|^\s")
 
 
 class PieceEncoder:
-    """The tokenizer with a memory for pieces between single blanks.
+    """The tokenizer with a memory for pieces between single blanks and line breaks.
 
-    A byte-level tokenizer splits a text before each blank that stands between
-    two other characters, so such pieces can be encoded apart. Texts with other
-    runs of white space or with special tokens are encoded whole.
+    A byte-level tokenizer splits a text before each blank, around each line break and
+    between a letter or digit and ASCII punctuation, so such pieces can be encoded apart.
+    Texts with other runs of white space or with special tokens are encoded whole.
     """
 
     def __init__(self, path: str):
@@ -54,6 +55,7 @@ class PieceEncoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.known: dict[str, bytes] = {}
+        self.tails: dict[str, bytes] = {}
         # Bytes of each id: a token is spelt with one letter for each byte.
         sizes = {i: len(t) for t, i in self.tokenizer.get_vocab().items()}
         self.sizes = np.array([sizes.get(i, 0) for i in range(max(sizes) + 1)], dtype=np.int64)
@@ -63,19 +65,39 @@ class PieceEncoder:
         return [np.array(e.ids, dtype="<u4").tobytes() for e in found]
 
     def _encode_pieces(self, pieces: list[str]) -> list[bytes]:
-        """Many pieces that begin with a blank, encoded as one text and cut apart again."""
+        """Many pieces, each behind its blank or line break, encoded as one text and cut apart."""
         if not pieces:
             return []
-        runs = [pieces[i : i + PIECES_AT_ONCE] for i in range(0, len(pieces), PIECES_AT_ONCE)]
+        spelt = [p if p[0] == "\n" else " " + p for p in pieces]
+        runs = [spelt[i : i + PIECES_AT_ONCE] for i in range(0, len(spelt), PIECES_AT_ONCE)]
         data = b"".join(self._encode(["".join(run) for run in runs]))
         ends = np.cumsum(self.sizes[np.frombuffer(data, dtype="<u4")])
-        wanted = np.cumsum([len(p.encode()) for p in pieces])
+        wanted = np.cumsum([len(p.encode()) for p in spelt])
         cuts = np.searchsorted(ends, wanted)
         if (ends[cuts] != wanted).any():
-            raise ValueError("this tokenizer does not split at blanks")
+            raise ValueError("this tokenizer does not split at blanks and line breaks")
         bounds = [0, *(4 * (cuts + 1)).tolist()]
         return [data[a:b] for a, b in zip(bounds, bounds[1:])]
 
+    def _learn(self, pieces: list[str]) -> None:
+        """Add pieces to the memory: a word and the punctuation behind it by themselves."""
+        known = self.known
+        cores, parts = set(), []
+        for piece in pieces:
+            core = piece.rstrip(punctuation)
+            if len(core) < len(piece) and core and (core[-1].isalpha() or core[-1].isdecimal()):
+                parts.append((piece, core, piece[len(core) :]))
+                if core not in known:
+                    cores.add(core)
+            else:
+                cores.add(piece)
+        fresh = list(cores)
+        known.update(zip(fresh, self._encode_pieces(fresh)))
+        tails = list({tail for _, _, tail in parts} - self.tails.keys())
+        self.tails.update(zip(tails, self._encode(tails)))
+        for piece, core, tail in parts:
+            known[piece] = known[core] + self.tails[tail]
+
     def _separable(self, text: str) -> bool:
         return not JOINED_BLANKS.search(text) and not any(s in text for s in self.special)
 
@@ -85,29 +107,33 @@ class PieceEncoder:
         apart: list[str] = []
         for text in texts:
             if text and self._separable(text):
-                head, *rest = text.split(" ")
+                first, *lines = text.split("\n")
+                head, *rest = first.split(" ")
+                for line in lines:
+                    words = line.split(" ")
+                    words[0] = "\n" + words[0]
+                    rest += words
                 apart.append(head)
-                pieces.append([" " + p for p in rest])
+                pieces.append(rest)
             else:
                 apart.append(text)
                 pieces.append(None)
-        new = set(chain.from_iterable(p for p in pieces if p is not None))
-        everything = len(new)
-        new.difference_update(self.known)
-        if len(self.known) + len(new) > KNOWN_PIECES + everything:
-            self.known = {}
-            new = set(chain.from_iterable(p for p in pieces if p is not None))
-        fresh = list(new)
-        found = dict(zip(fresh, self._encode_pieces(fresh)))
-        self.known.update(found)
-        get = self.known.__getitem__
+        known = self.known
+        wanted = set(chain.from_iterable(p for p in pieces if p is not None))
+        fresh = [p for p in wanted if p not in known]
+        if len(known) + len(fresh) > KNOWN_PIECES + len(wanted):
+            self.known, self.tails = {}, {}
+            known = self.known
+            fresh = list(wanted)
+        self._learn(fresh)
+        get = known.__getitem__
         coded = [
             head if p is None else b"".join([head, *map(get, p)])
             for head, p in zip(self._encode(apart), pieces)
         ]
         for piece in fresh:
             if len(piece) > LONGEST_KNOWN:
-                del self.known[piece]
+                del known[piece]
         return coded
 
 
