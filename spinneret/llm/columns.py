@@ -58,6 +58,17 @@ def small(df: DataFrame) -> DataFrame:
     return F.broadcast(df) if fits_broadcast(df) else df
 
 
+def bounded_sample(df: DataFrame, size: int, *key: Column, seed: int) -> DataFrame:
+    """Up to ``size`` rows with the smallest hashes of ``key``, the same ones each time.
+
+    A count first tells how small a hash must be to have a chance, so a task sends
+    few rows to the one that picks, however many tasks there are.
+    """
+    total = df.count()
+    near = df.where(share_of_hash(*key, seed=seed) < min(1.0, 4 * size / max(total, 1)))
+    return near.orderBy(F.xxhash64(F.lit(seed), *key), *key).limit(size)
+
+
 def share_of_hash(*columns: Column, seed: int) -> Column:
     """A number from 0 (inclusive) to 1 that only depends on the values."""
     bits = F.shiftrightunsigned(F.xxhash64(F.lit(seed), *columns), 11)

@@ -11,7 +11,7 @@ from math import log
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spinneret.llm.columns import body
+from spinneret.llm.columns import body, bounded_sample
 
 # Kinds in their order, and their patterns.
 KINDS = ("assign", "access", "hex", "markov")
@@ -52,15 +52,10 @@ def random_strings(spark: SparkSession, count: int) -> DataFrame:
 def identifier_strings(docs: DataFrame, count: int, text: str = "text") -> DataFrame:
     """Strings labelled ordinary: words of a sample of ``count`` documents, alone and
     joined into snake case, camel case and paths. The sample is fixed by a hash."""
-    sample = (
-        docs.select(body(text).alias("text"))
-        .orderBy(F.xxhash64(F.lit(10), "text"), "text")
-        .limit(count)
-    )
+    sample = bounded_sample(docs.select(body(text).alias("text")), count, F.col("text"), seed=10)
     words = F.regexp_extract_all("text", F.lit("(?<![A-Za-z0-9])[A-Za-z]{2,15}(?![A-Za-z0-9])"), F.lit(0))
-    triples = F.transform(
-        F.sequence(F.lit(1), F.size("words") - 2, F.lit(3)), lambda i: F.slice("words", i, F.lit(3))
-    )
+    runs = F.transform("words", lambda _, i: F.slice("words", i + 1, F.lit(3)))
+    triples = F.filter(runs, lambda run, i: (i % 3 == 0) & (F.size(run) == 3))
     joined = F.flatten(
         F.transform(
             triples,
@@ -87,10 +82,7 @@ def bigram_ratios(samples: DataFrame) -> list[float]:
     pairs = samples.where(F.length("string") > 1).select(
         "label",
         F.explode(
-            F.transform(
-                F.sequence(F.lit(1), F.length("string") - 1),
-                lambda i: F.substring("string", i, F.lit(2)),
-            )
+            F.transform(F.split("string", ""), lambda _, i: F.substring("string", i + 1, F.lit(2)))
         ).alias("pair"),
     )
     known = F.col("pair").rlike(f"^[{TOKEN_CHARACTERS}]{{2}}$")
