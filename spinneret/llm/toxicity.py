@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spinneret.llm.columns import body, text_key
+from spinneret.llm.columns import body, bounded_sample, text_key
 from spinneret.operators.scratch import settle
 
 WORD = re.compile(r"[^\W\d_]+")
@@ -24,14 +24,16 @@ GRADES = 4
 #: At most so many labelled documents per class are learnt from, and features kept.
 SAMPLE = 6000
 FEATURES = 20_000
-LEAST_DOCUMENTS = 3
-LEAST_Z = 4.0
+#: A feature has to clear twice the logarithm of the number of features tried, and this.
+BEYOND_CHANCE = 12.0
 
 
 @dataclass(frozen=True)
 class OrdinalModel:
     weights: dict[str, float]
     thresholds: tuple[float, ...]
+    #: A document is toxic when ``w.x`` reaches this.
+    cut: float
 
 
 def features(text: str) -> set[str]:
@@ -53,14 +55,14 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> D
     known = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(
         F.max("toxic").alias("label")
     )
-    ordered = F.xxhash64(F.lit(2), "doc_id")
 
     def some(label: int) -> DataFrame:
-        wanted = known.where(F.col("label") == label).orderBy(ordered, "doc_id").limit(size)
-        return wanted
+        return bounded_sample(known.where(F.col("label") == label), size, F.col("doc_id"), seed=2)
 
     wanted = some(0).unionByName(some(1))
-    return docs.select("doc_id", body().alias("text")).join(wanted, "doc_id").select("label", "text")
+    found = docs.select("doc_id", body().alias("text")).join(wanted, "doc_id").select("label", "text")
+    # Copies are no further evidence.
+    return found.dropDuplicates(["label", "text"])
 
 
 def _listed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -70,27 +72,32 @@ def _listed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def telling_features(rows: DataFrame, most: int = FEATURES) -> list[str]:
-    """Features that toxic documents hold significantly more often, at most ``most``.
+    """Features that toxic documents hold more often than chance would have it.
 
-    Counted by Spark; the test is of two shares, with ``LEAST_Z`` standard errors.
+    Counted by Spark. The measure is the log-likelihood ratio of a feature's split over
+    the two classes against the split of all documents, which also holds for rare
+    features; at most ``most`` with the largest ratio.
     """
-    sizes = rows.groupBy("label").count()
-    totals = {r["label"]: r["count"] for r in sizes.collect()}
+    totals = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
     toxic, clean = totals.get(1, 0), totals.get(0, 0)
     if not toxic or not clean:
         return []
-    counts = rows.select("label", F.explode("features").alias("feature")).groupBy("feature").agg(
-        F.count_if(F.col("label") == 1).alias("a"), F.count_if(F.col("label") == 0).alias("b")
+    counts = settle(
+        rows.select("label", F.explode("features").alias("feature")).groupBy("feature").agg(
+            F.count_if(F.col("label") == 1).alias("a"), F.count_if(F.col("label") == 0).alias("b")
+        )
     )
-    share_a, share_b = F.col("a") / toxic, F.col("b") / clean
-    pooled = (F.col("a") + F.col("b")) / (toxic + clean)
-    error = F.sqrt(pooled * (1 - pooled) * (1 / toxic + 1 / clean))
-    z = (share_a - share_b) / error
-    # The one-sided test alone says little about rare features: ask for purity as well.
+    least = 2 * np.log(max(counts.count(), 1)) + BEYOND_CHANCE
+    share = toxic / (toxic + clean)
+    held = F.col("a") + F.col("b")
+
+    def part(count, expected):
+        return F.when(count > 0, count * F.log(count / expected)).otherwise(0.0)
+
+    ratio = 2 * (part(F.col("a"), held * share) + part(F.col("b"), held * (1 - share)))
     chosen = (
-        counts.where(F.col("a") >= LEAST_DOCUMENTS)
-        .where((F.col("b") == 0) | ((z >= LEAST_Z) & (share_a > 4 * share_b)))
-        .orderBy(z.desc(), "feature").limit(most)
+        counts.where((F.col("a") > held * share) & (ratio >= float(least)) & (F.col("a") * clean > 4 * F.col("b") * toxic))
+        .orderBy(ratio.desc(), "feature").limit(most)
     )
     return [r["feature"] for r in chosen.select("feature").collect()]
 
@@ -108,7 +115,7 @@ def grades(label: np.ndarray, held: np.ndarray, count: int = GRADES) -> np.ndarr
 
 def fit_ordinal(
     row: np.ndarray, column: np.ndarray, grade: np.ndarray, width: int, count: int = GRADES,
-    steps: int = 400, rate: float = 0.1, decay: float = 1e-4,
+    steps: int = 1200, rate: float = 0.1, decay: float = 3e-5,
 ) -> tuple[np.ndarray, np.ndarray]:
     """Weights and ``count - 1`` ordered thresholds by gradient ascent with Adam.
 
@@ -139,12 +146,26 @@ def fit_ordinal(
     return w, theta
 
 
+def decision_cut(eta: np.ndarray, toxic: np.ndarray) -> float:
+    """Where ``eta`` tells toxic from clean documents best, a clean one taken for toxic
+    counting three times; of equally good values the middle of the widest gap."""
+    order = np.sort(np.unique(eta))
+    if len(order) < 2:
+        return float("inf")
+    cuts = (order[1:] + order[:-1]) / 2
+    missed = np.searchsorted(np.sort(eta[toxic]), cuts)
+    wrong = (~toxic).sum() - np.searchsorted(np.sort(eta[~toxic]), cuts)
+    cost = missed + 3 * wrong
+    best = cost == cost.min()
+    return float(cuts[best][np.diff(order)[best].argmax()])
+
+
 def train(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> OrdinalModel:
     """Fit on the labelled sample. Without both classes nothing is ever toxic."""
     rows = settle(labelled_sample(docs, labels, size).mapInPandas(_listed, "label int, features array<string>"))
     names = telling_features(rows)
     if not names:
-        return OrdinalModel({}, tuple(float(k) for k in range(1, GRADES)))
+        return OrdinalModel({}, tuple(float(k) for k in range(1, GRADES)), float("inf"))
     place = {name: i for i, name in enumerate(names)}
 
     def encoded(batches):
@@ -156,36 +177,37 @@ def train(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> OrdinalMode
     held = sample["places"].map(len).to_numpy()
     row = np.repeat(np.arange(len(sample)), held)
     column = np.concatenate([np.asarray(p, dtype=int) for p in sample["places"]])
-    grade = grades(sample["label"].to_numpy(), held)
-    w, theta = fit_ordinal(row, column, grade, len(names))
-    return OrdinalModel(dict(zip(names, w.tolist())), tuple(theta.tolist()))
+    label = sample["label"].to_numpy()
+    w, theta = fit_ordinal(row, column, grades(label, held), len(names))
+    cut = decision_cut(np.bincount(row, w[column], len(sample)), label == 1)
+    return OrdinalModel(dict(zip(names, w.tolist())), tuple(theta.tolist()), cut)
 
 
 # Scoring
 
-def severity(text: str, model: OrdinalModel) -> tuple[float, float]:
-    """Expected grade, and the chance of any grade above 0."""
+def severity(text: str, model: OrdinalModel) -> tuple[float, float, bool]:
+    """Expected grade, the chance of any grade above 0, and whether the text is toxic."""
     eta = sum(model.weights[f] for f in features(text) if f in model.weights)
     above = [1 / (1 + np.exp(min(max(t - eta, -500.0), 500.0))) for t in model.thresholds]
-    return float(sum(above)), float(above[0])
+    return float(sum(above)), float(above[0]), bool(eta >= model.cut)
 
 
 def score_documents(docs: DataFrame, model: OrdinalModel, text: str = "text") -> DataFrame:
     """``doc_id, key, severity, chance, toxic`` of every row.
 
     NULL and empty texts have no feature and get the severity of none; repeated
-    rows stay. ``toxic`` means that some grade above 0 is likelier than not.
+``toxic`` follows the cut that told the classes apart best in training.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("severity double, chance double")
+    @F.pandas_udf("severity double, chance double, toxic boolean")
     def graded(texts: pd.Series) -> pd.DataFrame:
         return pd.DataFrame(
-            [severity(t, shared.value) for t in texts], columns=["severity", "chance"]
+            [severity(t, shared.value) for t in texts], columns=["severity", "chance", "toxic"]
         )
 
     return docs.select("doc_id", text_key(text).alias("key"), graded(body(text)).alias("g")).select(
-        "doc_id", "key", "g.severity", "g.chance", (F.col("g.chance") >= 0.5).alias("toxic")
+        "doc_id", "key", "g.severity", "g.chance", "g.toxic"
     )
 
 
@@ -193,8 +215,8 @@ def drop_toxic(docs: DataFrame, model: OrdinalModel, text: str = "text") -> Data
     """The documents that are not toxic, with their columns; each row is judged where it is."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
-    @F.pandas_udf("double")
-    def chance(texts: pd.Series) -> pd.Series:
-        return pd.Series([severity(t, shared.value)[1] for t in texts], dtype="float64")
+    @F.pandas_udf("boolean")
+    def toxic(texts: pd.Series) -> pd.Series:
+        return pd.Series([severity(t, shared.value)[2] for t in texts], dtype="bool")
 
-    return docs.where(chance(body(text)) < 0.5)
+    return docs.where(~toxic(body(text)))
