@@ -12,7 +12,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spinneret.llm.columns import body
+from spinneret.llm.columns import body, bounded_sample
 
 BINS = 64
 DEPTH = 4
@@ -163,7 +163,7 @@ def learn(docs: DataFrame, labels: DataFrame, size: int = SAMPLE, text: str = "t
     known = labels.where("doc_id is not null and quality is not null").where(~is_held_out()).groupBy(
         "doc_id"
     ).agg(F.max("quality").alias("label"))
-    chosen = known.orderBy(F.xxhash64(F.lit(5), "doc_id"), "doc_id").limit(size)
+    chosen = bounded_sample(known, size, F.col("doc_id"), seed=5)
     sample = docs.select("doc_id", body(text).alias("text")).join(chosen, "doc_id")
 
     @F.pandas_udf("array<double>")

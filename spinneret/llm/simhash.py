@@ -306,7 +306,7 @@ def similar_groups(
         wanted = pairs.select(F.col("a").alias("node")).unionByName(
             pairs.select(F.col("b").alias("node"))
         ).distinct()
-        places = classes.join(wanted, "node").select("node", "row.doc_id", "row.key")
+        places = settle(classes.join(wanted, "node").select("node", "row.doc_id", "row.key"))
         texts = (
             docs.alias("d").join(small(places).alias("p"), same_row("d", "p", text))
             .select("p.node", F.col(f"d.{text}").alias("text"))
@@ -339,10 +339,10 @@ def one_of_each(
     kept = grouped.groupBy("component").agg(F.min("first").alias("keeper"))
     keepers = grouped.join(kept, "component").select("node", "keeper")
     same = F.col("doc_id").eqNullSafe(F.col("keeper.doc_id")) & (F.col("key") == F.col("keeper.key"))
-    dropped = rows.join(keepers, "node").where(~same).select("doc_id", "key").distinct()
+    dropped = settle(rows.join(keepers, "node").where(~same).select("doc_id", "key").distinct())
     left = docs.alias("d").join(small(dropped).alias("x"), same_row("d", "x", text), "left_anti")
 
-    repeated = rows.groupBy("doc_id", "key").agg(F.count("*").alias("n")).where(F.col("n") > 1)
+    repeated = settle(rows.groupBy("doc_id", "key").agg(F.count("*").alias("n")).where(F.col("n") > 1))
     if repeated.isEmpty():
         return left
     again = small(repeated).alias("x")

@@ -73,8 +73,7 @@ def judge_urls(
     )
     labels = F.split("host", r"\.")
     suffixes = F.transform(
-        F.sequence(F.lit(1), F.size(labels)),
-        lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."),
+        labels, lambda _, i: F.array_join(F.slice(labels, i + 1, F.size(labels)), ".")
     )
     prefixes = F.transform(
         F.filter(lengths, lambda n: n <= F.length("path")), lambda n: F.substring("path", F.lit(1), n)
