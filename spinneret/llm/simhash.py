@@ -1,17 +1,18 @@
-"""Near-duplicates by SimHash and a byte-position inverted index.
-
-Documents with equal signatures are one class; classes are posted under
-combinations of positional bytes, so that classes sharing enough bytes meet in a
-bucket. Every pair that meets is tallied: the number of positions with equal
-bytes. Pairs that reach the required number are verified.
-
-Two signatures are used. ``fingerprints`` is the classic 64-bit SimHash: within
-3 differing bits at least 5 of the 8 bytes are equal, so 3 equal bytes exist among
-any 6 positions and nothing is lost. ``signatures`` serves shingle similarity down
-to 0.8, where 64 bits differ in about ten places: 4,096 signed sums (a Hadamard
-transform of hashed shingle counts) in 32 blocks of 128, the byte of a block being
-the place and sign of its strongest sum. Such bytes agree far more often than
-eight sign bits do; the found pairs are verified by the Jaccard index itself.
+"""Near-duplicates by SimHash and inverted indexes.
+
+Documents with equal signatures are one class; classes are posted under keys, and
+those that share a key meet in a bucket. Pairs that meet are filtered by what
+their signatures allow, and verified.
+
+``fingerprints`` is the classic 64-bit SimHash, posted under combinations of
+positional bytes: within 3 differing bits at least 5 of the 8 bytes are equal, so 3
+equal bytes exist among any 6 positions and nothing is lost.
+
+``signatures`` serves shingle similarity. A set is posted under its first shingles
+in one order of all shingles, common ones last: sets of ``n`` shingles whose
+Jaccard index reaches ``s`` share one of their first ``n - ceil(s n) + 1``. The
+filters on sizes, places in that order and parity bits are bounds as well, so no
+pair is lost; the found pairs are verified by the Jaccard index itself.
 """
 
 from collections.abc import Callable, Iterator
@@ -23,17 +24,20 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spinneret.llm.columns import body, same_row, small, text_key
+from spinneret.llm.columns import body, same_row, share_of_hash, small, text_key
 from spinneret.llm.components import components
 from spinneret.operators.scratch import settle
 
 SEED = 42
 #: A bucket up to this size compares all its pairs, a larger one goes around a centre.
 BUCKET = 64
-BLOCKS, BLOCK_SUMS = 32, 128
-SUMS = BLOCKS * BLOCK_SUMS
-LEAST_SHARED = 7
-KEYS = 80
+#: Rounds with so many centres join large groups before all that is left is compared.
+ROUNDS, CENTRES = 3, 4
+PARITY_BITS = 256
+#: Common shingles are counted in about so many documents, and so many kept. They only
+#: order the shingles; the pairs found are the same for any order.
+ORDER_DOCUMENTS = 50_000
+COMMON = 1 << 20
 HASHES_AT_ONCE = 1 << 16
 
 
@@ -69,32 +73,19 @@ def simhash(hashes: np.ndarray) -> int:
     return int(np.packbits(bits, bitorder="little").view("<u8")[0])
 
 
-def _tie_break() -> np.ndarray:
-    places = np.arange(SUMS, dtype=np.uint64)
-    return ((places * np.uint64(2654435761)) % np.uint64(1009)).astype(np.float32) / 4096
+def parity_bits(shingles: np.ndarray) -> np.ndarray:
+    """Four longs: a bit is set when an odd number of shingles falls on it.
 
-
-def signature_bytes(vectors: np.ndarray) -> np.ndarray:
-    """32 bytes for each row of hashed, signed shingle counts (rows of ``SUMS``)."""
-    sums = vectors.astype(np.float32)
-    width = 1
-    while width < SUMS:
-        pairs = sums.reshape(len(sums), -1, 2, width)
-        sums = np.stack([pairs[:, :, 0] + pairs[:, :, 1], pairs[:, :, 0] - pairs[:, :, 1]], axis=2)
-        sums = sums.reshape(len(vectors), SUMS)
-        width *= 2
-    blocks = sums.reshape(len(sums), BLOCKS, BLOCK_SUMS)
-    strength = np.abs(blocks) + _tie_break().reshape(1, BLOCKS, BLOCK_SUMS)
-    place = strength.argmax(2)
-    sign = np.take_along_axis(blocks, place[:, :, None], 2)[:, :, 0] < 0
-    return (place + BLOCK_SUMS * sign).astype(np.uint8)
+    Two sets differ in at least as many shingles as their bits differ.
+    """
+    cells = ((shingles >> np.uint64(20)) & np.uint64(PARITY_BITS - 1)).astype(np.int64)
+    odd = (np.bincount(cells, minlength=PARITY_BITS) & 1).astype(np.uint8)
+    return np.packbits(odd, bitorder="little").view("<i8")
 
 
-def hashed_counts(hashes: np.ndarray) -> np.ndarray:
-    """Distinct shingles counted with a sign in ``SUMS`` cells."""
-    cells = (hashes & np.uint64(SUMS - 1)).astype(np.int64)
-    signs = 1.0 - 2.0 * ((hashes >> np.uint64(20)) & np.uint64(1)).astype(np.float32)
-    return np.bincount(cells, signs, SUMS)
+def prefix_length(size: int, similarity: float) -> int:
+    """How many first shingles of a set another set as similar must meet."""
+    return size - int(np.ceil(similarity * size - 1e-9)) + 1 if size else 0
 
 
 def _mapped(docs: DataFrame, text: str, make: Callable, schema: str, rows: int = 200) -> DataFrame:
@@ -125,22 +116,74 @@ def fingerprints(docs: DataFrame, shingle: int = 3, text: str = "text") -> DataF
     return _mapped(docs, text, make, "node bigint, s0 bigint")
 
 
-def signatures(docs: DataFrame, shingle: int = 5, text: str = "text") -> DataFrame:
-    """``doc_id, key, node, size, s0..s3``: signature of every row's set of shingles.
+def common_shingles(
+    docs: DataFrame, shingle: int, text: str, documents: int = ORDER_DOCUMENTS, most: int = COMMON
+) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles that several documents hold, ascending, and in how many of the sample."""
+    def batches(incoming: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in incoming:
+            for at in range(0, batch.num_rows, 1000):
+                texts = batch.column("text").slice(at, 1000).to_pylist()
+                sets = [np.unique(shingle_hashes(t, shingle)) for t in texts]
+                found, n = np.unique(np.concatenate(sets), return_counts=True)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(found.view(np.int64)), pa.array(n, pa.int64())], names=["shingle", "n"]
+                )
 
-    ``node`` is a 64-bit hash of the set, so texts with equal sets are one class.
+    share = min(1.0, documents / max(docs.count(), 1))
+    some = docs.select(body(text).alias("text")).where(share_of_hash(F.col("text"), seed=SEED) < share)
+    counts = settle(
+        some.mapInArrow(batches, "shingle bigint, n bigint")
+        .groupBy("shingle").agg(F.sum("n").alias("n")).where(F.col("n") > 2)
+    )
+    held = {}
+    for row in counts.groupBy(F.least("n", F.lit(10_000)).alias("n")).count().collect():
+        held[row["n"]] = row["count"]
+    least, total = 10_001, 0
+    for n in sorted(held, reverse=True):
+        total += held[n]
+        if total > most:
+            break
+        least = n
+    found = counts.where(F.col("n") >= least).toPandas()
+    names, n = found["shingle"].to_numpy(dtype=np.int64).view(np.uint64), found["n"].to_numpy(dtype=np.int64)
+    order = np.argsort(names)
+    return names[order], n[order]
+
+
+def signatures(
+    docs: DataFrame, shingle: int = 5, similarity: float = 0.8, text: str = "text"
+) -> DataFrame:
+    """``doc_id, key, node, size, s0..s3, first``: what is compared of every row's set.
+
+    ``node`` is a 64-bit hash of the set, so texts with equal sets are one class;
+    ``s0..s3`` are its parity bits, ``first`` the first shingles in the common order.
     """
+    common = docs.sparkSession.sparkContext.broadcast(common_shingles(docs, shingle, text))
+
+    def first(shingles: np.ndarray) -> np.ndarray:
+        names, counts = common.value
+        held = np.zeros(len(shingles), dtype=np.int64)
+        if len(names):
+            at = np.minimum(np.searchsorted(names, shingles), len(names) - 1)
+            held = np.where(names[at] == shingles, counts[at], 0)
+        order = np.argsort(held, kind="stable")
+        return shingles[order[: prefix_length(len(shingles), similarity)]].view(np.int64)
+
     def make(texts):
         sets = [np.unique(shingle_hashes(t, shingle)) for t in texts]
-        vectors = np.stack([hashed_counts(s) for s in sets]) if sets else np.zeros((0, SUMS))
-        parts = signature_bytes(vectors).view("<i8") if len(sets) else np.zeros((0, 4), dtype=np.int64)
+        parts = np.array([parity_bits(s) for s in sets], dtype=np.int64).reshape(-1, 4)
         node = np.array([xxhash.xxh64_intdigest(s.tobytes(), SEED) for s in sets], dtype=np.uint64)
         return {
             "node": pa.array(node.view(np.int64)), "size": pa.array([len(s) for s in sets], pa.int64()),
             **{f"s{i}": pa.array(np.ascontiguousarray(parts[:, i])) for i in range(4)},
+            "first": pa.array([first(s) for s in sets], pa.list_(pa.int64())),
         }
 
-    return _mapped(docs, text, make, "node bigint, size bigint, s0 bigint, s1 bigint, s2 bigint, s3 bigint")
+    return _mapped(
+        docs, text, make,
+        "node bigint, size bigint, s0 bigint, s1 bigint, s2 bigint, s3 bigint, first array<bigint>",
+    )
 
 
 # Byte-position index
@@ -177,21 +220,41 @@ def linked_pairs(
     verify: Callable[[DataFrame], DataFrame],
     bucket: int = BUCKET,
 ) -> DataFrame:
-    """``a, b`` edges that connect all classes whose pairs meet, tally and verify.
+    """``a, b`` edges that connect all classes whose pairs share a combination of
+    bytes, tally at least ``least_shared`` equal bytes and verify.
 
     ``verify`` keeps the right ones of candidate pairs ``a, b`` with their
-    signatures. A bucket of up to ``bucket`` classes gives all its pairs. In a
-    larger one every class is first compared with the smallest; then every class
-    that is not connected to the bucket's largest component so far is compared
-    with all classes of other components. What is left out are only pairs already
+    signatures.
+    """
+    carried = [f"s{i}" for i in range(longs)]
+    enough = shared_bytes(longs) >= least_shared
+    return linked_in_buckets(postings(classes, places), classes, enough, verify, carried, bucket)
+
+
+def linked_in_buckets(
+    posted: DataFrame,
+    classes: DataFrame,
+    enough: Column,
+    verify: Callable[[DataFrame], DataFrame],
+    carried: list[str],
+    bucket: int = BUCKET,
+    rounds: int = 0,
+) -> DataFrame:
+    """``a, b`` edges that connect all classes that meet in a bucket and verify.
+
+    ``enough`` is the condition under which classes ``a`` and ``b`` of a bucket are
+    candidates; ``verify`` gets their pairs with the ``carried`` columns as ``x0..``
+    and ``y0..``. A bucket of up to ``bucket`` classes gives all its pairs. In a
+    larger one every class is first compared with the smallest, and in up to
+    ``rounds`` further rounds with a few others while buckets above ``BUCKET`` are not
+    connected; then every class that is not connected to the bucket's largest component
+    so far is compared with all classes of other components. What is left out are only pairs already
     connected, so components come out as if all pairs had been compared, without
     the square of a group of near copies.
     """
-    posted = postings(classes, places)
     held = posted.groupBy("bucket").agg(F.count("*").alias("held")).where(F.col("held") > 1)
     met = settle(settle(posted.join(held, "bucket")).join(classes, "node"))
-    enough = shared_bytes(longs) >= least_shared
-    columns = ["node", *[f"s{i}" for i in range(longs)]]
+    columns = ["node", *[c for c in met.columns if c not in ("bucket", "held", "node")]]
 
     def pairs(left: DataFrame, right: DataFrame, condition: Column) -> DataFrame:
         joined = left.alias("a").join(
@@ -200,9 +263,9 @@ def linked_pairs(
         return joined.select(
             F.least("a.node", "b.node").alias("a"), F.greatest("a.node", "b.node").alias("b"),
             *[
-                F.when(F.col("a.node") < F.col("b.node"), F.col(f"{x}.s{i}"))
-                .otherwise(F.col(f"{y}.s{i}")).alias(f"{side}{i}")
-                for side, x, y in (("x", "a", "b"), ("y", "b", "a")) for i in range(longs)
+                F.when(F.col("a.node") < F.col("b.node"), F.col(f"{x}.{c}"))
+                .otherwise(F.col(f"{y}.{c}")).alias(f"{side}{i}")
+                for side, x, y in (("x", "a", "b"), ("y", "b", "a")) for i, c in enumerate(carried)
             ],
         ).dropDuplicates(["a", "b"])
 
@@ -212,18 +275,36 @@ def linked_pairs(
         return settle(verify(first).select("a", "b"))
     centre = many.groupBy("bucket").agg(F.min(F.struct(*columns)).alias("c")).select("bucket", "c.*")
     around = pairs(centre, many, F.col("a.node") != F.col("b.node"))
-    known = settle(verify(first.unionByName(around).dropDuplicates(["a", "b"])).select("a", "b"))
-
-    labelled = settle(
-        many.join(components(known), "node", "left").withColumn(
-            "component", F.coalesce("component", "node")
+    met_first = first.unionByName(around).dropDuplicates(["a", "b"]) if bucket > 1 else around
+    known = settle(verify(met_first).select("a", "b"))
+
+    for turn in range(rounds + 1):
+        # The centre of two has met the other.
+        labelled = settle(
+            many.where(F.col("held") > 2).join(components(known), "node", "left").withColumn(
+                "component", F.coalesce("component", "node")
+            )
         )
-    )
-    largest = (
-        labelled.groupBy("bucket", "component").agg(F.count("*").alias("n"))
-        .groupBy("bucket").agg(F.max_by("component", F.struct("n", "component")).alias("largest"))
-    )
-    outside = labelled.join(largest, "bucket").where(F.col("component") != F.col("largest"))
+        largest = (
+            labelled.groupBy("bucket", "component").agg(F.count("*").alias("n"))
+            .groupBy("bucket").agg(F.max_by("component", F.struct("n", "component")).alias("largest"))
+        )
+        outside = labelled.join(largest, "bucket").where(F.col("component") != F.col("largest"))
+        if turn == rounds:
+            break
+        crowded = settle(outside.where(F.col("held") > BUCKET).select("bucket").distinct())
+        if crowded.isEmpty():
+            break
+        unlinked = labelled.join(crowded, "bucket")
+        drawn = [
+            F.min(F.struct(F.xxhash64(F.lit(turn * CENTRES + i), "node").alias("order"), *columns, "component"))
+            for i in range(CENTRES)
+        ]
+        centres = unlinked.groupBy("bucket").agg(F.array(*drawn).alias("c")).select(
+            "bucket", F.explode("c").alias("c")
+        ).select("bucket", "c.*")
+        again = pairs(centres, unlinked, F.col("a.component") != F.col("b.component"))
+        known = settle(known.unionByName(verify(again).select("a", "b")))
     rest = pairs(outside, labelled, F.col("a.component") != F.col("b.component"))
     return known.unionByName(verify(rest).select("a", "b"))
 
@@ -260,17 +341,6 @@ def close_components(rows: DataFrame, bits: int = 3) -> DataFrame:
 
 # Shingle similarity
 
-def key_places(keys: int = KEYS, blocks: int = BLOCKS, each: int = 3) -> list[tuple[int, ...]]:
-    """``keys`` combinations of byte places that use all places evenly."""
-    rng = np.random.default_rng(SEED)
-    found: list[tuple[int, ...]] = []
-    while len(found) < keys:
-        order = rng.permutation(blocks)
-        for at in range(0, blocks - each + 1, each):
-            found.append(tuple(sorted(order[at : at + each].tolist())))
-    return found[:keys]
-
-
 def shingle_sets(docs: DataFrame, shingle: int, text: str) -> DataFrame:
     """``node, shingles`` of documents that carry a ``node``."""
     def batches(incoming: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -289,14 +359,13 @@ def similar_groups(
     """Rows of ``docs`` as ``doc_id, key, node``, and the ``node, component`` of classes
     linked by a Jaccard index of their shingle sets of at least ``similarity``.
 
-    A pair of that similarity is found with a chance of about 0.99 or more (see the
-    README for the measured recall); what is found is exact.
+    Every such pair is found, and nothing else.
     """
-    rows = settle(signatures(docs, shingle, text))
-    classes = rows.groupBy("node").agg(
-        F.min(F.struct("doc_id", "key")).alias("row"), F.first("size").alias("size"),
-        *[F.first(f"s{i}").alias(f"s{i}") for i in range(4)],
-    )
+    rows = settle(signatures(docs, shingle, similarity, text))
+    classes = settle(rows.groupBy("node").agg(
+        F.min(F.struct("doc_id", "key")).alias("row"),
+        *[F.first(c).alias(c) for c in ("size", "s0", "s1", "s2", "s3", "first")],
+    ))
     # Sets of fewer shingles differ by more than the similarity unless they are equal.
     least = int(np.ceil(similarity / (1 - similarity) - 1e-9)) if similarity < 1 else 1
     compared = classes.where(F.col("size") >= least)
@@ -318,10 +387,21 @@ def similar_groups(
         either = F.size("left") + F.size("right") - both
         return pairs.join(left, "a").join(right, "b").where(both >= similarity * either - F.lit(1e-9))
 
-    edges = linked_pairs(
-        compared.select("node", "s0", "s1", "s2", "s3"), key_places(), 4, LEAST_SHARED, verify
+    # What two sets that similar share at least, by their sizes; the first shingle they
+    # share has to leave as many, and the bits of the rest may differ.
+    sizes = F.col("a.size") + F.col("b.size")
+    shared = sizes * (similarity / (1 + similarity)) - F.lit(1e-6)
+    left_over = F.least(F.col("a.size") - F.col("a.place"), F.col("b.size") - F.col("b.place"))
+    differing = sum(
+        (F.bit_count(F.col(f"a.s{i}").bitwiseXOR(F.col(f"b.s{i}"))) for i in range(1, 4)),
+        F.bit_count(F.col("a.s0").bitwiseXOR(F.col("b.s0"))),
+    )
+    enough = (left_over >= shared) & (differing <= sizes - 2 * shared)
+    posted = compared.select("node", F.posexplode("first").alias("place", "bucket"))
+    edges = linked_in_buckets(
+        posted, compared.select("node", "size", "s0", "s1", "s2", "s3"), enough, verify, [], 1, ROUNDS
     )
-    return rows, components(edges)
+    return rows.drop("first"), components(edges)
 
 
 def one_of_each(

@@ -143,6 +143,19 @@ def test_hot_group_of_near_copies_leaves_one(spark):
     assert kept == {0} | {1000 + i for i in range(40)}
 
 
+@pytest.mark.parametrize("shared, left, right", [(8, 0, 2), (8, 1, 1), (12, 1, 2), (16, 2, 2), (80, 0, 20), (400, 60, 40)])
+def test_every_pair_at_the_bound_is_found(spark, shared, left, right):
+    """Jaccard index exactly 0.8: ``shared`` shingles in common, the rest before and behind."""
+    rows = []
+    for i in range(120):
+        middle = [f"m{i}x{j}" for j in range(shared + 4)]
+        rows.append((2 * i, " ".join([f"a{i}x{j}" for j in range(left)] + middle)))
+        rows.append((2 * i + 1, " ".join(middle + [f"b{i}x{j}" for j in range(right)])))
+    assert jaccard(rows[0][1], rows[1][1]) == 0.8
+    kept = {r["doc_id"] for r in simhash.one_of_each(spark.createDataFrame(rows, DOC)).collect()}
+    assert kept == set(range(0, 240, 2))
+
+
 # Decontamination
 
 ITEM = ("A farmer named John Smith bought 12 apples for 3 dollars each and gave John Smith half of them "
