@@ -15,17 +15,22 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from spinneret.llm.columns import body, bounded_sample, text_key
+from spinneret.llm.columns import body, share_of_hash, text_key
 from spinneret.operators.scratch import settle
 
 WORD = re.compile(r"[^\W\d_]+")
-BEGINNINGS = (4, 5)
+BEGINNINGS = (4, 5, 6, 7, 8)
 GRADES = 4
-#: At most so many labelled documents per class are learnt from, and features kept.
+#: About so many toxic documents are learnt from, so many times as many clean ones,
+#: and so many features.
 SAMPLE = 6000
-FEATURES = 20_000
-#: A feature has to clear twice the logarithm of the number of features tried, and this.
-BEYOND_CHANCE = 12.0
+CLEAN_TIMES = 4
+FEATURES = 40_000
+#: A feature stands in so many toxic documents, and so many times as often as in clean ones.
+LEAST_HELD, LEAST_LIFT = 3, 4.0
+#: The cut is found on documents that the weights were not learnt from.
+FOLDS = 3
+STEPS, DECAY = 600, 1e-3
 
 
 @dataclass(frozen=True)
@@ -47,24 +52,45 @@ def features(text: str) -> set[str]:
 # Learning
 
 def labelled_sample(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> DataFrame:
-    """``label, text`` of up to ``size`` documents per class, the same ones each time.
+    """``label, text`` of about ``size`` toxic documents and ``CLEAN_TIMES`` as many clean
+    ones, the same ones each time. Where ``docs`` has a ``lang``, no language gives more
+    than what the others leave.
 
     A document with several labels counts as toxic if one of them says so; labels
     without a document or without a grade are left out.
     """
-    known = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(
+    marked = labels.where("doc_id is not null and toxic is not null").groupBy("doc_id").agg(
         F.max("toxic").alias("label")
     )
+    lang = F.col("lang").cast("string") if "lang" in docs.columns else F.lit(None).cast("string")
+    spoken = docs.select("doc_id", F.coalesce(lang, F.lit("")).alias("lang")).groupBy("doc_id").agg(
+        F.min("lang").alias("lang")
+    )
+    known = settle(marked.join(spoken, "doc_id"))
+    counts = known.groupBy("label", "lang").count()
 
-    def some(label: int) -> DataFrame:
-        return bounded_sample(known.where(F.col("label") == label), size, F.col("doc_id"), seed=2)
+    def some(label: int, most: int) -> DataFrame:
+        rows = known.where(F.col("label") == label)
+        cap = _cap([r["count"] for r in counts.where(F.col("label") == label).collect()], most)
+        near = rows.join(F.broadcast(counts), ["label", "lang"])
+        share = F.lit(float(cap)) / F.col("count")
+        return near.where(share_of_hash(F.col("doc_id"), seed=2) < share).select("doc_id", "label")
 
-    wanted = some(0).unionByName(some(1))
+    wanted = some(0, CLEAN_TIMES * size).unionByName(some(1, size))
     found = docs.select("doc_id", body().alias("text")).join(wanted, "doc_id").select("label", "text")
     # Copies are no further evidence.
     return found.dropDuplicates(["label", "text"])
 
 
+def _cap(counts: list[int], most: int) -> int:
+    """The largest number per group with which all groups give about ``most``."""
+    left, cap = most, 0
+    for place, count in enumerate(sorted(counts)):
+        cap = max(1, left // (len(counts) - place))
+        left -= min(count, cap)
+    return cap
+
+
 def _listed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     for batch in batches:
         batch["features"] = [sorted(features(t)) for t in batch["text"]]
@@ -74,20 +100,18 @@ def _listed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def telling_features(rows: DataFrame, most: int = FEATURES) -> list[str]:
     """Features that toxic documents hold more often than chance would have it.
 
-    Counted by Spark. The measure is the log-likelihood ratio of a feature's split over
-    the two classes against the split of all documents, which also holds for rare
-    features; at most ``most`` with the largest ratio.
+    Counted by Spark. No test of significance is made: every feature of at least
+    ``LEAST_HELD`` toxic documents that is ``LEAST_LIFT`` times as frequent there as in
+    clean ones is left to the fit. Only above ``most`` are those with the largest
+    log-likelihood ratio taken.
     """
     totals = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
     toxic, clean = totals.get(1, 0), totals.get(0, 0)
     if not toxic or not clean:
         return []
-    counts = settle(
-        rows.select("label", F.explode("features").alias("feature")).groupBy("feature").agg(
-            F.count_if(F.col("label") == 1).alias("a"), F.count_if(F.col("label") == 0).alias("b")
-        )
+    counts = rows.select("label", F.explode("features").alias("feature")).groupBy("feature").agg(
+        F.count_if(F.col("label") == 1).alias("a"), F.count_if(F.col("label") == 0).alias("b")
     )
-    least = 2 * np.log(max(counts.count(), 1)) + BEYOND_CHANCE
     share = toxic / (toxic + clean)
     held = F.col("a") + F.col("b")
 
@@ -96,7 +120,7 @@ def telling_features(rows: DataFrame, most: int = FEATURES) -> list[str]:
 
     ratio = 2 * (part(F.col("a"), held * share) + part(F.col("b"), held * (1 - share)))
     chosen = (
-        counts.where((F.col("a") > held * share) & (ratio >= float(least)) & (F.col("a") * clean > 4 * F.col("b") * toxic))
+        counts.where((F.col("a") >= LEAST_HELD) & (F.col("a") * clean > LEAST_LIFT * F.col("b") * toxic))
         .orderBy(ratio.desc(), "feature").limit(most)
     )
     return [r["feature"] for r in chosen.select("feature").collect()]
@@ -146,16 +170,42 @@ def fit_ordinal(
     return w, theta
 
 
-def decision_cut(eta: np.ndarray, toxic: np.ndarray) -> float:
+def held_out_sums(row: np.ndarray, column: np.ndarray, label: np.ndarray, width: int) -> np.ndarray:
+    """``w.x`` of every document by weights learnt without its part of the documents.
+
+    Each part chooses its features anew, as a feature owed to the documents that are
+    judged would tell nothing.
+    """
+    part = np.random.default_rng(0).permutation(len(label)) % FOLDS
+    sums = np.zeros(len(label))
+    for fold in range(FOLDS):
+        learnt = part != fold
+        seen = learnt[row]
+        a = np.bincount(column[seen & (label[row] == 1)], minlength=width)
+        b = np.bincount(column[seen & (label[row] == 0)], minlength=width)
+        toxic, clean = (learnt & (label == 1)).sum(), (learnt & (label == 0)).sum()
+        telling = (a >= min(LEAST_HELD, toxic)) & (a * clean > LEAST_LIFT * b * toxic)
+        used = telling[column]
+        held = np.bincount(row[used], minlength=len(label))
+        place = np.cumsum(learnt) - 1
+        mine = used & seen
+        w, _ = fit_ordinal(
+            place[row[mine]], column[mine], grades(label[learnt], held[learnt]), width, steps=STEPS, decay=DECAY
+        )
+        sums[~learnt] = np.bincount(row[used], w[column[used]], len(label))[~learnt]
+    return sums
+
+
+def decision_cut(eta: np.ndarray, toxic: np.ndarray, weight: float = 1.0) -> float:
     """Where ``eta`` tells toxic from clean documents best, a clean one taken for toxic
-    counting three times; of equally good values the middle of the widest gap."""
+    counting three times, and each for ``weight`` of them; of equally good values the middle of the widest gap."""
     order = np.sort(np.unique(eta))
     if len(order) < 2:
         return float("inf")
     cuts = (order[1:] + order[:-1]) / 2
     missed = np.searchsorted(np.sort(eta[toxic]), cuts)
     wrong = (~toxic).sum() - np.searchsorted(np.sort(eta[~toxic]), cuts)
-    cost = missed + 3 * wrong
+    cost = missed + 3 * weight * wrong
     best = cost == cost.min()
     return float(cuts[best][np.diff(order)[best].argmax()])
 
@@ -178,8 +228,12 @@ def train(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> OrdinalMode
     row = np.repeat(np.arange(len(sample)), held)
     column = np.concatenate([np.asarray(p, dtype=int) for p in sample["places"]])
     label = sample["label"].to_numpy()
-    w, theta = fit_ordinal(row, column, grades(label, held), len(names))
-    cut = decision_cut(np.bincount(row, w[column], len(sample)), label == 1)
+    w, theta = fit_ordinal(row, column, grades(label, held), len(names), steps=STEPS, decay=DECAY)
+    # The sample holds the classes in other shares than the labels.
+    judged = {r["toxic"]: r["count"] for r in labels.where("toxic is not null").groupBy("toxic").count().collect()}
+    taken = np.bincount(label, minlength=2)
+    weight = max(1.0, judged[0] * taken[1] / (judged[1] * taken[0]))
+    cut = decision_cut(held_out_sums(row, column, label, len(names)), label == 1, weight)
     return OrdinalModel(dict(zip(names, w.tolist())), tuple(theta.tolist()), cut)
 
 

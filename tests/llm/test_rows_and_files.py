@@ -312,6 +312,20 @@ def test_toxicity_on_held_out_documents(spark):
     assert list(model.thresholds) == sorted(model.thresholds)
 
 
+def test_toxicity_reaches_every_language(spark):
+    """Languages with few labelled toxic documents are not lost."""
+    docs = queries.documents(spark, "/root/testdata/sf0.1")
+    labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
+    held = F.col("doc_id") % 3 == 0
+    model = toxicity.train(docs, labels.where(~held))
+    marked = docs.join(labels.where(held).selectExpr("doc_id", "toxic as label"), "doc_id")
+    judged = toxicity.score_documents(marked, model).join(marked.select("doc_id", "lang", "label"), "doc_id").collect()
+    by_lang = {lang: [r["toxic"] for r in judged if r["lang"] == lang and r["label"] == 1] for lang in ("en", "de", "fr", "es")}
+    print({lang: (sum(found), len(found)) for lang, found in by_lang.items()},
+          sum(r["toxic"] for r in judged if r["label"] == 0), sum(r["label"] == 0 for r in judged))
+    assert all(sum(found) >= 0.5 * len(found) > 0 for found in by_lang.values())
+
+
 def test_toxicity_edge_cases(spark):
     rows = [(i, ("you fool " if i % 2 else "good day ") + f"text{i} " * (i % 5), i) for i in range(60)]
     rows += [(100, None, 1), (101, "", 1), (None, "fool", 1), (None, "fool", 1)]
