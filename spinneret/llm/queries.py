@@ -4,10 +4,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from spinneret.llm import (
+    alignment,
     decontaminate,
     fingerprint,
     license_scan,
     mixing,
+    phrases,
     quality,
     secret_scan,
     simhash,
@@ -19,6 +21,7 @@ from spinneret.llm.columns import documents
 from spinneret.operators.scratch import scratch_path
 
 TOKENIZER = "byte_bpe_50k.json"
+OTHER_TOKENIZER = "piece_bpe_32k.model"
 
 # The rules of the URL query.
 URL_RULES = [
@@ -103,6 +106,18 @@ def op10_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_align(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of two tokenizers, aligned by the bytes they spell."""
+    return alignment.align_tokenizers(
+        documents(spark, sf_dir), tokenizer_path(), tokenizer_path(OTHER_TOKENIZER)
+    )
+
+
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2000 collocations of every language."""
+    return phrases.collocations(documents(spark, sf_dir))
+
+
 QUERIES = {
     "op1_simhash": op1_simhash,
     "op2_toxicity": op2_toxicity,
@@ -114,6 +129,8 @@ QUERIES = {
     "op8_license_scan": op8_license_scan,
     "op9_mixing": op9_mixing,
     "op10_secret_scan": op10_secret_scan,
+    "op11_align": op11_align,
+    "op13_phrases": op13_phrases,
 }
 
 _RULE_ROWS = ", ".join(f"('{a}', '{h}', '{p}')" for a, h, p in URL_RULES)
