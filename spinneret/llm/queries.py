@@ -10,6 +10,7 @@ from spinneret.llm import (
     license_scan,
     mixing,
     phrases,
+    pii,
     quality,
     secret_scan,
     simhash,
@@ -113,6 +114,11 @@ def op11_align(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data and the terms that reveal it."""
+    return pii.digest_columns(pii.personal_spans(documents(spark, sf_dir)))
+
+
 def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The first 2000 collocations of every language."""
     return phrases.collocations(documents(spark, sf_dir))
@@ -130,6 +136,7 @@ QUERIES = {
     "op9_mixing": op9_mixing,
     "op10_secret_scan": op10_secret_scan,
     "op11_align": op11_align,
+    "op12_pii": op12_pii,
     "op13_phrases": op13_phrases,
 }
 
