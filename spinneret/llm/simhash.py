@@ -1,18 +1,9 @@
-"""Near-duplicates by SimHash and inverted indexes.
+"""Near-duplicates by SimHash and an inverted index of byte positions.
 
-Documents with equal signatures are one class; classes are posted under keys, and
-those that share a key meet in a bucket. Pairs that meet are filtered by what
-their signatures allow, and verified.
-
-``fingerprints`` is the classic 64-bit SimHash, posted under combinations of
-positional bytes: within 3 differing bits at least 5 of the 8 bytes are equal, so 3
-equal bytes exist among any 6 positions and nothing is lost.
-
-``signatures`` serves shingle similarity. A set is posted under its first shingles
-in one order of all shingles, common ones last: sets of ``n`` shingles whose
-Jaccard index reaches ``s`` share one of their first ``n - ceil(s n) + 1``. The
-filters on sizes, places in that order and parity bits are bounds as well, so no
-pair is lost; the found pairs are verified by the Jaccard index itself.
+Documents with equal fingerprints are one class; classes are posted under keys, and
+those that share a key meet in a bucket. Pairs that meet are filtered by a tally of
+their equal bytes, and verified. Within 3 differing bits at least 5 of the 8 bytes
+are equal, so 3 equal bytes exist among any 6 positions and nothing is lost.
 """
 
 from collections.abc import Callable, Iterator
@@ -24,20 +15,13 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from spinneret.llm.columns import body, same_row, share_of_hash, small, text_key
+from spinneret.llm.columns import body, same_row, small, text_key
 from spinneret.llm.components import components
 from spinneret.operators.scratch import settle
 
 SEED = 42
 #: A bucket up to this size compares all its pairs, a larger one goes around a centre.
 BUCKET = 64
-#: Rounds with so many centres join large groups before all that is left is compared.
-ROUNDS, CENTRES = 3, 4
-PARITY_BITS = 256
-#: Common shingles are counted in about so many documents, and so many kept. They only
-#: order the shingles; the pairs found are the same for any order.
-ORDER_DOCUMENTS = 50_000
-COMMON = 1 << 20
 HASHES_AT_ONCE = 1 << 16
 
 
@@ -73,21 +57,6 @@ def simhash(hashes: np.ndarray) -> int:
     return int(np.packbits(bits, bitorder="little").view("<u8")[0])
 
 
-def parity_bits(shingles: np.ndarray) -> np.ndarray:
-    """Four longs: a bit is set when an odd number of shingles falls on it.
-
-    Two sets differ in at least as many shingles as their bits differ.
-    """
-    cells = ((shingles >> np.uint64(20)) & np.uint64(PARITY_BITS - 1)).astype(np.int64)
-    odd = (np.bincount(cells, minlength=PARITY_BITS) & 1).astype(np.uint8)
-    return np.packbits(odd, bitorder="little").view("<i8")
-
-
-def prefix_length(size: int, similarity: float) -> int:
-    """How many first shingles of a set another set as similar must meet."""
-    return size - int(np.ceil(similarity * size - 1e-9)) + 1 if size else 0
-
-
 def _mapped(docs: DataFrame, text: str, make: Callable, schema: str, rows: int = 200) -> DataFrame:
     """``doc_id, key`` and what ``make(texts)`` gives, batch by batch."""
     def batches(incoming: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -116,76 +85,6 @@ def fingerprints(docs: DataFrame, shingle: int = 3, text: str = "text") -> DataF
     return _mapped(docs, text, make, "node bigint, s0 bigint")
 
 
-def common_shingles(
-    docs: DataFrame, shingle: int, text: str, documents: int = ORDER_DOCUMENTS, most: int = COMMON
-) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles that several documents hold, ascending, and in how many of the sample."""
-    def batches(incoming: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in incoming:
-            for at in range(0, batch.num_rows, 1000):
-                texts = batch.column("text").slice(at, 1000).to_pylist()
-                sets = [np.unique(shingle_hashes(t, shingle)) for t in texts]
-                found, n = np.unique(np.concatenate(sets), return_counts=True)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(found.view(np.int64)), pa.array(n, pa.int64())], names=["shingle", "n"]
-                )
-
-    share = min(1.0, documents / max(docs.count(), 1))
-    some = docs.select(body(text).alias("text")).where(share_of_hash(F.col("text"), seed=SEED) < share)
-    counts = settle(
-        some.mapInArrow(batches, "shingle bigint, n bigint")
-        .groupBy("shingle").agg(F.sum("n").alias("n")).where(F.col("n") > 2)
-    )
-    held = {}
-    for row in counts.groupBy(F.least("n", F.lit(10_000)).alias("n")).count().collect():
-        held[row["n"]] = row["count"]
-    least, total = 10_001, 0
-    for n in sorted(held, reverse=True):
-        total += held[n]
-        if total > most:
-            break
-        least = n
-    found = counts.where(F.col("n") >= least).toPandas()
-    names, n = found["shingle"].to_numpy(dtype=np.int64).view(np.uint64), found["n"].to_numpy(dtype=np.int64)
-    order = np.argsort(names)
-    return names[order], n[order]
-
-
-def signatures(
-    docs: DataFrame, shingle: int = 5, similarity: float = 0.8, text: str = "text"
-) -> DataFrame:
-    """``doc_id, key, node, size, s0..s3, first``: what is compared of every row's set.
-
-    ``node`` is a 64-bit hash of the set, so texts with equal sets are one class;
-    ``s0..s3`` are its parity bits, ``first`` the first shingles in the common order.
-    """
-    common = docs.sparkSession.sparkContext.broadcast(common_shingles(docs, shingle, text))
-
-    def first(shingles: np.ndarray) -> np.ndarray:
-        names, counts = common.value
-        held = np.zeros(len(shingles), dtype=np.int64)
-        if len(names):
-            at = np.minimum(np.searchsorted(names, shingles), len(names) - 1)
-            held = np.where(names[at] == shingles, counts[at], 0)
-        order = np.argsort(held, kind="stable")
-        return shingles[order[: prefix_length(len(shingles), similarity)]].view(np.int64)
-
-    def make(texts):
-        sets = [np.unique(shingle_hashes(t, shingle)) for t in texts]
-        parts = np.array([parity_bits(s) for s in sets], dtype=np.int64).reshape(-1, 4)
-        node = np.array([xxhash.xxh64_intdigest(s.tobytes(), SEED) for s in sets], dtype=np.uint64)
-        return {
-            "node": pa.array(node.view(np.int64)), "size": pa.array([len(s) for s in sets], pa.int64()),
-            **{f"s{i}": pa.array(np.ascontiguousarray(parts[:, i])) for i in range(4)},
-            "first": pa.array([first(s) for s in sets], pa.list_(pa.int64())),
-        }
-
-    return _mapped(
-        docs, text, make,
-        "node bigint, size bigint, s0 bigint, s1 bigint, s2 bigint, s3 bigint, first array<bigint>",
-    )
-
-
 # Byte-position index
 
 def _byte(place: int, of: str = "") -> str:
@@ -238,19 +137,17 @@ def linked_in_buckets(
     verify: Callable[[DataFrame], DataFrame],
     carried: list[str],
     bucket: int = BUCKET,
-    rounds: int = 0,
 ) -> DataFrame:
     """``a, b`` edges that connect all classes that meet in a bucket and verify.
 
     ``enough`` is the condition under which classes ``a`` and ``b`` of a bucket are
     candidates; ``verify`` gets their pairs with the ``carried`` columns as ``x0..``
     and ``y0..``. A bucket of up to ``bucket`` classes gives all its pairs. In a
-    larger one every class is first compared with the smallest, and in up to
-    ``rounds`` further rounds with a few others while buckets above ``BUCKET`` are not
-    connected; then every class that is not connected to the bucket's largest component
-    so far is compared with all classes of other components. What is left out are only pairs already
-    connected, so components come out as if all pairs had been compared, without
-    the square of a group of near copies.
+    larger one every class is first compared with the smallest; then every class that
+    is not connected to the bucket's largest component so far is compared with all
+    classes of other components. What is left out are only pairs already connected, so
+    components come out as if all pairs had been compared, without the square of a
+    group of near copies.
     """
     held = posted.groupBy("bucket").agg(F.count("*").alias("held")).where(F.col("held") > 1)
     met = settle(settle(posted.join(held, "bucket")).join(classes, "node"))
@@ -278,46 +175,26 @@ def linked_in_buckets(
     met_first = first.unionByName(around).dropDuplicates(["a", "b"]) if bucket > 1 else around
     known = settle(verify(met_first).select("a", "b"))
 
-    for turn in range(rounds + 1):
-        # The centre of two has met the other.
-        labelled = settle(
-            many.where(F.col("held") > 2).join(components(known), "node", "left").withColumn(
-                "component", F.coalesce("component", "node")
-            )
+    # The centre of two has met the other.
+    labelled = settle(
+        many.where(F.col("held") > 2).join(components(known), "node", "left").withColumn(
+            "component", F.coalesce("component", "node")
         )
-        largest = (
-            labelled.groupBy("bucket", "component").agg(F.count("*").alias("n"))
-            .groupBy("bucket").agg(F.max_by("component", F.struct("n", "component")).alias("largest"))
-        )
-        outside = labelled.join(largest, "bucket").where(F.col("component") != F.col("largest"))
-        if turn == rounds:
-            break
-        crowded = settle(outside.where(F.col("held") > BUCKET).select("bucket").distinct())
-        if crowded.isEmpty():
-            break
-        unlinked = labelled.join(crowded, "bucket")
-        drawn = [
-            F.min(F.struct(F.xxhash64(F.lit(turn * CENTRES + i), "node").alias("order"), *columns, "component"))
-            for i in range(CENTRES)
-        ]
-        centres = unlinked.groupBy("bucket").agg(F.array(*drawn).alias("c")).select(
-            "bucket", F.explode("c").alias("c")
-        ).select("bucket", "c.*")
-        again = pairs(centres, unlinked, F.col("a.component") != F.col("b.component"))
-        known = settle(known.unionByName(verify(again).select("a", "b")))
+    )
+    largest = (
+        labelled.groupBy("bucket", "component").agg(F.count("*").alias("n"))
+        .groupBy("bucket").agg(F.max_by("component", F.struct("n", "component")).alias("largest"))
+    )
+    outside = labelled.join(largest, "bucket").where(F.col("component") != F.col("largest"))
     rest = pairs(outside, labelled, F.col("a.component") != F.col("b.component"))
     return known.unionByName(verify(rest).select("a", "b"))
 
 
 # 64-bit fingerprints within a number of bits
 
-def close_components(rows: DataFrame, bits: int = 3) -> DataFrame:
-    """``rows`` of ``fingerprints`` with ``component_id`` and ``n_equal``.
-
-    Fingerprints link at ``bits`` or fewer differing bits. ``component_id`` is the
-    smallest ``doc_id`` reachable over links, NULL where no reachable row has one.
-    ``n_equal`` counts the rows with the same fingerprint. Rows are all kept.
-    """
+def close_groups(rows: DataFrame, bits: int = 3) -> tuple[DataFrame, DataFrame]:
+    """``rows`` of ``fingerprints``, settled, and ``node, component, least, n_equal`` of
+    every fingerprint: those within ``bits`` differing bits are in one component."""
     rows = settle(rows)
     classes = rows.groupBy("node", "s0").agg(
         F.min("doc_id").alias("least"), F.count("*").alias("n_equal")
@@ -334,88 +211,33 @@ def close_components(rows: DataFrame, bits: int = 3) -> DataFrame:
     edges = linked_pairs(classes.select("node", "s0"), places, 1, 8 - bits, verify)
     labels = components(edges)
     placed = classes.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    smallest = placed.groupBy("component").agg(F.min("least").alias("component_id"))
-    named = placed.join(smallest, "component").select("node", "component_id", "n_equal")
-    return rows.join(named, "node")
-
-
-# Shingle similarity
-
-def shingle_sets(docs: DataFrame, shingle: int, text: str) -> DataFrame:
-    """``node, shingles`` of documents that carry a ``node``."""
-    def batches(incoming: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in incoming:
-            sets = [np.unique(shingle_hashes(t, shingle)).view(np.int64) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("node"), pa.array(sets, pa.list_(pa.int64()))], names=["node", "shingles"]
-            )
-
-    return docs.select("node", body(text).alias("text")).mapInArrow(batches, "node bigint, shingles array<bigint>")
+    return rows, placed
 
 
-def similar_groups(
-    docs: DataFrame, shingle: int = 5, similarity: float = 0.8, text: str = "text"
-) -> tuple[DataFrame, DataFrame]:
-    """Rows of ``docs`` as ``doc_id, key, node``, and the ``node, component`` of classes
-    linked by a Jaccard index of their shingle sets of at least ``similarity``.
+def close_components(rows: DataFrame, bits: int = 3) -> DataFrame:
+    """``rows`` of ``fingerprints`` with ``component_id`` and ``n_equal``.
 
-    Every such pair is found, and nothing else.
+    Fingerprints link at ``bits`` or fewer differing bits. ``component_id`` is the
+    smallest ``doc_id`` reachable over links, NULL where no reachable row has one.
+    ``n_equal`` counts the rows with the same fingerprint. Rows are all kept.
     """
-    rows = settle(signatures(docs, shingle, similarity, text))
-    classes = settle(rows.groupBy("node").agg(
-        F.min(F.struct("doc_id", "key")).alias("row"),
-        *[F.first(c).alias(c) for c in ("size", "s0", "s1", "s2", "s3", "first")],
-    ))
-    # Sets of fewer shingles differ by more than the similarity unless they are equal.
-    least = int(np.ceil(similarity / (1 - similarity) - 1e-9)) if similarity < 1 else 1
-    compared = classes.where(F.col("size") >= least)
-
-    def verify(pairs: DataFrame) -> DataFrame:
-        pairs = settle(pairs.select("a", "b"))
-        wanted = pairs.select(F.col("a").alias("node")).unionByName(
-            pairs.select(F.col("b").alias("node"))
-        ).distinct()
-        places = settle(classes.join(wanted, "node").select("node", "row.doc_id", "row.key"))
-        texts = (
-            docs.alias("d").join(small(places).alias("p"), same_row("d", "p", text))
-            .select("p.node", F.col(f"d.{text}").alias("text"))
-        )
-        sets = settle(shingle_sets(texts, shingle, "text").dropDuplicates(["node"]))
-        left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("left"))
-        right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("right"))
-        both = F.size(F.array_intersect("left", "right"))
-        either = F.size("left") + F.size("right") - both
-        return pairs.join(left, "a").join(right, "b").where(both >= similarity * either - F.lit(1e-9))
-
-    # What two sets that similar share at least, by their sizes; the first shingle they
-    # share has to leave as many, and the bits of the rest may differ.
-    sizes = F.col("a.size") + F.col("b.size")
-    shared = sizes * (similarity / (1 + similarity)) - F.lit(1e-6)
-    left_over = F.least(F.col("a.size") - F.col("a.place"), F.col("b.size") - F.col("b.place"))
-    differing = sum(
-        (F.bit_count(F.col(f"a.s{i}").bitwiseXOR(F.col(f"b.s{i}"))) for i in range(1, 4)),
-        F.bit_count(F.col("a.s0").bitwiseXOR(F.col("b.s0"))),
-    )
-    enough = (left_over >= shared) & (differing <= sizes - 2 * shared)
-    posted = compared.select("node", F.posexplode("first").alias("place", "bucket"))
-    edges = linked_in_buckets(
-        posted, compared.select("node", "size", "s0", "s1", "s2", "s3"), enough, verify, [], 1, ROUNDS
-    )
-    return rows.drop("first"), components(edges)
+    rows, placed = close_groups(rows, bits)
+    smallest = placed.groupBy("component").agg(F.min("least").alias("component_id"))
+    named = placed.join(smallest, "component").select("node", "component_id", "n_equal")
+    return rows.join(named, "node")
 
 
-def one_of_each(
-    docs: DataFrame, shingle: int = 5, similarity: float = 0.8, text: str = "text"
-) -> DataFrame:
-    """One document of every group of near-duplicates, with its columns.
+def one_of_each(docs: DataFrame, shingle: int = 3, bits: int = 3, text: str = "text") -> DataFrame:
+    """One document of every group of ``close_components``, with its columns.
 
     The one with the smallest ``doc_id`` stays (NULL ids last, ties by a hash of the
-    text); of equal rows one stays. Texts without words are one group.
+    text); of equal rows one stays. Texts without words, NULL included, share
+    fingerprint zero and its group. An empty table stays empty.
     """
-    rows, labels = similar_groups(docs, shingle, similarity, text)
+    rows, classes = close_groups(fingerprints(docs, shingle, text), bits)
     order = F.struct(F.col("doc_id").isNull().alias("missing"), "doc_id", "key")
-    classes = rows.groupBy("node").agg(F.min(order).alias("first"))
-    grouped = classes.join(labels, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    least = rows.groupBy("node").agg(F.min(order).alias("first"))
+    grouped = least.join(classes.select("node", "component"), "node")
     kept = grouped.groupBy("component").agg(F.min("first").alias("keeper"))
     keepers = grouped.join(kept, "component").select("node", "keeper")
     same = F.col("doc_id").eqNullSafe(F.col("keeper.doc_id")) & (F.col("key") == F.col("keeper.key"))

@@ -12,6 +12,8 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,20 +35,49 @@ FOLDS = 3
 STEPS, DECAY = 600, 1e-3
 
 
+#: Bytes of text whose features are held at once, and words a task remembers.
+TEXT_AT_ONCE = 1 << 21
+KNOWN_WORDS = 200_000
+
+
 @dataclass(frozen=True)
 class OrdinalModel:
-    weights: dict[str, float]
+    #: By the 64-bit hash of a feature.
+    weights: dict[int, float]
     thresholds: tuple[float, ...]
     #: A document is toxic when ``w.x`` reaches this.
     cut: float
 
 
-def features(text: str) -> set[str]:
-    words = set(WORD.findall(text.lower()))
-    found = set(words)
-    for size in BEGINNINGS:
-        found.update("^" + word[:size] for word in words if len(word) >= size)
-    return found
+def word_features(word: str) -> tuple[int, ...]:
+    """Hashes of a word and of its beginnings."""
+    spelt = [word, *("^" + word[:size] for size in BEGINNINGS if len(word) >= size)]
+    return tuple(xxhash.xxh64_intdigest(f.encode("utf-8", "surrogatepass")) - (1 << 63) for f in spelt)
+
+
+class _Features:
+    """Features by word, remembered for a bounded number of words."""
+
+    def __init__(self, chosen: dict[int, float] | None = None):
+        self.chosen, self.known = chosen, {}
+
+    def of(self, text: str) -> set[int]:
+        """The features of a text; only the chosen ones, if any are."""
+        if len(self.known) > KNOWN_WORDS:
+            self.known = {}
+        known, chosen = self.known, self.chosen
+        found: set[int] = set()
+        for word in set(WORD.findall(text.lower())):
+            mine = known.get(word)
+            if mine is None:
+                mine = word_features(word)
+                if chosen is not None:
+                    mine = tuple(f for f in mine if f in chosen)
+                if len(word) <= 40:
+                    known[word] = mine
+            if mine:
+                found.update(mine)
+        return found
 
 
 # Learning
@@ -91,13 +122,25 @@ def _cap(counts: list[int], most: int) -> int:
     return cap
 
 
-def _listed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+def _listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """``label, features`` of a few documents at a time."""
+    known = _Features()
     for batch in batches:
-        batch["features"] = [sorted(features(t)) for t in batch["text"]]
-        yield batch[["label", "features"]]
-
-
-def telling_features(rows: DataFrame, most: int = FEATURES) -> list[str]:
+        labels, at = batch.column("label").to_pylist(), 0
+        while at < batch.num_rows:
+            taken, found, begin = 0, [], at
+            while at < batch.num_rows and taken < TEXT_AT_ONCE:
+                text = batch.column("text")[at].as_py()
+                found.append(np.sort(np.fromiter(known.of(text), dtype=np.int64)))
+                taken += len(text)
+                at += 1
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(labels[begin:at], pa.int32()), pa.array(found, pa.list_(pa.int64()))],
+                names=["label", "features"],
+            )
+
+
+def telling_features(rows: DataFrame, most: int = FEATURES) -> list[int]:
     """Features that toxic documents hold more often than chance would have it.
 
     Counted by Spark. No test of significance is made: every feature of at least
@@ -212,18 +255,28 @@ def decision_cut(eta: np.ndarray, toxic: np.ndarray, weight: float = 1.0) -> flo
 
 def train(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> OrdinalModel:
     """Fit on the labelled sample. Without both classes nothing is ever toxic."""
-    rows = settle(labelled_sample(docs, labels, size).mapInPandas(_listed, "label int, features array<string>"))
+    rows = settle(labelled_sample(docs, labels, size).mapInArrow(_listed, "label int, features array<bigint>"))
     names = telling_features(rows)
     if not names:
         return OrdinalModel({}, tuple(float(k) for k in range(1, GRADES)), float("inf"))
-    place = {name: i for i, name in enumerate(names)}
+    chosen = np.array(names, dtype=np.int64)
+    order = np.argsort(chosen)
 
-    def encoded(batches):
+    def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            batch["places"] = [[place[f] for f in fs if f in place] for fs in batch["features"]]
-            yield batch[["label", "places"]]
-
-    sample = rows.mapInPandas(encoded, "label int, places array<int>").toPandas()
+            lists = batch.column("features")
+            held = lists.flatten().to_numpy()
+            at = order[np.minimum(np.searchsorted(chosen, held, sorter=order), len(chosen) - 1)]
+            kept = chosen[at] == held
+            before = np.concatenate([[0], np.cumsum(kept)])
+            first = lists.offsets.to_numpy() - lists.offsets[0].as_py()
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("label"), pa.ListArray.from_arrays(
+                    pa.array(before[first], pa.int32()), pa.array(at[kept], pa.int32()))],
+                names=["label", "places"],
+            )
+
+    sample = rows.mapInArrow(encoded, "label int, places array<int>").toPandas()
     held = sample["places"].map(len).to_numpy()
     row = np.repeat(np.arange(len(sample)), held)
     column = np.concatenate([np.asarray(p, dtype=int) for p in sample["places"]])
@@ -239,9 +292,9 @@ def train(docs: DataFrame, labels: DataFrame, size: int = SAMPLE) -> OrdinalMode
 
 # Scoring
 
-def severity(text: str, model: OrdinalModel) -> tuple[float, float, bool]:
+def severity(text: str, model: OrdinalModel, known: _Features) -> tuple[float, float, bool]:
     """Expected grade, the chance of any grade above 0, and whether the text is toxic."""
-    eta = sum(model.weights[f] for f in features(text) if f in model.weights)
+    eta = sum(model.weights[f] for f in sorted(known.of(text)))
     above = [1 / (1 + np.exp(min(max(t - eta, -500.0), 500.0))) for t in model.thresholds]
     return float(sum(above)), float(above[0]), bool(eta >= model.cut)
 
@@ -249,16 +302,20 @@ def severity(text: str, model: OrdinalModel) -> tuple[float, float, bool]:
 def score_documents(docs: DataFrame, model: OrdinalModel, text: str = "text") -> DataFrame:
     """``doc_id, key, severity, chance, toxic`` of every row.
 
-    NULL and empty texts have no feature and get the severity of none; repeated
-``toxic`` follows the cut that told the classes apart best in training.
+    NULL and empty texts have no feature and get the severity of none; repeated rows,
+    and rows with equal or NULL ``doc_id``, each get their own. ``toxic`` follows the
+    cut that told the classes apart best in training; a text that reaches it is toxic.
+    An empty table gives no rows, long texts are read whole.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("severity double, chance double, toxic boolean")
-    def graded(texts: pd.Series) -> pd.DataFrame:
-        return pd.DataFrame(
-            [severity(t, shared.value) for t in texts], columns=["severity", "chance", "toxic"]
-        )
+    def graded(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        known = _Features(shared.value.weights)
+        for texts in batches:
+            yield pd.DataFrame(
+                [severity(t, shared.value, known) for t in texts], columns=["severity", "chance", "toxic"]
+            )
 
     return docs.select("doc_id", text_key(text).alias("key"), graded(body(text)).alias("g")).select(
         "doc_id", "key", "g.severity", "g.chance", "g.toxic"
@@ -270,7 +327,9 @@ def drop_toxic(docs: DataFrame, model: OrdinalModel, text: str = "text") -> Data
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     @F.pandas_udf("boolean")
-    def toxic(texts: pd.Series) -> pd.Series:
-        return pd.Series([severity(t, shared.value)[2] for t in texts], dtype="bool")
+    def toxic(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        known = _Features(shared.value.weights)
+        for texts in batches:
+            yield pd.Series([severity(t, shared.value, known)[2] for t in texts], dtype="bool")
 
     return docs.where(~toxic(body(text)))
