@@ -23,8 +23,9 @@ def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group whose five-word shingles are 0.8 alike."""
-    return simhash.one_of_each(docs, shingle=5, similarity=0.8)
+    """One document of each group of SimHash fingerprints of three-word shingles that
+    differ in at most three bits."""
+    return simhash.one_of_each(docs, shingle=3, bits=3)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
