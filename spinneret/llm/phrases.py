@@ -29,10 +29,10 @@ COVERED = 80
 SCALE = 2_000_000
 NO_LANGUAGE = "und"
 #: Words that a task holds before it counts them, and bytes of text taken at once.
-HELD_WORDS = 1 << 21
-TEXT_AT_ONCE = 1 << 22
+HELD_WORDS = 1 << 20
+TEXT_AT_ONCE = 1 << 21
 #: Words whose hashes a task remembers between two counts.
-KNOWN_WORDS = 400_000
+KNOWN_WORDS = 250_000
 #: The filter of frequent pairs has 2^n bits, about 16 for each pair.
 FILTER_BITS = (16, 26)
 
