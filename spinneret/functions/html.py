@@ -12,7 +12,7 @@ from spinneret.functions.urls import base_parts, canonical_url, resolve_against
 # groups stay empty. The title is tried at its first tag only: where that one
 # fails, all later ones do. So both are linear in any text.
 ANCHOR_PATTERN = r"""(?is)<a(?:[^>]*?href=['"]?([^> '"]+)[^>]*+>(.*?)</a>|[^>]*+(?:>|$))"""
-UP_TO_LAST_CLOSE = r"(?is)^.*</a>"
+CLOSINGS = ("</a>", "</A>")
 TITLE_PATTERN = r"(?is)^(?>.*?<title)[^>]*+>(.*?)</title>"
 BLANKS = (
     "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680"
@@ -30,14 +30,19 @@ def clean_links(links: Column) -> Column:
     return F.filter(F.transform(links, clean_text), lambda link: link != "")
 
 
+def up_to_last_close(html: Column) -> Column:
+    """The text up to its last closing anchor, found from the end; empty without one."""
+    rest = F.least(*[F.length(F.substring_index(html, tag, -1)) for tag in CLOSINGS])
+    return F.substring(html, F.lit(1), F.length(html) - rest)
+
+
 def anchor_hrefs(html: Column) -> Column:
     """All ``href`` values of closed anchors, in document order.
 
     Nothing behind the last closing tag can match. Cutting it off keeps pages
     with many unclosed anchors from being scanned to the end for each of them.
     """
-    closed = F.regexp_extract(html, UP_TO_LAST_CLOSE, 0)
-    found = F.regexp_extract_all(closed, F.lit(ANCHOR_PATTERN), F.lit(1))
+    found = F.regexp_extract_all(up_to_last_close(html), F.lit(ANCHOR_PATTERN), F.lit(1))
     return F.filter(found, lambda href: href != "")
 
 
@@ -83,7 +88,7 @@ def match_pairs(
 
 def anchor_pairs(df: DataFrame, html: str, names: tuple[str, str] = ("href", "label")) -> DataFrame:
     """One row per closed anchor with its ``href`` and inner text, numbered from 0."""
-    closed = F.regexp_extract(F.col(html), UP_TO_LAST_CLOSE, 0)
+    closed = up_to_last_close(F.col(html))
     href, label = names
     pairs = F.arrays_zip(
         *[F.regexp_extract_all(closed, F.lit(ANCHOR_PATTERN), F.lit(i + 1)).alias(n)

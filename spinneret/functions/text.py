@@ -3,6 +3,7 @@
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from spinneret.functions.charsets import CODECS, decode_pairs
 from spinneret.functions.html import clean_text
 
 REPLACEMENT_CHARACTER = "\ufffd"
@@ -57,16 +58,16 @@ def json_field(document: Column, path: str) -> Column:
     return F.get_json_object(document, path)
 
 
-def decode_body(body: Column, charset: Column) -> Column:
+def decode_body(body: Column, charset: Column, codecs: tuple[str, ...] = ("GB18030", "GBK", "GB2312")) -> Column:
     """Bytes to text in a known charset; undecodable bytes are dropped.
 
     UTF-8 (also meant by a NULL charset) is repaired natively and keeps the
-    replacement characters that the text itself holds. Any other charset goes
-    through ``decode``: names such as GBK need ``spark.sql.legacy.javaCharsets``
-    set to true, and ``spark.sql.legacy.codingErrorAction`` set to true replaces
-    undecodable bytes, which are then dropped, where Spark would fail.
+    replacement characters that the text itself holds. ``codecs`` names the code pages
+    that are decoded by tables (those of ``charsets.CODECS``). Any other charset goes
+    through ``decode``: Spark knows ASCII, Latin-1 and UTF-16 by itself.
     """
-    is_utf8 = F.coalesce(F.upper(charset), F.lit("UTF-8")).isin("UTF-8", "UTF8")
+    name = F.upper(charset)
+    is_utf8 = F.coalesce(name, F.lit("UTF-8")).isin("UTF-8", "UTF8")
     raw = body.cast("string")
     # Replacement characters of a broken text are set aside before it is repaired.
     apart = F.replace(raw, F.lit(REPLACEMENT_CHARACTER), F.lit(STAND_IN))
@@ -77,4 +78,7 @@ def decode_body(body: Column, charset: Column) -> Column:
     other = F.replace(
         F.call_function("decode", body, charset), F.lit(REPLACEMENT_CHARACTER), F.lit("")
     )
-    return F.when(is_utf8, utf8).otherwise(other)
+    text = F.when(is_utf8, utf8)
+    for codec in codecs:
+        text = text.when(name == codec, decode_pairs(body, CODECS[codec]))
+    return text.otherwise(other)

@@ -11,6 +11,7 @@ from spinneret.functions.urls import netloc, valid_host
 from spinneret.operators.joins import BROADCAST_ROWS, hot_split_join, lookup_join
 from spinneret.operators.ordering import number_rows
 from spinneret.operators.scratch import settle
+from spinneret.operators.sketch import without_known
 
 FRONTIER_SCHEMA = (
     "seq bigint, host string, url string, status string, mode string, "
@@ -21,12 +22,18 @@ SUCCESS, FAILED, WAITING = "success", "failed", "waiting"
 
 # Admission
 
-def unseen_urls(candidates: DataFrame, store: DataFrame) -> DataFrame:
+def unseen_urls(candidates: DataFrame, store: DataFrame, sketch: DataFrame | None = None) -> DataFrame:
     """Candidates not yet in the store, whatever their stored status.
 
     Hubs are not tested. The same link is found on many pages, so candidates
-    are made distinct before the join; they are evaluated once.
+    are made distinct before the join; they are evaluated once. With a ``sketch`` of
+    the stored URLs, only candidates that it may hold meet the store.
     """
+    if sketch is not None:
+        found = settle(candidates.distinct())
+        tested = F.coalesce(F.col("mode") == "url", F.lit(False))
+        pages = without_known(found.where(tested), store, sketch, "url")
+        return found.where(~tested).unionByName(pages)
     found = candidates.distinct().alias("c")
     kept = store.select("url").alias("s")
     tested = (F.col("c.url") == F.col("s.url")) & (F.col("c.mode") == "url")

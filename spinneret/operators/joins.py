@@ -6,6 +6,8 @@ In both forms the second frame holds each key at most once.
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from spinneret.operators.scratch import settle
+
 BROADCAST_ROWS = 1_000_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 HOT_SHARE = 200
@@ -63,8 +65,10 @@ def hot_split_join(facts: DataFrame, other: DataFrame, on: str, how: str) -> Dat
 
     Keys with more than 1/``HOT_SHARE`` of the facts number fewer than
     ``HOT_SHARE``, so they and their partner rows are broadcast; the rest is
-    shuffled on the key. Costs one counting pass over the key column.
+    shuffled on the key. The facts are evaluated once and settled; counting them and
+    their keys reads the key column of what was settled.
     """
+    facts = settle(facts)
     total = facts.count()
     hot = (
         facts.where(F.col(on).isNotNull())

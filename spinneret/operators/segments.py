@@ -1,6 +1,6 @@
 """Ordered segments: manifests to rows, rows to assembled objects."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from spinneret.functions.text import manifest_entries
@@ -31,7 +31,7 @@ def ordered_merge(
 ) -> DataFrame:
     """One row per object: its segments concatenated by place (NULL first).
 
-    For many objects that each fit a row; ``write_objects`` takes any length.
+    For many objects that each fit a row; ``assembly.object_parts`` takes any length.
     """
     ordered = F.array_sort(F.collect_list(F.struct(F.col(pos), F.col(text))))
     return df.groupBy(*keys).agg(
@@ -40,31 +40,6 @@ def ordered_merge(
     )
 
 
-def write_objects(
-    df: DataFrame, keys: list[str], order: list[str], text: str, path: str, separator: str = "\n"
-) -> None:
-    """Assemble segments in order into one text file per object, below ``path``.
-
-    The segments of an object are sorted and written one after the other with
-    ``separator`` (not empty) behind each, so no row, and no memory of a task, ever
-    holds a whole object, however long it is. Each folder ``key=value`` holds one
-    object; meant for long objects rather than for very many.
-    """
-    ordered = df.select(*keys, *order, text).repartition(*keys).sortWithinPartitions(*keys, *order)
-    (
-        ordered.select(*keys, F.col(text).alias("value"))
-        .write.partitionBy(*keys).option("lineSep", separator).text(path)
-    )
-
-
-def read_objects(spark: SparkSession, path: str, keys: str, separator: str = "\n") -> DataFrame:
-    """The files of ``write_objects`` as rows ``keys, body``, for objects that fit a row."""
-    files = spark.read.schema(f"value string, {keys}").text(path, wholetext=True)
-    kept = [c for c in files.columns if c != "value"]
-    length = F.length("value") - len(separator)
-    return files.select(*kept, F.substring("value", F.lit(1), length).alias("body"))
-
-
 def crawl_rate(tasks: DataFrame, ts: str, seconds: int) -> DataFrame:
     """Tasks per second in aligned windows, rounded to two decimals."""
     issued = tasks.groupBy(F.window(ts, f"{seconds} seconds").alias("w")).agg(

@@ -12,6 +12,8 @@ from pyspark.sql import functions as F
 
 from spinneret.operators.joins import fits_broadcast
 from spinneret.operators.ordering import last_per_key
+from spinneret.operators.scratch import settle
+from spinneret.operators.sketch import key_sketch, with_possible
 
 STORE_SCHEMA = "url string, status string, html string"
 COMPARISONS = {
@@ -59,22 +61,34 @@ def upsert(store: DataFrame, incoming: DataFrame, key: str, order: list[str]) ->
     The last incoming row per key (by ``order``) wins; store columns that are
     not incoming keep their value, NULL on insert. When the incoming keys are
     counted to be few, the store is filtered where it lies and only its narrow
-    carried columns move; otherwise both sides are shuffled once on the key.
+    carried columns move. Otherwise a sketch of the incoming keys, of bounded size,
+    tells which stored rows may be met: only those are shuffled.
     """
     fields = [c for c in incoming.columns if c != key and c in store.columns]
     carried = [c for c in store.columns if c != key and c not in fields]
     incoming = incoming.where(F.col(key).isNotNull())
-    latest = last_per_key(incoming, [key], order).select(key, *fields)
     keys = incoming.select(key).distinct()
 
     if fits_broadcast(keys):
+        latest = last_per_key(incoming, [key], order).select(key, *fields)
         keys = F.broadcast(keys)
         old = store.select(key, *carried).join(keys, key, "left_semi")
         written = latest.join(old, key, "left").select(*store.columns)
         return store.join(keys, key, "left_anti").unionByName(written)
 
-    renamed = latest.select(key, F.struct(*fields).alias("_new"))
-    both = store.join(renamed, key, "full_outer")
+    met = with_possible(store, settle(key_sketch(keys, key)), key)
+    untouched = met.where(~F.col("_possible")).drop("_possible")
+    return untouched.unionByName(merge_all(met.where("_possible").drop("_possible"), incoming, key, order))
+
+
+def merge_all(store: DataFrame, incoming: DataFrame, key: str, order: list[str]) -> DataFrame:
+    """``upsert`` as one full outer join on the key.
+
+    A store kept in buckets of the key is read where it lies; any other is shuffled.
+    """
+    fields = [c for c in incoming.columns if c != key and c in store.columns]
+    latest = last_per_key(incoming.where(F.col(key).isNotNull()), [key], order)
+    both = store.join(latest.select(key, F.struct(*fields).alias("_new")), key, "full_outer")
     new = F.col("_new").isNotNull()
     return both.select(
         *[

@@ -4,7 +4,6 @@ Each entry reads whole tables. ``QUERIES`` maps a name to a function of
 (session, folder); ``ORACLES`` maps it to SQL where SQL can say the same.
 """
 
-import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,16 +12,21 @@ from pyspark.sql import functions as F
 from spinneret.functions import html as hx
 from spinneret.functions import text as tx
 from spinneret.functions import urls as ux
-from spinneret.operators import expand, feeds, rank, segments
+from spinneret.operators import assembly, expand, feeds, rank, segments
 from spinneret.operators import frontier as fr
 from spinneret.operators import links as lk
 from spinneret.operators import store as st
 from spinneret.operators.scratch import scratch_path
+from spinneret.operators.sketch import key_sketch
 from spinneret.plans import fixtures as fx
 from spinneret.plans import lifecycles as lc
 from spinneret.plans.fixtures import table
-from spinneret.sources import files, tables
+from spinneret.sources import buckets, files, tables
 from spinneret.streaming import streams
+from spinneret.streaming.state import SIGHTING_SCHEMA
+
+#: Of the bucketed queries; a deployment takes as many as its store has tasks.
+BUCKETS = 8
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -259,13 +263,17 @@ def redirect_fold(spark, sf_dir):
     SELECT DISTINCT url, mode FROM found
     WHERE mode = 'hub' OR url NOT IN (SELECT url FROM pages)""")
 def unseen_urls(spark, sf_dir):
-    """Links and canonical page URLs against all stored page URLs."""
+    return fr.unseen_urls(*unseen_inputs(spark, sf_dir))
+
+
+def unseen_inputs(spark, sf_dir):
+    """Links and canonical page URLs, and all stored page URLs."""
     mode = F.when(F.col("page_id") % 5 == 0, "hub").otherwise("url").alias("mode")
     found = rank.union_all(
         fx.links(spark, sf_dir).select(F.col("link").alias("url"), mode),
         fx.served_pages(spark, sf_dir).select(F.col("canonical").alias("url"), mode),
     )
-    return fr.unseen_urls(found, table(spark, sf_dir, "pages"))
+    return found, table(spark, sf_dir, "pages")
 
 
 CANDIDATES_SQL = f"""{fx.LINKS_SQL}, {fx.canonical_sql('pages', 'url', 'page_id', 'served')},
@@ -297,6 +305,21 @@ def admit_sql(mode):
     FROM fresh"""
 
 
+@query("unseen_by_sketch", ORACLES["unseen_urls"])
+def unseen_by_sketch(spark, sf_dir):
+    """The same test, with a sketch of the stored URLs in front of them."""
+    found, store = unseen_inputs(spark, sf_dir)
+    return fr.unseen_urls(found, store, key_sketch(store, "url")).select("url", "mode")
+
+
+@query("unseen_bucketed", ORACLES["unseen_urls"])
+def unseen_bucketed(spark, sf_dir):
+    """The same test against stored URLs that are kept in buckets."""
+    found, store = unseen_inputs(spark, sf_dir)
+    stored = buckets.kept(store.select("url"), scratch_path(spark, "buckets"), "url", BUCKETS)
+    return fr.unseen_urls(found, stored)
+
+
 @query("frontier_admit", admit_sql("url"))
 def frontier_admit(spark, sf_dir):
     found = candidates(spark, sf_dir).withColumn("mode", F.lit("url"))
@@ -323,12 +346,23 @@ def frontier_size(spark, sf_dir):
 @query("attempt_join", f"""WITH {fx.FETCHES_SQL}, {fx.FRONTIER_SQL}
     SELECT id, f.url, code, mode, failure FROM folded_fetches f JOIN frontier USING (url)""")
 def attempt_join(spark, sf_dir):
-    attempts = fr.redirect_fold(
+    return fr.attempt_join(folded_fetches(spark, sf_dir), fx.frontier(spark, sf_dir))
+
+
+def folded_fetches(spark, sf_dir):
+    return fr.redirect_fold(
         fx.fetches(spark, sf_dir).select(
             "id", "url", "redirected_url", F.col("status").alias("code")
         )
     )
-    return fr.attempt_join(attempts, fx.frontier(spark, sf_dir))
+
+
+@query("attempt_join_bucketed", ORACLES["attempt_join"])
+def attempt_join_bucketed(spark, sf_dir):
+    """Attempts meet a frontier kept in buckets, which is not moved."""
+    pool = fx.frontier(spark, sf_dir).select("url", "mode", "failure")
+    kept = buckets.kept(pool, scratch_path(spark, "buckets"), "url", BUCKETS)
+    return folded_fetches(spark, sf_dir).join(kept, "url").select("id", "url", "code", "mode", "failure")
 
 
 OUTCOMES = f"WITH {fx.ATTEMPTS_SQL}, {fx.outcome_sql('attempts')}"
@@ -375,7 +409,11 @@ def due_filter(spark, sf_dir):
 
 
 BATCH = 30
-WALK = f"""WITH RECURSIVE {fx.FRONTIER_SQL},
+
+
+def walk_sql(frontier):
+    """The batch picked one by one out of the rows of ``frontier``."""
+    return f"""WITH RECURSIVE {frontier},
     due AS (SELECT *, row_number() OVER (ORDER BY seq) AS i FROM frontier WHERE {DUE}),
     walk AS (
         SELECT 0::BIGINT AS i, 0 AS h, 0 AS u, []::VARCHAR[] AS hosts, NULL::BIGINT AS seq,
@@ -392,6 +430,9 @@ WALK = f"""WITH RECURSIVE {fx.FRONTIER_SQL},
     picked AS (SELECT seq, url, ishub FROM walk WHERE seq IS NOT NULL)"""
 
 
+WALK = walk_sql(fx.FRONTIER_SQL)
+
+
 def pick(spark, sf_dir, **options):
     return fr.batch_pick(
         fx.frontier(spark, sf_dir), BATCH, fx.NOW, fx.SPAN, fx.SPAN, **options
@@ -422,7 +463,8 @@ def mark_pended(spark, sf_dir):
 @query("frontier_snapshot", f"{FRONT} SELECT {FRONT_COLUMNS} FROM frontier")
 def frontier_snapshot(spark, sf_dir):
     root = scratch_path(spark, "frontier")
-    tables.save_frontier(fx.frontier(spark, sf_dir), root)
+    tables.create(spark, root, {"frontier": tables.PICKED_SCHEMA, "passes": tables.PASS_SCHEMA})
+    tables.save_frontier(fx.frontier(spark, sf_dir), root, 0)
     return tables.load_frontier(spark, root)
 
 
@@ -494,17 +536,25 @@ def page_store_upsert(spark, sf_dir):
     )
 
 
+@query("page_store_bucketed", UPSERT_SQL)
+def page_store_bucketed(spark, sf_dir):
+    """The same upsert on a store kept in buckets: its bodies stay where they are."""
+    store = buckets.kept(stored_pages(spark, sf_dir), scratch_path(spark, "buckets"), "url", BUCKETS)
+    return st.merge_all(store, incoming_pages(spark, sf_dir).select("url", "html", "page_id"), "url", ["page_id"])
+
+
 @query("page_store_merge", UPSERT_SQL)
 def page_store_merge(spark, sf_dir):
     """The same upsert, on the kept store."""
     root = scratch_path(spark, "pages")
     keep_store(stored_pages(spark, sf_dir), root)
-    tables.write_pages(incoming_pages(spark, sf_dir), root, ["page_id"])
+    tables.write_pages(incoming_pages(spark, sf_dir), root, ["page_id"], batch=1)
     return tables.read_page_store(spark, root)
 
 
 def keep_store(store, root):
-    tables.insert_kept(store, root, ["status"])
+    tables.create(store.sparkSession, root, tables.STORE_TABLES)
+    tables.insert_kept(store, root, ["status"], batch=0)
 
 
 STORED_TITLE = "status = '1' AND length(html) % 2 = 0"
@@ -518,7 +568,7 @@ def store_insert_kept(spark, sf_dir):
     stored = stored_pages(spark, sf_dir)
     keep_store(stored, root)
     new = stored.select(F.concat("url", F.lit("#new")).alias("url"), F.lit("x").alias("status"), "html")
-    tables.insert_kept(new, root, ["status"])
+    tables.insert_kept(new, root, ["status"], batch=1)
     return tables.read_page_store(spark, root)
 
 
@@ -529,8 +579,8 @@ def store_delete_kept(spark, sf_dir):
     """The first match of one query and all of another, deleted in the kept store."""
     root = scratch_path(spark, "deleted")
     keep_store(stored_pages(spark, sf_dir), root)
-    tables.delete_kept(spark, root, F.expr(STORED_TITLE))
-    tables.delete_kept(spark, root, F.expr("url LIKE '%.html'"), many=True)
+    tables.delete_kept(spark, root, F.expr(STORED_TITLE), batch=1)
+    tables.delete_kept(spark, root, F.expr("url LIKE '%.html'"), batch=2, many=True)
     return tables.read_page_store(spark, root)
 
 
@@ -540,8 +590,8 @@ def store_delete_kept(spark, sf_dir):
 def store_update_kept(spark, sf_dir):
     root = scratch_path(spark, "updated")
     keep_store(stored_pages(spark, sf_dir), root)
-    tables.update_kept(spark, root, F.expr(STORED_TITLE), {"html": F.upper("html")})
-    tables.update_kept(spark, root, F.expr("url LIKE '%.html'"), {"status": F.lit("page")}, many=True)
+    tables.update_kept(spark, root, F.expr(STORED_TITLE), {"html": F.upper("html")}, batch=1)
+    tables.update_kept(spark, root, F.expr("url LIKE '%.html'"), {"status": F.lit("page")}, batch=2, many=True)
     return tables.read_page_store(spark, root)
 
 
@@ -697,6 +747,9 @@ def item_export(spark, sf_dir):
     for kind, (name, options) in files.EXPORTS.items():
         path = scratch_path(spark, kind)
         files.item_export(items, path, kind)
+        if kind == "json":
+            back.append(files.read_json_array(spark, path, schema).select(F.lit(kind).alias("kind"), "*"))
+            continue
         reader = spark.read.schema(schema).format(name).options(**options)
         if name == "csv":
             reader = reader.option("multiLine", True)
@@ -938,14 +991,23 @@ def ordered_merge(spark, sf_dir):
     )
 
 
-@query("ordered_files", """SELECT role, string_agg(text, chr(10) ORDER BY conv_id, turn) AS body
-    FROM conversations GROUP BY 1""")
+OBJECT_PART = 4096
+
+
+@query("ordered_files", f"""WITH pieces AS (SELECT role, conv_id, turn, text || chr(10) AS piece FROM conversations),
+    placed AS (SELECT *, coalesce(sum(strlen(piece)) OVER (PARTITION BY role ORDER BY conv_id, turn
+        ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS starts FROM pieces)
+    SELECT role, (starts // {OBJECT_PART})::BIGINT AS part, min(starts)::BIGINT AS "offset",
+        sum(strlen(piece))::BIGINT AS length, count(*) AS segments,
+        md5(string_agg(piece, '' ORDER BY starts)) AS digest FROM placed GROUP BY 1, 2""")
 def ordered_files(spark, sf_dir):
-    """All that each role said, assembled into one file per role, and the files read back."""
+    """All that each role said as one long object, in parts written, checked and read back."""
     path = scratch_path(spark, "objects")
     turns = table(spark, sf_dir, "conversations")
-    segments.write_objects(turns, ["role"], ["conv_id", "turn"], "text", path)
-    return segments.read_objects(spark, path, "role string")
+    parts = assembly.object_parts(turns, ["role"], ["conv_id", "turn"], "text", "\n", OBJECT_PART)
+    assembly.write_object_parts(parts, ["role"], path)
+    bodies = assembly.checked_parts(spark, path, ["role"]).select("role", "part", F.md5("body").alias("digest"))
+    return assembly.read_manifest(spark, path).drop("crc").join(bodies, ["role", "part"])
 
 
 @query("prefix_list", f"""SELECT page_id, 'https://m.example.com' || href AS link FROM (SELECT
@@ -1015,6 +1077,44 @@ def decode_body(spark, sf_dir):
     )
 
 
+@query("decode_gbk", "SELECT doc_id, text AS body FROM documents WHERE text IS NOT NULL")
+def decode_gbk(spark, sf_dir):
+    """Texts as GB 18030 bytes, with bytes of no meaning at both ends, under default settings."""
+    text = F.col("text")
+    # Letters beyond ASCII get the four-byte form of their code point.
+    character = lambda c: F.when(F.octet_length(c) == 1, F.hex(c)).otherwise(gb18030_hex(c))
+    digits = F.array_join(F.transform(F.split(text, ""), character), "")
+    broken = F.unhex(F.concat(F.lit("FF"), digits, F.lit("81")))
+    return table(spark, sf_dir, "documents").where(text.isNotNull()).select(
+        "doc_id", tx.decode_body(broken, F.lit("gb18030")).alias("body")
+    )
+
+
+def gb18030_hex(character):
+    """Two or four bytes, by the codec, of the letters that the test texts use."""
+    letters = [chr(c) for c in (*range(0x80, 0x250), *range(0x2010, 0x2070), 0x20AC, 0xFFFD)]
+    return F.element_at(
+        F.split(F.lit(" ".join(c.encode("gb18030").hex().upper() for c in letters)), " "),
+        F.instr(F.lit("".join(letters)), character),
+    )
+
+
+@query("read_items_csv_quoted", """SELECT c_name AS name, c_comment_like AS title, NULL::VARCHAR AS "complaintObject",
+    c_mktsegment AS description, c_name AS "responseObject", 'x' AS response, NULL::VARCHAR AS overflow,
+    false AS shifted FROM (SELECT *, 'say ""' || c_name || chr(10) || chr(10) || ', "' || c_mktsegment AS c_comment_like
+        FROM customer)""")
+def read_items_csv_quoted(spark, sf_dir):
+    """Quoted fields with line breaks, commas and quotes, read by several tasks a file."""
+    path = scratch_path(spark, "quoted")
+    title = F.concat(F.lit('say ""'), "c_name", F.lit('\n\n, "'), "c_mktsegment")
+    items = table(spark, sf_dir, "customer").select(
+        F.col("c_name").alias("name"), title.alias("title"), F.lit(None).cast("string").alias("complaintObject"),
+        F.col("c_mktsegment").alias("description"), F.col("c_name").alias("responseObject"), F.lit("x").alias("response"),
+    )
+    files.write_items_csv(items.coalesce(1), path)
+    return files.read_items_csv(spark, path, multi_line=True)
+
+
 RATE_SQL = """SELECT time_bucket(INTERVAL 1 HOUR, ts) AS window_start, count(*) AS tasks,
     ((count(*) * 200 + 3600) // 7200) / 100.0 AS per_second FROM events GROUP BY 1"""
 
@@ -1036,7 +1136,7 @@ def crawl_rate(spark, sf_dir):
     FROM urls u LEFT JOIN kept k ON k.url = u.url LEFT JOIN gone e ON e.url = u.url
     LEFT JOIN seen s ON s.url = u.url""")
 def crawl_pass_store(spark, sf_dir):
-    return one_pass(spark, sf_dir)[1]
+    return one_pass(spark, sf_dir).store(fx.seen_store(spark, sf_dir))
 
 
 @query("crawl_pass_frontier", f"""WITH {PASS_OUTCOMES}, {fx.SEEN_SQL}, {fx.HUBS_SQL},
@@ -1063,7 +1163,7 @@ def crawl_pass_store(spark, sf_dir):
         {fx.netloc_sql('url')}, url, 'waiting', 'url', 0.0::DOUBLE, 0::INTEGER
     FROM fresh WHERE url NOT IN (SELECT url FROM pool)""")
 def crawl_pass_frontier(spark, sf_dir):
-    return one_pass(spark, sf_dir)[0]
+    return one_pass(spark, sf_dir).frontier()
 
 
 def one_pass(spark, sf_dir):
@@ -1094,11 +1194,20 @@ def attempt_stream(spark, sf_dir):
     )
 
 
+def tried_urls(spark, sf_dir):
+    """The frontier of the attempts: every URL once, without a failure so far."""
+    return fx.attempts(spark, sf_dir).groupBy("url").agg(
+        F.first("mode").alias("mode"), F.first("failure").alias("failure")
+    )
+
+
 @query("stream_outcome", f"{OUTCOMES} SELECT url, state, failure FROM outcomes")
 def stream_outcome(spark, sf_dir):
     root = scratch_path(spark, "outcomes")
     attempts = attempt_stream(spark, sf_dir)
-    streams.drain(streams.outcome_stream(attempts, root, f"{root}-checkpoint", fx.THRESHOLD))
+    streams.drain(streams.outcome_stream(
+        attempts, tried_urls(spark, sf_dir), root, f"{root}-checkpoint", fx.THRESHOLD
+    ))
     return streams.latest_outcomes(spark, root).select("url", "state", "failure")
 
 
@@ -1106,9 +1215,10 @@ def stream_outcome(spark, sf_dir):
     AS status, NULL::VARCHAR AS html FROM outcomes WHERE state <> 'waiting'""")
 def stream_status(spark, sf_dir):
     root = scratch_path(spark, "status")
+    tables.create(spark, f"{root}/store", tables.STORE_TABLES)
     streams.drain(streams.outcome_stream(
-        attempt_stream(spark, sf_dir), f"{root}/outcomes", f"{root}/checkpoint", fx.THRESHOLD,
-        store=f"{root}/store",
+        attempt_stream(spark, sf_dir), tried_urls(spark, sf_dir), f"{root}/outcomes",
+        f"{root}/checkpoint", fx.THRESHOLD, store=f"{root}/store",
     ))
     return tables.read_page_store(spark, f"{root}/store")
 
@@ -1116,25 +1226,27 @@ def stream_status(spark, sf_dir):
 @query("stream_dedupe", """SELECT user_id::VARCHAR AS url, min(ts) AS ts FROM events GROUP BY 1""")
 def stream_dedupe(spark, sf_dir):
     root = scratch_path(spark, "dedupe")
+    tables.create(spark, root, {"seen": SIGHTING_SCHEMA, "sketch": tables.SKETCH_SCHEMA})
     urls = stream(spark, sf_dir, "events").select(F.col("user_id").cast("string").alias("url"), "ts")
     streams.drain(streams.dedupe_stream(urls, "ts", root, f"{root}-checkpoint"))
-    seen = tables.read_log(spark, root, "seen", streams.SEEN_SCHEMA)
+    seen = tables.read_table(spark, root, "seen", SIGHTING_SCHEMA)
     return seen.select("url", F.col("ts").cast("timestamp_ntz").alias("ts"))
 
 
-def crawl_pages_stream(spark, sf_dir):
+def crawl_pages_stream(spark, sf_dir, pick=False):
     """A store and a frontier kept from before, and one pass over a stream of pages."""
     root = scratch_path(spark, "crawl")
+    tables.create(spark, root, tables.CRAWL_TABLES)
     before = fx.seen_store(spark, sf_dir)
-    tables.commit(spark, root, {
-        "frontier": fx.tried_frontier(spark, sf_dir),
-        "pages": before.select("url", "html"), "status": before.select("url", "status"),
-    })
+    tables.append(before.select("url", "html"), root, "pages", tables.FIRST)
+    tables.append(before.select("url", "status"), root, "status", tables.FIRST)
+    tables.write_sketch(before, root, tables.FIRST)
+    tables.save_frontier(fx.tried_frontier(spark, sf_dir), root, tables.FIRST)
     pages = fx.fetches_of(
         stream(spark, sf_dir, "pages").withColumn("canonical", ux.canonical_url(F.col("url")))
     )
     streams.drain(streams.crawl_stream(
-        pages, root, fx.hosts(spark, sf_dir), lc.CrawlSettings(now=fx.NOW), f"{root}-checkpoint"
+        pages, root, fx.hosts(spark, sf_dir), lc.CrawlSettings(now=fx.NOW), f"{root}-checkpoint", pick
     ))
     return root
 
@@ -1149,6 +1261,13 @@ def stream_crawl_store(spark, sf_dir):
     return tables.read_page_store(spark, crawl_pages_stream(spark, sf_dir))
 
 
+@query("stream_next_batch", walk_sql(f"frontier AS ({ORACLES['crawl_pass_frontier']})")
+    + " SELECT seq, url, ishub FROM picked")
+def stream_next_batch(spark, sf_dir):
+    """What the pass picks from the frontier that it leaves."""
+    return tables.load_next_batch(spark, crawl_pages_stream(spark, sf_dir, pick=True))
+
+
 @query("stream_rate", RATE_SQL)
 def stream_rate(spark, sf_dir):
     """Update mode, so that the last, still open window is kept as well."""
@@ -1174,11 +1293,8 @@ def stream_upsert(spark, sf_dir):
     pages = stream(spark, sf_dir, "pages").select(
         ux.canonical_url(F.col("url")).alias("url"), "html", "page_id"
     )
-    streams.drain(
-        streams.upsert_stream(
-            pages, f"{root}/store", ["page_id"], f"{root}/checkpoint", uuid.uuid4().hex
-        )
-    )
+    tables.create(spark, f"{root}/store", tables.STORE_TABLES)
+    streams.drain(streams.upsert_stream(pages, f"{root}/store", ["page_id"], f"{root}/checkpoint"))
     return tables.read_page_store(spark, f"{root}/store")
 
 

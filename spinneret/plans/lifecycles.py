@@ -25,51 +25,73 @@ class CrawlSettings:
     hub_percent: int = 50
 
 
-def pass_changes(
+@dataclass(frozen=True)
+class CrawlPass:
+    """What one pass changes; each table is only made where it is asked for."""
+
+    before: DataFrame
+    known: DataFrame
+    fetches: DataFrame
+    hosts: DataFrame
+    settings: CrawlSettings
+    sketch: DataFrame | None
+    #: ``url, mode, state, failure`` of the URLs tried, settled: several tables read it.
+    outcomes: DataFrame
+
+    def ended(self) -> DataFrame:
+        """``url, status`` of the URLs that left."""
+        return self.outcomes.where(F.col("state") != fr.WAITING).select(
+            "url", F.when(F.col("state") == fr.SUCCESS, "1").otherwise("0").alias("status")
+        )
+
+    def bodies(self) -> DataFrame:
+        """``url, html`` of the pages, each URL once."""
+        pages = ok_fetches(self.fetches)[1].where(F.col("redirected_url").isNotNull())
+        return last_per_key(
+            pages.select(F.col("redirected_url").alias("url"), F.col("body").alias("html"), "ts", "id"),
+            ["url"], ["ts", "id"],
+        ).select("url", "html")
+
+    def frontier(self) -> DataFrame:
+        """The frontier after the pass: attempts settle it, links of the hubs feed it.
+
+        With a sketch of the known URLs only links that it may hold are looked up there.
+        """
+        hubs, pages = ok_fetches(self.fetches)
+        links = on_site_links(page_links(hubs, ["id"], "redirected_url", "body"), self.hosts)
+        found = links.groupBy(F.col("link").alias("url")).agg(F.min("id").alias("rank"))
+        candidates = found.withColumn("mode", F.lit("url"))
+        kept = pages.select(F.col("redirected_url").alias("url"))
+        turned = rank.union_all(self.ended().select("url"), kept)
+        if self.sketch is None:
+            fresh = fr.unseen_urls(candidates, turned.unionByName(self.known.select("url")))
+        else:
+            fresh = fr.unseen_urls(fr.unseen_urls(candidates, turned), self.known, self.sketch)
+        return fr.frontier_admit(
+            fr.apply_outcomes(self.before, self.outcomes), fresh, self.settings.now, self.settings.pend_span
+        )
+
+    def store(self, store: DataFrame) -> DataFrame:
+        """``store`` with the status of the URLs that left and the pages."""
+        turn = F.lit(0).alias("turn")
+        with_status = upsert_status(store, self.ended().select("*", turn), ["turn"])
+        return upsert_pages(with_status, self.bodies().select("*", turn), ["turn"])
+
+
+def crawl_pass(
     frontier: DataFrame, known: DataFrame, fetches: DataFrame, hosts: DataFrame,
-    settings: CrawlSettings,
-) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """One pass as what it changes: attempts settle the frontier, hubs feed it, pages are kept.
-
-    ``fetches`` holds ``id, url, status, body, redirected_url, ts, ishub``; ``known`` the
-    URLs of the store. Gives the frontier after the pass, ``url, status`` of the URLs that
-    left, and ``url, html`` of the pages, each URL once. The outcomes, which several steps
-    read, are settled, so no step repeats another's work.
+    settings: CrawlSettings, sketch: DataFrame | None = None,
+) -> CrawlPass:
+    """One pass over ``fetches (id, url, status, body, redirected_url, ts, ishub)``.
+
+    ``known`` has the URLs of the store. ``next_batch`` on the frontier after the pass
+    gives the next batch.
     """
     attempts = fr.redirect_fold(
         fetches.select("url", "redirected_url", F.col("status").alias("code"), "ts", "id")
     )
     outcomes = settle(fr.frontier_outcomes(attempts, frontier, settings.failure_threshold))
-    ended = outcomes.where(F.col("state") != fr.WAITING).select(
-        "url", F.when(F.col("state") == fr.SUCCESS, "1").otherwise("0").alias("status")
-    )
-    hubs, pages = ok_fetches(fetches)
-    bodies = last_per_key(
-        pages.where(F.col("redirected_url").isNotNull()).select(
-            F.col("redirected_url").alias("url"), F.col("body").alias("html"), "ts", "id"
-        ),
-        ["url"], ["ts", "id"],
-    ).select("url", "html")
-
-    links = on_site_links(page_links(hubs, ["id"], "redirected_url", "body"), hosts)
-    found = links.groupBy(F.col("link").alias("url")).agg(F.min("id").alias("rank"))
-    seen = rank.union_all(known.select("url"), ended.select("url"), bodies.select("url"))
-    fresh = fr.unseen_urls(found.withColumn("mode", F.lit("url")), seen)
-    after = fr.frontier_admit(
-        fr.apply_outcomes(frontier, outcomes), fresh, settings.now, settings.pend_span
-    )
-    return after, ended, bodies
-
-
-def crawl_pass(
-    frontier: DataFrame, store: DataFrame, fetches: DataFrame, hosts: DataFrame,
-    settings: CrawlSettings,
-) -> tuple[DataFrame, DataFrame]:
-    """The frontier and the store after a pass; ``next_batch`` on the frontier gives the next batch."""
-    after, ended, bodies = pass_changes(frontier, store.select("url"), fetches, hosts, settings)
-    turn = F.lit(0).alias("turn")
-    with_status = upsert_status(store, ended.select("*", turn), ["turn"])
-    return after, upsert_pages(with_status, bodies.select("*", turn), ["turn"])
+    return CrawlPass(frontier, known.select("url"), fetches, hosts, settings, sketch, outcomes)
 
 
 def next_batch(frontier: DataFrame, settings: CrawlSettings) -> DataFrame:

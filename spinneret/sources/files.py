@@ -1,9 +1,11 @@
 """Item files: CSV in and out, export formats, binary assets."""
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from spinneret.operators.feeds import ITEM_FIELDS
+from spinneret.operators.ordering import number_rows
+from spinneret.operators.scratch import settle
 
 ITEM_CSV_SCHEMA = ", ".join(f"`{f}` string" for f in (*ITEM_FIELDS, "overflow"))
 
@@ -26,12 +28,57 @@ def read_items_csv(spark: SparkSession, path: str, multi_line: bool = False) ->
     """Item CSV with a possible byte-order mark and CRLF line ends.
 
     ``shifted`` marks rows that a comma in the text moved into a 7th column.
-    ``multi_line`` accepts quoted line breaks; such files cannot be split.
+    ``multi_line`` accepts quoted line breaks, see ``csv_records``.
     """
-    rows = spark.read.schema(ITEM_CSV_SCHEMA).csv(path, escape='"', multiLine=multi_line)
+    if multi_line:
+        record = F.from_csv("record", ITEM_CSV_SCHEMA, {"escape": '"'})
+        rows = csv_records(spark, path).select(record.alias("row")).select("row.*")
+    else:
+        rows = spark.read.schema(ITEM_CSV_SCHEMA).csv(path, escape='"')
     return rows.withColumn("shifted", F.col("overflow").isNotNull())
 
 
+def csv_records(spark: SparkSession, path: str) -> DataFrame:
+    """``record``: the records of CSV files, quoted line breaks included, in many tasks a file.
+
+    A line begins a record when the quotes before it in the file are even in number.
+    Files are read in blocks as lines; the parity of each block, one row, is
+    summed along its file and tells how the next one begins. Lines that begin and
+    end a record are passed on; the others are joined by the record they belong to.
+    Empty lines between records are left out, as Spark's reader does.
+    """
+    # Only the parity and place of lines is settled with them; a block's lines stay in order.
+    raw = spark.read.text(path, lineSep="\n").select(
+        F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("place"), "value",
+    )
+    quotes = F.length("value") - F.length(F.replace("value", F.lit('"'), F.lit("")))
+    lines = settle(raw.withColumn("odd", quotes.bitwiseAND(1).cast("bigint")))
+    blocks = lines.groupBy("file", "block").agg(F.sum("odd").alias("odd"))
+    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    opened = blocks.select("file", "block", F.coalesce(F.sum("odd").over(earlier), F.lit(0)).alias("before"))
+    before = Window.partitionBy("file", "block").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
+    inside = F.col("before") + F.coalesce(F.sum("odd").over(before), F.lit(0))
+    placed = lines.join(opened, ["file", "block"]).withColumn("begins", inside.bitwiseAND(1) == 0)
+    text = F.regexp_replace("value", "\r$", "")
+    whole = placed.where(F.col("begins") & (F.col("odd") == 0))
+
+    # Of records over several lines: the line that begins one, in this block or an earlier one.
+    parts = placed.where(~(F.col("begins") & (F.col("odd") == 0)))
+    start = F.when(F.col("begins"), F.col("place"))
+    last = parts.groupBy("file", "block").agg(F.max(start).alias("last"))
+    carried = last.select(
+        "file", "block", F.last("last", ignorenulls=True).over(earlier).alias("carried")
+    )
+    up_to = Window.partitionBy("file", "block").orderBy("place")
+    found = parts.withColumn("_own", F.last(start, ignorenulls=True).over(up_to)).join(carried, ["file", "block"])
+    joined = found.groupBy("file", F.coalesce("_own", "carried").alias("record_at")).agg(
+        F.array_sort(F.collect_list(F.struct("block", "place", "value"))).alias("lines")
+    )
+    record = F.regexp_replace(F.array_join(F.transform("lines", lambda x: x["value"]), "\n"), "\r$", "")
+    return whole.where(text != "").select(text.alias("record")).unionByName(joined.select(record.alias("record")))
+
+
 def write_rank_csv(df: DataFrame, path: str) -> None:
     """Header, no index; nested columns are written as JSON text."""
     nested = ("array", "map", "struct")
@@ -43,23 +90,57 @@ def write_rank_csv(df: DataFrame, path: str) -> None:
 
 
 EXPORTS = {
-    "json": ("json", {}),
+    "json": ("text", {}),
     "jsonlines": ("json", {}),
     "csv": ("csv", {"header": "true", "escape": '"'}),
     "xml": ("xml", {"rowTag": "item", "rootTag": "items"}),
 }
 
 
-def item_export(df: DataFrame, path: str, kind: str) -> None:
+def item_export(df: DataFrame, path: str, kind: str, order: list[str] | None = None) -> None:
     """Write items as json, jsonlines, csv or xml.
 
-    Both JSON kinds hold one object per line: a single array would need one
-    writer for the whole table.
+    ``json`` is one array over all parts, see ``write_json_array``; ``jsonlines`` holds
+    an object per line.
     """
+    if kind == "json":
+        write_json_array(df, path, order)
+        return
     name, options = EXPORTS[kind]
     df.write.mode("overwrite").format(name).options(**options).save(path)
 
 
+def write_json_array(df: DataFrame, path: str, order: list[str] | None = None) -> None:
+    """One JSON array of the rows, in ``order`` (all columns by default), over many parts.
+
+    The parts put end to end by their names are the array: its brackets stand in the
+    first and the last line only, and every other line begins with a comma. Rows are
+    numbered by a range sort and written along their numbers, so no task holds them all.
+    """
+    spark = df.sparkSession
+    line = F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}).alias("_json")
+    by = order or df.columns
+    numbered = number_rows(df.select(*[F.col(c).alias(f"_o{i}") for i, c in enumerate(by)], line),
+                           [*[F.col(f"_o{i}") for i in range(len(by))], F.col("_json")], "_n")
+    last = numbered.agg(F.max("_n")).first()[0]
+    if last is None:
+        spark.range(1).select(F.lit("[]").alias("value")).write.mode("overwrite").text(path)
+        return
+    value = F.concat(
+        F.when(F.col("_n") == 0, "[").otherwise(","), "_json", F.when(F.col("_n") == last, "]").otherwise("")
+    )
+    numbered.repartitionByRange("_n").sortWithinPartitions("_n").select(value.alias("value")).write.mode(
+        "overwrite"
+    ).text(path)
+
+
+def read_json_array(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The rows of ``write_json_array``; each line is read by itself, so files are split."""
+    line = F.regexp_replace("value", r"^[\[,]|\]$", "")
+    rows = spark.read.text(path).select(line.alias("line")).where(F.col("line") != "")
+    return rows.select(F.from_json("line", schema).alias("row")).select("row.*")
+
+
 def read_assets(spark: SparkSession, path: str, pattern: str = "*") -> DataFrame:
     """Bytes of every file below ``path``, named by its last path segment."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(path)

@@ -1,19 +1,15 @@
-"""Kept tables: a folder of appended Parquet batches, newest row per key wins.
+"""Kept tables: Parquet folders to which each batch adds a partition; the newest row per key wins.
 
-A commit appends what changed to one or more tables of a folder and then puts a
-mark of its own there; readers see marked commits only, and all tables of a commit
-at once. Nothing is rewritten by a commit. ``fold_store`` writes the current rows as
-one commit from which reading then starts, and ``drop_folded`` removes what lies
-before it. One writer at a time.
+Batch ``n`` of a table lies in ``<root>/<table>/batch=n``. Writing it again replaces
+it and nothing else, so a replayed batch changes nothing. What is folded into batch
+``n`` is read with ``before=n``. There is one writer, who numbers the batches; commits
+over several tables, concurrent writers and older versions are the work of a table
+format, which a deployment configures.
 
 The page store has three tables, so that a status never touches a page body:
 ``pages (url, html)``, ``status (url, status)`` and ``gone (url)``.
 """
 
-from collections.abc import Callable
-from typing import NamedTuple
-from urllib.parse import quote, unquote
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -21,108 +17,65 @@ from spinneret.operators.frontier import FRONTIER_SCHEMA
 from spinneret.operators.joins import fits_broadcast, lookup_join
 from spinneret.operators.ordering import last_per_key
 from spinneret.operators.scratch import settle
-from spinneret.operators.store import STORE_SCHEMA
+from spinneret.operators.sketch import key_sketch, merged_sketch
 
 PAGE_SCHEMA, STATUS_SCHEMA, GONE_SCHEMA = "url string, html string", "url string, status string", "url string"
-MARKS = "_marks"
+STORE_TABLES = {"pages": PAGE_SCHEMA, "status": STATUS_SCHEMA, "gone": GONE_SCHEMA}
+PICKED_SCHEMA = f"{FRONTIER_SCHEMA}, ishub int"
+SKETCH_SCHEMA, PASS_SCHEMA = "page bigint, bits binary", "pass bigint"
+CRAWL_TABLES = {**STORE_TABLES, "frontier": PICKED_SCHEMA, "sketch": SKETCH_SCHEMA, "passes": PASS_SCHEMA}
+#: The number of the empty batch that a new table starts with.
+FIRST = -1
 
 
-class Commit(NamedTuple):
-    number: int
-    fold: bool
-    writer: str
-    batch: int
-    tables: frozenset[str]
+def append(frame: DataFrame, root: str, table: str, batch: int) -> None:
+    """Write ``frame`` as batch ``batch``; it may read older batches of the table."""
+    frame.write.mode("overwrite").parquet(f"{root}/{table}/batch={batch}", compression="zstd")
 
 
-def _path(spark: SparkSession, path: str):
-    made = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return made, made.getFileSystem(spark._jsc.hadoopConfiguration())
+def create(spark: SparkSession, root: str, tables: dict[str, str]) -> None:
+    """Start tables, named with their schemas, that hold nothing yet."""
+    for table, schema in tables.items():
+        append(spark.createDataFrame([], schema), root, table, FIRST)
 
 
-def _names(spark: SparkSession, path: str) -> list[str]:
-    where, files = _path(spark, path)
-    return [e.getPath().getName() for e in files.listStatus(where)] if files.exists(where) else []
+def read_table(
+    spark: SparkSession, root: str, table: str, schema: str, before: int | None = None, since: int | None = None
+) -> DataFrame:
+    """All rows with their ``batch``; batches outside the bounds are pruned by their folders."""
+    rows = spark.read.schema(f"{schema}, batch bigint").parquet(f"{root}/{table}")
+    if before is not None:
+        rows = rows.where(F.col("batch") < before)
+    return rows if since is None else rows.where(F.col("batch") >= since)
 
 
-def commits(spark: SparkSession, root: str) -> list[Commit]:
-    """The finished commits of a folder, oldest first; one listing of its marks.
+# Frontier
 
-    A folder with data and without any mark is an error rather than empty.
-    """
-    found = []
-    for name in _names(spark, f"{root}/{MARKS}"):
-        if not name.startswith("."):
-            number, fold, writer, batch, tables = name.split(",")
-            found.append(
-                Commit(int(number), fold == "fold", unquote(writer), int(batch), frozenset(tables.split("+")))
-            )
-    if not found and any(not n.startswith(".") for n in _names(spark, root)):
-        raise ValueError(f"{root} holds data, but no commit of it was finished")
-    return sorted(found)
-
-
-def commit(
-    spark: SparkSession, root: str, frames: dict[str, DataFrame], writer: str = "", batch: int = -1,
-    fold: bool = False,
-) -> int | None:
-    """Append ``frames`` to the tables they are named by, as one commit.
-
-    Each frame is evaluated once, by its write. A ``writer``'s batch that is not
-    newer than its last one is left out (None), so a replay changes nothing.
+def save_frontier(frontier: DataFrame, root: str, batch: int) -> None:
+    """Keep the whole frontier, and who is picked from it, as one batch.
+
+    ``frontier`` may have ``ishub``, set for the rows of the next batch of URLs. One
+    write holds both. The row of ``passes`` written after it makes it the newest one.
     """
-    done = commits(spark, root) if _names(spark, f"{root}/{MARKS}") else []
-    if writer and any(c.writer == writer and c.batch >= batch for c in done):
-        return None
-    number = done[-1].number + 1 if done else 0
-    for table, frame in frames.items():
-        frame.write.mode("overwrite").parquet(f"{root}/{table}/commit={number}", compression="zstd")
-    tables = "+".join(sorted(frames))
-    mark = f"{number:012d},{'fold' if fold else 'add'},{quote(writer, safe='')},{batch},{tables}"
-    where, files = _path(spark, f"{root}/{MARKS}/{mark}")
-    files.create(where).close()
-    return number
-
-
-def read_log(spark: SparkSession, root: str, table: str, schema: str, newest: bool = False) -> DataFrame:
-    """Rows of a table with their ``commit``, from the last fold on; or of its ``newest`` commit."""
-    done = commits(spark, root)
-    folded = max((c.number for c in done if c.fold), default=0)
-    held = [c.number for c in done if c.number >= folded and table in c.tables]
-    held = held[-1:] if newest else held
-    whole = f"{schema}, commit bigint"
-    if not held:
-        return spark.createDataFrame([], whole)
-    paths = [f"{root}/{table}/commit={n}" for n in held]
-    return spark.read.schema(whole).option("basePath", f"{root}/{table}").parquet(*paths)
-
-
-def drop_folded(spark: SparkSession, root: str) -> int:
-    """Remove the commits before the last fold; gives their number."""
-    done = commits(spark, root)
-    folded = max((c.number for c in done if c.fold), default=0)
-    old = [c for c in done if c.number < folded]
-    for c in old:
-        for name in _names(spark, f"{root}/{MARKS}"):
-            if name.startswith(f"{c.number:012d},"):
-                where, files = _path(spark, f"{root}/{MARKS}/{name}")
-                files.delete(where, False)
-        for table in c.tables:
-            where, files = _path(spark, f"{root}/{table}/commit={c.number}")
-            files.delete(where, True)
-    return len(old)
-
-
-# Frontier snapshots
-
-def save_frontier(frontier: DataFrame, root: str) -> int:
-    """Keep the whole frontier as a new commit. ``frontier`` may read an older one."""
-    return commit(frontier.sparkSession, root, {"frontier": frontier})
-
-
-def load_frontier(spark: SparkSession, root: str) -> DataFrame:
-    """The newest kept frontier; an empty one when there is none."""
-    return read_log(spark, root, "frontier", FRONTIER_SCHEMA, newest=True).drop("commit")
+    picked = frontier if "ishub" in frontier.columns else frontier.withColumn("ishub", F.lit(None).cast("int"))
+    append(picked, root, "frontier", batch)
+    append(frontier.sparkSession.range(1).select(F.lit(batch).cast("bigint").alias("pass")), root, "passes", batch)
+
+
+def _newest(spark: SparkSession, root: str, before: int | None) -> DataFrame:
+    last = read_table(spark, root, "passes", PASS_SCHEMA, before).agg(F.max("batch")).first()[0]
+    rows = read_table(spark, root, "frontier", PICKED_SCHEMA)
+    return rows.where(F.col("batch") == (FIRST if last is None else last)).drop("batch")
+
+
+def load_frontier(spark: SparkSession, root: str, before: int | None = None) -> DataFrame:
+    """The newest finished frontier; an empty one when there is none."""
+    return _newest(spark, root, before).drop("ishub")
+
+
+def load_next_batch(spark: SparkSession, root: str, before: int | None = None) -> DataFrame:
+    """``seq, url, ishub``: what the newest finished pass picked."""
+    return _newest(spark, root, before).where(F.col("ishub").isNotNull()).select("seq", "url", "ishub")
 
 
 # Page store
@@ -132,77 +85,78 @@ def _last(rows: DataFrame, value: str, order: list[str]) -> DataFrame:
     return last_per_key(known, ["url"], order).select("url", value)
 
 
-def write_pages(pages: DataFrame, root: str, order: list[str], writer: str = "", batch: int = -1) -> int | None:
+def write_pages(pages: DataFrame, root: str, order: list[str], batch: int) -> None:
     """Replace or add ``html`` by URL; the last row by ``order`` wins, the status stays."""
-    return commit(pages.sparkSession, root, {"pages": _last(pages, "html", order)}, writer, batch)
+    append(_last(pages, "html", order), root, "pages", batch)
 
 
-def write_status(outcomes: DataFrame, root: str, order: list[str], writer: str = "", batch: int = -1) -> int | None:
+def write_status(outcomes: DataFrame, root: str, order: list[str], batch: int) -> None:
     """Replace or add ``status`` by URL; no page body is read or written."""
-    return commit(outcomes.sparkSession, root, {"status": _last(outcomes, "status", order)}, writer, batch)
+    append(_last(outcomes, "status", order), root, "status", batch)
 
 
-def insert_kept(documents: DataFrame, root: str, order: list[str], writer: str = "", batch: int = -1) -> int | None:
+def insert_kept(documents: DataFrame, root: str, order: list[str], batch: int) -> None:
     """Append whole documents ``url, status, html``."""
     last = settle(
         last_per_key(documents.where(F.col("url").isNotNull()), ["url"], order)
         .select("url", "status", "html")
     )
-    frames = {"pages": last.select("url", "html"), "status": last.select("url", "status")}
-    return commit(documents.sparkSession, root, frames, writer, batch)
+    append(last.select("url", "html"), root, "pages", batch)
+    append(last.select("url", "status"), root, "status", batch)
 
 
-def _matching(spark: SparkSession, root: str, predicate: Column, many: bool) -> DataFrame:
+def _matching(spark: SparkSession, root: str, predicate: Column, many: bool, batch: int) -> DataFrame:
     """Stored rows to change: all matches, or the one with the smallest URL."""
-    found = read_page_store(spark, root).where(predicate)
+    found = read_page_store(spark, root, batch).where(predicate)
     return found if many else found.orderBy("url").limit(1)
 
 
-def delete_kept(spark: SparkSession, root: str, predicate: Column, many: bool = False) -> int | None:
+def delete_kept(spark: SparkSession, root: str, predicate: Column, batch: int, many: bool = False) -> None:
     """Delete matching documents of the kept store: their URLs are noted as gone."""
-    return commit(spark, root, {"gone": _matching(spark, root, predicate, many).select("url")})
+    append(_matching(spark, root, predicate, many, batch).select("url"), root, "gone", batch)
 
 
 def update_kept(
-    spark: SparkSession, root: str, predicate: Column, values: dict[str, Column], many: bool = False
-) -> int | None:
+    spark: SparkSession, root: str, predicate: Column, values: dict[str, Column], batch: int, many: bool = False
+) -> None:
     """Set ``status`` or ``html`` of matching documents; only these columns are written."""
     unknown = set(values) - {"status", "html"}
     if unknown:
         raise ValueError(f"not a column of the store that can be set: {sorted(unknown)}")
     changed = settle(
-        _matching(spark, root, predicate, many).select("url", *[v.alias(n) for n, v in values.items()])
+        _matching(spark, root, predicate, many, batch).select("url", *[v.alias(n) for n, v in values.items()])
     )
-    tables = {"status": "status", "html": "pages"}
-    return commit(spark, root, {tables[n]: changed.select("url", n) for n in values})
+    for name in values:
+        append(changed.select("url", name), root, {"status": "status", "html": "pages"}[name], batch)
 
 
 def _stale(rows: DataFrame, gone: DataFrame) -> DataFrame:
-    """``url, commit`` of rows that a newer row or a deletion has replaced; narrow columns only."""
-    places = rows.select("url", "commit")
-    newest = places.groupBy("url").agg(F.max("commit").alias("newest"))
+    """``url, batch`` of rows that a newer row or a deletion has replaced; narrow columns only."""
+    places = rows.select("url", "batch")
+    newest = places.groupBy("url").agg(F.max("batch").alias("newest"))
     kept = newest.join(gone, "url", "left")
-    old = (F.col("commit") < F.col("newest")) | (F.col("newest") <= F.col("deleted"))
-    return places.join(kept, "url").where(old).select("url", "commit")
+    old = (F.col("batch") < F.col("newest")) | (F.col("newest") <= F.col("deleted"))
+    return places.join(kept, "url").where(old).select("url", "batch")
 
 
-def read_page_store(spark: SparkSession, root: str) -> DataFrame:
-    """``url, status, html`` of the store as it is now.
+def read_page_store(spark: SparkSession, root: str, before: int | None = None) -> DataFrame:
+    """``url, status, html`` of the store as it is now, or was before a batch.
 
-    Which rows count is decided on URLs and commit numbers. Bodies then leave out the
+    Which rows count is decided on URLs and batch numbers. Bodies then leave out the
     replaced ones by an anti join and meet their status in a lookup; both sides are
     broadcast where they are counted to be small, so that bodies are not shuffled.
     """
-    pages = read_log(spark, root, "pages", PAGE_SCHEMA)
-    status = read_log(spark, root, "status", STATUS_SCHEMA)
-    gone = read_log(spark, root, "gone", GONE_SCHEMA).groupBy("url").agg(F.max("commit").alias("deleted"))
+    pages, status, deleted = (
+        read_table(spark, root, table, schema, before) for table, schema in STORE_TABLES.items()
+    )
+    gone = deleted.groupBy("url").agg(F.max("batch").alias("deleted"))
     stale = _stale(pages, gone)
     stale = F.broadcast(stale) if fits_broadcast(stale) else stale
-    bodies = pages.join(stale, ["url", "commit"], "left_anti").select("url", "html")
+    bodies = pages.join(stale, ["url", "batch"], "left_anti").select("url", "html")
     last = (
-        status.groupBy("url").agg(F.max(F.struct("commit", "status")).alias("last"))
+        status.groupBy("url").agg(F.max(F.struct("batch", "status")).alias("last"))
         .join(gone, "url", "left")
-        .where(F.col("deleted").isNull() | (F.col("last.commit") > F.col("deleted")))
+        .where(F.col("deleted").isNull() | (F.col("last.batch") > F.col("deleted")))
         .select("url", "last.status")
     )
     with_body = lookup_join(bodies, last, "url", "left").select("url", "status", "html")
@@ -212,28 +166,32 @@ def read_page_store(spark: SparkSession, root: str) -> DataFrame:
     return with_body.unionByName(without)
 
 
-def stored_urls(spark: SparkSession, root: str) -> DataFrame:
+def compact_store(spark: SparkSession, root: str, into: str) -> None:
+    """Write the current rows as the first batch of a store in another folder."""
+    now = settle(read_page_store(spark, root))
+    create(spark, into, STORE_TABLES)
+    append(now.where(F.col("html").isNotNull()).select("url", "html"), into, "pages", FIRST)
+    append(
+        now.where(F.col("status").isNotNull() | F.col("html").isNull()).select("url", "status"),
+        into, "status", FIRST,
+    )
+
+
+# Which URLs are known
+
+def stored_urls(
+    spark: SparkSession, root: str, before: int | None = None, since: int | None = None
+) -> DataFrame:
     """URLs that were ever stored; no body is read. A URL may come more than once."""
-    pages = read_log(spark, root, "pages", PAGE_SCHEMA).select("url")
-    return pages.unionByName(read_log(spark, root, "status", STATUS_SCHEMA).select("url"))
+    pages = read_table(spark, root, "pages", PAGE_SCHEMA, before, since).select("url")
+    return pages.unionByName(read_table(spark, root, "status", STATUS_SCHEMA, before, since).select("url"))
 
 
-def fold_store(spark: SparkSession, root: str) -> int | None:
-    """Write the current rows as one commit, from which reading starts."""
-    now = settle(read_page_store(spark, root))
-    others = {t for c in commits(spark, root) for t in c.tables} - {"pages", "status", "gone"}
-    if others:
-        raise ValueError(f"the folder also keeps {sorted(others)}; fold those with it")
-    frames = {
-        "pages": now.where(F.col("html").isNotNull()).select("url", "html"),
-        "status": now.where(F.col("status").isNotNull() | F.col("html").isNull()).select("url", "status"),
-    }
-    return commit(spark, root, frames, fold=True)
-
-
-def fold_when(spark: SparkSession, root: str, every: int, fold: Callable[[SparkSession, str], int | None]) -> None:
-    """Fold once ``every`` or more commits have come since the last fold."""
-    done = commits(spark, root)
-    since = max((c.number for c in done if c.fold), default=-1)
-    if done and done[-1].number - since >= every:
-        fold(spark, root)
+def write_sketch(urls: DataFrame, root: str, batch: int) -> None:
+    """Keep a sketch of the URLs that a batch adds."""
+    append(key_sketch(urls, "url"), root, "sketch", batch)
+
+
+def load_sketch(spark: SparkSession, root: str, before: int | None = None) -> DataFrame:
+    """One page per page number, out of the sketches of all batches."""
+    return merged_sketch(read_table(spark, root, "sketch", SKETCH_SCHEMA, before))

@@ -85,7 +85,7 @@ def test_unseen_reads_its_pages_once(spark, small):
 def test_bodies_of_the_kept_store_are_not_shuffled(spark, small, tmp_path):
     root = str(tmp_path / "store")
     catalog.keep_store(catalog.stored_pages(spark, small), root)
-    tables.write_pages(catalog.incoming_pages(spark, small), root, ["page_id"])
+    tables.write_pages(catalog.incoming_pages(spark, small), root, ["page_id"], 1)
     text = plan(tables.read_page_store(spark, root))
     for line in text.split("\n"):
         if re.search(r"(?<!Broadcast)Exchange ", line):
