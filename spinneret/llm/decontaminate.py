@@ -4,7 +4,8 @@ Numbers, names and units become typed placeholders, so a question keeps its
 template when its parameters change. Windows of template tokens of documents and
 benchmark items meet in a hash join. Along one alignment every slot value of the
 item must stand for one value of the document; windows that break this do not
-count. A document that holds enough of an item's windows leaks it.
+count. A document leaks an item when windows cover enough of the item's tokens, so an
+edit only costs the tokens around it that no whole window reaches.
 """
 
 from pyspark.sql import Column, DataFrame
@@ -17,6 +18,8 @@ from spinneret.operators.scratch import settle
 WINDOW = 5
 LITERALS = 2
 COVERAGE = 0.8
+#: So many covered tokens of one alignment are a leak whatever share of the item they are.
+LONG = 20
 #: Markers in front of slot values; private-use letters, dropped from any input.
 NUMBER, NAME, UNIT = "\ue001", "\ue002", "\ue003"
 MARKERS = "\ue001-\ue003"
@@ -34,14 +37,17 @@ def template_text(text: Column) -> Column:
     """Lower-case tokens one blank apart, each slot value behind its marker.
 
     A token that begins with a digit is a number; a capitalised word that goes
-    on a sentence is a name; a unit stands right behind a number.
+    on a sentence is a name, one in capitals throughout is not; a unit stands right
+    behind a number.
     """
     plain = text
     for marker in (NUMBER, NAME, UNIT):
         plain = F.replace(plain, F.lit(marker), F.lit(""))
+    for blank in ("\n", "\t"):
+        plain = F.replace(plain, F.lit(blank), F.lit(" "))
     # Each pattern looks for its rare character first and around it only then.
     whole = F.regexp_replace(plain, r"[.,:](?=\d)(?<=\d.)", "")
-    named = F.regexp_replace(whole, r"(?=\p{Lu})(?<=[\p{L}\p{N},;] )", NAME)
+    named = F.regexp_replace(whole, r"(?=\p{Lu}\p{Ll})(?<=[\p{L}\p{N},;] )", NAME)
     counted = F.regexp_replace(named, rf"(?=\d)(?<![\p{{L}}\p{{N}}{NAME}])", NUMBER)
     united = F.regexp_replace(
         F.lower(counted), rf"({NUMBER}[\p{{L}}\p{{N}}]+ )({UNITS})(?![\p{{L}}\p{{N}}])", f"$1{UNIT}$2"
@@ -60,11 +66,17 @@ def _telling(window: Column, literals: int) -> Column:
     return slots <= WINDOW - literals
 
 
+def _covered(ats: Column) -> Column:
+    """How many tokens of an item the windows at these places reach."""
+    reached = F.transform(ats, lambda at: F.sequence(at, at + F.lit(WINDOW - 1)))
+    return F.size(F.array_distinct(F.flatten(reached)))
+
+
 def item_windows(benchmark: DataFrame, literals: int = LITERALS) -> DataFrame:
     """``item_id, at, window, size, tokens`` of every telling window of every item.
 
-    ``size`` counts the item's telling windows. An item with fewer than
-    ``WINDOW`` tokens has none and is never found.
+    ``size`` counts the item's tokens in telling windows. An item without such a
+    window, as one with fewer than ``WINDOW`` tokens, is never found.
     """
     annotated = benchmark.where(F.col("text").isNotNull()).select(
         "item_id", template_text(F.col("text")).alias("annotated")
@@ -76,7 +88,7 @@ def item_windows(benchmark: DataFrame, literals: int = LITERALS) -> DataFrame:
     told = F.filter(numbered, lambda w: _telling(w["window"], literals))
     return annotated.select(
         "item_id", F.split("annotated", " ").alias("tokens"), told.alias("told")
-    ).select("item_id", "tokens", F.size("told").alias("size"), F.explode("told").alias("w")).select(
+    ).select("item_id", "tokens", _covered(F.transform("told", lambda w: w["at"])).alias("size"), F.explode("told").alias("w")).select(
         "item_id", "tokens", "size", "w.at", "w.window"
     )
 
@@ -113,11 +125,13 @@ def leaks(
     coverage: float = COVERAGE,
     literals: int = LITERALS,
     text: str = "text",
+    long: int = LONG,
 ) -> DataFrame:
-    """``doc_id, key, item_id, windows, matched, coverage`` of every leaked item.
+    """``doc_id, key, item_id, tokens, matched, coverage`` of every leaked item.
 
-    ``coverage`` is the least share of an item's windows found with consistent
-    slots. NULL and empty texts leak nothing; equal rows (same id and text) give
+    ``coverage`` is the least share of an item's tokens that windows with consistent
+    slots cover; ``long`` tokens along one alignment, a quotation, are enough in any
+    case. NULL and empty texts leak nothing; equal rows (same id and text) give
     one result for both; items with equal text are each reported. Texts are read
     again only for documents that share enough windows.
     """
@@ -128,7 +142,10 @@ def leaks(
         hits.groupBy("doc_id", "key", "item_id", "size")
         .agg(F.array_distinct(F.flatten(F.collect_set("ats"))).alias("all"),
              F.collect_list(F.struct("diagonal", "ats")).alias("lines"))
-        .where(F.size("all") >= F.col("size") * coverage)
+        .where(
+            (_covered(F.col("all")) >= F.col("size") * coverage)
+            | F.exists("lines", lambda x: _covered(x["ats"]) >= long)
+        )
         .drop("all")
     )
     items = windows.select("item_id", F.col("tokens").alias("item_tokens")).distinct()
@@ -169,12 +186,15 @@ def leaks(
     )
     found = (
         consistent.groupBy("doc_id", "key", "item_id", "size")
-        .agg(F.size(F.array_distinct(F.flatten(F.collect_set("ats")))).alias("matched"))
+        .agg(
+            _covered(F.array_distinct(F.flatten(F.collect_set("ats")))).alias("matched"),
+            F.max(_covered(F.col("ats"))).alias("longest"),
+        )
         .withColumn("coverage", F.col("matched") / F.col("size"))
-        .where(F.col("coverage") >= coverage)
+        .where((F.col("coverage") >= coverage) | (F.col("longest") >= long))
     )
     return found.select(
-        "doc_id", "key", "item_id", F.col("size").cast("bigint").alias("windows"),
+        "doc_id", "key", "item_id", F.col("size").cast("bigint").alias("tokens"),
         F.col("matched").cast("bigint").alias("matched"), "coverage",
     )
 

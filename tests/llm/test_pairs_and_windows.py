@@ -156,6 +156,27 @@ def test_verbatim_and_reparameterised_items_leak(spark):
     assert leak_ids(spark, docs) == [(1, 0), (2, 0)]
 
 
+def test_edited_quoted_and_capital_copies_leak(spark):
+    words = ITEM.split()
+    edited = " ".join(words[:14] + ["fruit"] + words[15:])
+    short = "the children of the valley sing softly when seven lanterns glow over the frozen lake"
+    one = short.replace("softly", "loudly")
+    quoted = " ".join(words[:22])
+    docs = [(1, "x " + edited + " y"), (2, ITEM.upper()), (3, ITEM.lower()), (4, "\n".join(words)), (5, quoted),
+            (6, " ".join(words[:12])), (7, "so " + one + " again"), (8, " ".join(words[::2]))]
+    assert leak_ids(spark, docs, [ITEM, short]) == [(1, 0), (2, 0), (3, 0), (4, 0), (5, 0), (7, 1)]
+
+
+def test_clashing_columns_and_very_long_texts_of_decontamination(spark):
+    long = "filler words go here " * 20_000 + ITEM + " filler words go here" * 20_000
+    rows = [(1, long, 1, 2, "a"), (2, "filler words go here " * 30_000, 3, 4, "b")]
+    docs = spark.createDataFrame(rows, DOC + ", key int, item_id int, windows string")
+    benchmark = spark.createDataFrame([(0, ITEM, "z")], "item_id bigint, text string, doc_id string")
+    assert [(r["doc_id"], r["item_id"]) for r in decontaminate.leaks(docs, benchmark).collect()] == [(1, 0)]
+    kept = decontaminate.clean_documents(docs, benchmark)
+    assert kept.columns == docs.columns and [r["doc_id"] for r in kept.collect()] == [2]
+
+
 def test_repeated_rows_and_short_items(spark):
     docs = [(1, ITEM), (1, ITEM), (None, ITEM), (2, "a b c")]
     assert leak_ids(spark, docs, [ITEM, "a b c", ITEM]) == sorted(
