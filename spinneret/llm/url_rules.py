@@ -55,14 +55,12 @@ def judge_urls(
     or one without ``://`` has an empty host and path and fits no rule. Repeated
     rows are judged one by one; other columns of ``pages`` are left out.
 
-    Path prefixes are cut at the lengths that rules have; there are no more of
-    those than characters in the longest rule.
+    Path prefixes are cut at the lengths that rules have, and host suffixes have at
+    most as many labels as the longest rule host; others could not meet a rule.
     """
-    cuts = sorted(
-        row[0]
-        for row in rules.where("host is not null and path is not null")
-        .select(F.length("path")).distinct().collect()
-    )
+    known = rules.where("host is not null and path is not null")
+    cuts = sorted(row[0] for row in known.select(F.length("path")).distinct().collect())
+    most = known.agg(F.max(F.size(F.split("host", r"\.")))).first()[0] or 1
     lengths = F.array(*[F.lit(n) for n in cuts]) if cuts else F.array().cast("array<int>")
     named = {f"_key{i}": F.col(f"`{k}`") for i, k in enumerate(keys)}
     rows = pages.select(
@@ -71,10 +69,8 @@ def judge_urls(
         host_of(F.col(url)).alias("host"),
         path_of(F.col(url)).alias("path"),
     )
-    labels = F.split("host", r"\.")
-    suffixes = F.transform(
-        labels, lambda _, i: F.array_join(F.slice(labels, i + 1, F.size(labels)), ".")
-    )
+    counts = F.sequence(F.lit(1), F.least(F.lit(most), F.regexp_count("host", F.lit(r"\.")) + 1))
+    suffixes = F.transform(counts, lambda n: F.call_function("substring_index", F.col("host"), F.lit("."), -n))
     prefixes = F.transform(
         F.filter(lengths, lambda n: n <= F.length("path")), lambda n: F.substring("path", F.lit(1), n)
     )
