@@ -69,7 +69,9 @@ def bounded_sample(df: DataFrame, size: int, *key: Column, seed: int) -> DataFra
     """
     total = df.count()
     near = df.where(share_of_hash(*key, seed=seed) < min(1.0, 4 * size / max(total, 1)))
-    return near.orderBy(F.xxhash64(F.lit(seed), *key), *key).limit(size)
+    picked = near.orderBy(F.xxhash64(F.lit(seed), *key), *key).limit(size)
+    # One task picks them; what is done with them is dealt out again.
+    return picked.repartition(df.sparkSession.sparkContext.defaultParallelism)
 
 
 def share_of_hash(*columns: Column, seed: int) -> Column:

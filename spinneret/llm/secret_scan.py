@@ -11,7 +11,7 @@ from math import log
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from spinneret.llm.columns import body, bounded_sample
+from spinneret.llm.columns import SPAN_TYPE, apart_from, body, bounded_sample, joined_spans, match_spans
 
 # Kinds in their order, and their patterns.
 KINDS = ("assign", "access", "hex", "markov")
@@ -28,7 +28,6 @@ LEAST_TOKEN = 20
 LEAST_RATIO = 12.0
 SAMPLE_DOCUMENTS = 2000
 SAMPLE_STRINGS = 6000
-SPAN_TYPE = "array<struct<start:bigint,rank:int,end:bigint>>"
 
 
 def token_pattern(least: int = LEAST_TOKEN) -> str:
@@ -119,50 +118,11 @@ def likelihood_ratio(token: Column, ratios: list[float]) -> Column:
 
 # Scan
 
-def _spans(text: Column, pattern: str, rank: int, keep=None) -> Column:
-    """Spans of the kept matches; places are code points, the end is exclusive.
-
-    What lies between matches and the matches themselves alternate, so their
-    lengths give the places. Texts without a match are passed over quickly.
-    """
-    found = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    tested = F.transform(found, lambda m: F.lit(True)) if keep is None else keep(text, found)
-    parts = F.arrays_zip(
-        F.transform(F.split(text, pattern, -1), F.length).alias("gap"),
-        F.transform(found, F.length).alias("size"),
-        tested.alias("kept"),
-    )
-
-    def along(state, part):
-        start = state["place"] + part["gap"]
-        end = start + F.coalesce(part["size"], F.lit(0))
-        span = F.struct(
-            start.alias("start"), F.lit(rank).alias("rank"), end.alias("end")
-        )
-        spans = F.when(part["kept"], F.array_append(state["spans"], span)).otherwise(state["spans"])
-        return F.struct(end.alias("place"), spans.alias("spans"))
-
-    nothing = F.array().cast(SPAN_TYPE)
-    empty = F.struct(F.lit(0).cast("bigint").alias("place"), nothing.alias("spans"))
-    walked = F.aggregate(parts, empty, along)["spans"]
-    return F.when(text.rlike(pattern), walked).otherwise(nothing)
-
-
-def _long_value(text: Column, found: Column) -> Column:
+def _long_value(text: Column) -> Column:
     values = F.regexp_extract_all(text, F.lit(ASSIGN), F.lit(2))
     return F.transform(values, lambda v: F.length(v) >= ASSIGN_LEAST)
 
 
-def _joined(spans: Column) -> Column:
-    named = F.transform(
-        spans,
-        lambda s: F.concat_ws(
-            ":", F.element_at(F.array(*[F.lit(k) for k in KINDS]), s["rank"]), s["start"], s["end"]
-        ),
-    )
-    return F.array_join(named, ",")
-
-
 def scan_secrets(
     docs: DataFrame,
     ratios: list[float],
@@ -177,7 +137,7 @@ def scan_secrets(
     or both cases, whose ratio reaches ``least_ratio``, and that meet no pattern
     span. NULL and empty texts have no span; repeated rows stay.
     """
-    def unlike(_, found):
+    def unlike(found):
         mixed = lambda t: (t.rlike("[0-9]") & t.rlike("[A-Za-z]")) | (t.rlike("[a-z]") & t.rlike("[A-Z]"))
         return F.transform(
             found, lambda t: mixed(t) & (likelihood_ratio(t, ratios) >= least_ratio)
@@ -186,20 +146,18 @@ def scan_secrets(
     content = F.col("content")
     found = (
         docs.select("doc_id", body(text).alias("content"))
-        .withColumn("assign", _spans(content, ASSIGN, 1, _long_value))
-        .withColumn("access", _spans(content, ACCESS, 2))
-        .withColumn("hex", _spans(content, HEX, 3))
-        .withColumn("markov", _spans(content, token_pattern(least_token), 4, unlike))
+        .withColumn("assign", match_spans(content, ASSIGN, 1, lambda _: _long_value(content)))
+        .withColumn("access", match_spans(content, ACCESS, 2))
+        .withColumn("hex", match_spans(content, HEX, 3))
+        .withColumn("markov", match_spans(content, token_pattern(least_token), 4, unlike))
     )
     base = F.array_sort(F.concat("assign", "access", "hex"))
-    added = F.filter(
-        "markov",
-        lambda m: ~F.exists("base", lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"])),
-    )
+    nothing = F.array().cast(SPAN_TYPE)
+    added = F.when(F.size("markov") > 0, apart_from(F.col("markov"), F.col("base"))).otherwise(nothing)
     return (
         found.withColumn("base", base)
         .withColumn("added", added)
         .select("doc_id", "assign", "access", "hex", "base", "added",
-                _joined(F.col("base")).alias("base_spans"),
-                _joined(F.array_sort(F.concat("base", "added"))).alias("spans"))
+                joined_spans(F.col("base"), KINDS).alias("base_spans"),
+                joined_spans(F.array_sort(F.concat("base", "added")), KINDS).alias("spans"))
     )

@@ -71,6 +71,22 @@ def test_pattern_spans_equal_brute_force(spark, small, ratios, source):
         assert len(r["hex"]) == sum(k == "hex" for *_, k in want)
 
 
+def test_many_matches_and_labels_take_linear_time(spark, ratios):
+    import time
+
+    text = "token=abcdef9 " * 40_000
+    start = time.monotonic()
+    row = secret_scan.scan_secrets(spark.createDataFrame([(1, text)], DOC), ratios).first()
+    assert len(row["assign"]) == 40_000 and time.monotonic() - start < 30
+    rules = url_rules.rule_frame(spark, queries.URL_RULES)
+    url = "http://" + "a." * 8000 + "example.org/en/1x"
+    pages = spark.createDataFrame([(1, url), (2, "http://org/"), (3, "http://a..org/x")], "page_id bigint, url string")
+    start = time.monotonic()
+    got = {r["page_id"]: (r["rule"], r["verdict"]) for r in url_rules.judge_urls(pages, rules, ["page_id"]).collect()}
+    assert got == {1: ("example.org/en/1", "block"), 2: ("org/", "allow"), 3: ("org/", "allow")}
+    assert time.monotonic() - start < 20
+
+
 def test_markov_finds_random_tokens_and_leaves_identifiers(spark, ratios):
     import base64
     import random
