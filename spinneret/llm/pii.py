@@ -127,7 +127,8 @@ def disclosures(
     only counted for terms that stand beside an entity in ``support`` texts.
     """
     texts = docs.select(body(text).alias("content")).select(*_key(F.col("content")), "content")
-    total = texts.select("k0", "k1").distinct().count()
+    keys = settle(texts.groupBy(F.struct("k0", "k1").alias("key")).agg(F.count("*").alias("copies")))
+    total = keys.count()
     found = settle(entity_contexts(texts, context))
     held = found.select("entity", "k0", "k1").distinct().groupBy("entity").agg(F.count("*").alias("d_entity"))
     bits = F.log2(F.lit(float(max(total, 1))) / F.col("d_entity"))
@@ -141,9 +142,15 @@ def disclosures(
         .where(F.col("d_both") >= support)
     )
     wanted = settle(pairs.select("term").distinct())
-    each = texts.select("k0", "k1", F.explode(terms_of(F.col("content"))).alias("term"))
+    each = texts.select(F.struct("k0", "k1").alias("key"), F.explode(terms_of(F.col("content"))).alias("term"))
+    marked = lookup_join(
+        lookup_join(each, wanted, "term", "inner"), keys.where(F.col("copies") > 1), "key", "left"
+    )
+    # Only of texts with copies must each be told apart; all others are counted in their task.
+    copied = F.when(F.col("copies").isNotNull(), F.col("key")).alias("copied")
     counts = (
-        lookup_join(each, wanted, "term", "inner").distinct().groupBy("term").agg(F.count("*").alias("d_term"))
+        marked.groupBy("term", copied).agg(F.count("*").alias("rows"))
+        .groupBy("term").agg(F.sum(F.when(F.col("copied").isNull(), F.col("rows")).otherwise(1)).alias("d_term"))
     )
     n = F.lit(float(max(total, 1)))
     known = settle(
