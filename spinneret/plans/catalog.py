@@ -888,10 +888,10 @@ def union_distinct(spark, sf_dir):
 
 # Templates and rules
 
-TEMPLATES = ["https://play.example.com/?url=", "https://view.example.net:4433/v.php?v="]
+TEMPLATES = ["https://mirror.example.com/open?target=", "https://reader.example.net/page#from="]
 SITES = {
-    "video": "https://video.example.com/so/q_",
-    "clips": "https://clips.example.org/search?keyword=",
+    "atlas": "https://atlas.example.com/find/",
+    "herbarium": "https://plants.example.org/list?name=",
 }
 
 
