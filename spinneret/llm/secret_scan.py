@@ -52,6 +52,8 @@ def identifier_strings(docs: DataFrame, count: int, text: str = "text") -> DataF
     """Strings labelled ordinary: words of a sample of ``count`` documents, alone and
     joined into snake case, camel case and paths. The sample is fixed by a hash."""
     sample = bounded_sample(docs.select(body(text).alias("text")), count, F.col("text"), seed=10)
+    # One task picks the sample; what is done with it is dealt out again.
+    sample = sample.repartition(docs.sparkSession.sparkContext.defaultParallelism)
     words = F.regexp_extract_all("text", F.lit("(?<![A-Za-z0-9])[A-Za-z]{2,15}(?![A-Za-z0-9])"), F.lit(0))
     runs = F.transform("words", lambda _, i: F.slice("words", i + 1, F.lit(3)))
     triples = F.filter(runs, lambda run, i: (i % 3 == 0) & (F.size(run) == 3))
