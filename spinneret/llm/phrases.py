@@ -29,10 +29,12 @@ COVERED = 80
 SCALE = 2_000_000
 NO_LANGUAGE = "und"
 #: Words that a task holds before it counts them, and bytes of text taken at once.
-HELD_WORDS = 1 << 20
+HELD_WORDS = 3 << 18
 TEXT_AT_ONCE = 1 << 21
 #: Words whose hashes a task remembers between two counts.
-KNOWN_WORDS = 250_000
+KNOWN_WORDS = 150_000
+#: Rows that go to Spark at once.
+ROWS_AT_ONCE = 1 << 15
 #: The filter of frequent pairs has 2^n bits, about 16 for each pair.
 FILTER_BITS = (16, 26)
 
@@ -100,9 +102,11 @@ def _by_language(
     size = 0
 
     def flush():
-        for lang, parts in held.items():
-            yield from emit(lang, np.concatenate([*parts, np.zeros(1, dtype=np.int64)]), words)
-        held.clear()
+        while held:
+            lang, parts = held.popitem()
+            for rows in emit(lang, np.concatenate([*parts, np.zeros(1, dtype=np.int64)]), words):
+                for at in range(0, rows.num_rows, ROWS_AT_ONCE):
+                    yield rows.slice(at, ROWS_AT_ONCE)
         words.forget()
 
     for batch in batches:
