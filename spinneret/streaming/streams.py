@@ -35,11 +35,12 @@ from spinneret.streaming.state import OUTCOME_SCHEMA, SIGHTING_SCHEMA, outcome_s
 
 
 def read_stream(spark: SparkSession, folder: str, table: str, schema: Any) -> DataFrame:
-    """A Parquet table of a folder as a stream of files."""
+    """A Parquet table of a folder, one file or a folder of files, as a stream of files."""
+    # A pattern that only this name meets: a stream takes a plain path for a folder.
     return (
         spark.readStream.schema(schema)
-        .option("pathGlobFilter", f"{table}.parquet")
-        .parquet(folder)
+        .option("basePath", folder)
+        .parquet(f"{folder}/{table}.parque[t]")
     )
 
 

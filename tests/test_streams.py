@@ -7,6 +7,7 @@ import pytest
 
 from spinneret.operators import frontier as fr
 from spinneret.operators.store import upsert_pages
+from spinneret.plans import catalog
 from spinneret.plans.lifecycles import CrawlSettings
 from spinneret.sources import tables
 from spinneret.sources.tables import load_frontier, load_next_batch, read_page_store, read_table, save_frontier
@@ -246,3 +247,30 @@ def test_hub_list_is_read_afresh(spark, tmp_path):
     listed("http://b.cn/")
     write_part(spark, [(2, "http://a.cn/", page)], schema, folder, "p1")
     assert run() == {(1, "http://a.cn/x"), (2, "http://b.cn/y")}
+
+
+@pytest.mark.parametrize("shape", ["file", "folder", "partitions"])
+def test_a_table_is_a_stream_whether_file_or_folder(spark, tmp_path, shape):
+    rows = spark.range(60).selectExpr("id", "concat('t', id) AS t", "id % 3 AS k")
+    path = f"{tmp_path}/data/pages.parquet"
+    if shape == "file":
+        (tmp_path / "data").mkdir()
+        rows.toPandas().to_parquet(path)
+    else:
+        writer = rows.repartition(4).write
+        (writer.partitionBy("k") if shape == "partitions" else writer).parquet(path)
+    rows.limit(5).write.parquet(f"{tmp_path}/data/pages.parquet2")
+    schema = spark.read.parquet(path).schema
+    found = streams.read_stream(spark, f"{tmp_path}/data", "pages", schema).selectExpr("id", "t", "bigint(k) AS k")
+    out = str(tmp_path / "out")
+    streams.drain(streams.write_batches(found, out, str(tmp_path / "check"), "append"))
+    got = spark.read.parquet(out).select("id", "t", "k")
+    assert sorted(got.collect()) == sorted(rows.collect())
+
+
+@pytest.mark.parametrize("name", ["stream_hub_refresh", "stream_upsert"])
+def test_stream_queries_read_a_folder_of_parts(spark, small, tmp_path, name):
+    pages = spark.read.parquet(f"{small}/pages.parquet")
+    pages.repartition(3).write.parquet(f"{tmp_path}/pages.parquet")
+    got, want = (catalog.QUERIES[name](spark, str(folder)) for folder in (tmp_path, small))
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect())) != []
