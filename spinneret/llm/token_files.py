@@ -7,14 +7,13 @@ before it in its file; the sums of earlier files give the place in the whole.
 """
 
 import os
-import re
 import zlib
 from collections.abc import Iterator
-from itertools import chain
 from string import punctuation
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -25,10 +24,12 @@ from spinneret.llm.columns import body, text_key
 END_ID = 2
 #: A segment is closed at so many ids; a chunk of one never holds more.
 SEGMENT = 1 << 21
-DOCUMENTS_AT_ONCE = 400
-KNOWN_PIECES = 1_200_000
+#: Texts are encoded so many at once, or fewer with so many bytes.
+DOCUMENTS_AT_ONCE = 1000
+BYTES_AT_ONCE = 1 << 22
+KNOWN_PIECES = 400_000
 LONGEST_KNOWN = 40
-PIECES_AT_ONCE = 2000
+PIECES_AT_ONCE = 200
 
 SEGMENT_SCHEMA = (
     "part int, segment int, first bigint, n_tokens bigint, doc_ids array<bigint>, "
@@ -37,7 +38,14 @@ SEGMENT_SCHEMA = (
 DOCUMENT_SCHEMA = "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint"
 
 #: White space that the pre-tokenizer would join with a blank or line break next to it.
-JOINED_BLANKS = re.compile(r"[ \n](?:\s|$)|^\s")
+BLANK = r"[\t-\r\x1c-\x20\x{85}\p{Z}]"
+JOINED_BLANKS = rf"[ \n](?:{BLANK}|$)|^{BLANK}"
+PUNCTUATION = frozenset(punctuation)
+
+
+def _strings(texts: pa.Array) -> list[str]:
+    """``to_pylist`` of texts without NULL, without a scalar for each."""
+    return texts.to_numpy(zero_copy_only=False).tolist()
 
 
 class PieceEncoder:
@@ -84,13 +92,14 @@ class PieceEncoder:
         known = self.known
         cores, parts = set(), []
         for piece in pieces:
-            core = piece.rstrip(punctuation)
-            if len(core) < len(piece) and core and (core[-1].isalpha() or core[-1].isdecimal()):
-                parts.append((piece, core, piece[len(core) :]))
-                if core not in known:
-                    cores.add(core)
-            else:
-                cores.add(piece)
+            if piece[-1] in PUNCTUATION:
+                core = piece.rstrip(punctuation)
+                if core and (core[-1].isalpha() or core[-1].isdecimal()):
+                    parts.append((piece, core, piece[len(core) :]))
+                    if core not in known:
+                        cores.add(core)
+                    continue
+            cores.add(piece)
         fresh = list(cores)
         known.update(zip(fresh, self._encode_pieces(fresh)))
         tails = list({tail for _, _, tail in parts} - self.tails.keys())
@@ -98,44 +107,53 @@ class PieceEncoder:
         for piece, core, tail in parts:
             known[piece] = known[core] + self.tails[tail]
 
-    def _separable(self, text: str) -> bool:
-        return not JOINED_BLANKS.search(text) and not any(s in text for s in self.special)
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        """Ids of every text, without an end id, as little-endian unsigned 32-bit integers."""
-        pieces: list[list[str] | None] = []
-        apart: list[str] = []
-        for text in texts:
-            if text and self._separable(text):
-                first, *lines = text.split("\n")
-                head, *rest = first.split(" ")
-                for line in lines:
-                    words = line.split(" ")
-                    words[0] = "\n" + words[0]
-                    rest += words
-                apart.append(head)
-                pieces.append(rest)
-            else:
-                apart.append(text)
-                pieces.append(None)
-        known = self.known
-        wanted = set(chain.from_iterable(p for p in pieces if p is not None))
-        fresh = [p for p in wanted if p not in known]
-        if len(known) + len(fresh) > KNOWN_PIECES + len(wanted):
+    def _coded(self, pieces: list[str]) -> list[bytes]:
+        """Ids of different pieces; what is new among them is learnt."""
+        coded = list(map(self.known.get, pieces))
+        fresh = [i for i, ids in enumerate(coded) if ids is None]
+        if len(self.known) + len(fresh) > KNOWN_PIECES + len(pieces):
             self.known, self.tails = {}, {}
-            known = self.known
-            fresh = list(wanted)
-        self._learn(fresh)
-        get = known.__getitem__
-        coded = [
-            head if p is None else b"".join([head, *map(get, p)])
-            for head, p in zip(self._encode(apart), pieces)
-        ]
-        for piece in fresh:
+            fresh = range(len(pieces))
+        self._learn([pieces[i] for i in fresh])
+        for i in fresh:
+            piece = pieces[i]
+            coded[i] = self.known[piece]
             if len(piece) > LONGEST_KNOWN:
-                del known[piece]
+                del self.known[piece]
         return coded
 
+    def _separable(self, texts: pa.Array) -> pa.Array:
+        blanks = pc.match_substring_regex(texts, JOINED_BLANKS)
+        for special in self.special:
+            blanks = pc.or_(blanks, pc.match_substring(texts, special))
+        return pc.invert(pc.or_(blanks, pc.equal(pc.binary_length(texts), 0)))
+
+    def _encode_apart(self, texts: pa.Array) -> list[bytes]:
+        """Ids of separable texts: each different piece once, put together by their places."""
+        split = pc.split_pattern(pc.replace_substring(texts, "\n", " \n"), " ")
+        heads = self._encode(_strings(pc.list_element(split, 0)))
+        rest = pc.list_slice(split, 1)
+        bounds = rest.offsets.to_numpy()
+        pieces = rest.values.slice(bounds[0], bounds[-1] - bounds[0]).dictionary_encode()
+        coded = self._coded(_strings(pieces.dictionary))
+        flat = np.frombuffer(b"".join(coded), dtype="<u4")
+        sizes = np.fromiter(map(len, coded), dtype=np.int64, count=len(coded)) // 4
+        which = pieces.indices.to_numpy()
+        lengths = sizes[which]
+        ends = np.concatenate([[0], np.cumsum(lengths)])
+        moved = (np.cumsum(sizes) - sizes)[which] - ends[:-1]
+        ids = flat[np.arange(ends[-1]) + np.repeat(moved, lengths)]
+        cuts = ends[bounds - bounds[0]].tolist()
+        return [head + ids[a:b].tobytes() for head, a, b in zip(heads, cuts, cuts[1:])]
+
+    def encode(self, texts: list[str] | pa.Array) -> list[bytes]:
+        """Ids of every text, without an end id, as little-endian unsigned 32-bit integers."""
+        column = texts.cast(pa.large_string()) if isinstance(texts, pa.Array) else pa.array(texts, pa.large_string())
+        apart = self._separable(column)
+        pieced = iter(self._encode_apart(column.filter(apart)))
+        whole = iter(self._encode(_strings(column.filter(pc.invert(apart)))))
+        return [next(pieced if a else whole) for a in apart.to_pylist()]
+
 
 _encoders: dict[str, PieceEncoder] = {}
 
@@ -162,6 +180,17 @@ def _segment(part: int, number: int, first: int, ids: list[int], data: list[byte
     )
 
 
+def _slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """A batch in runs of at most ``DOCUMENTS_AT_ONCE`` rows that begin within the same
+    ``BYTES_AT_ONCE`` of text."""
+    sizes = pc.binary_length(batch.column("text")).to_numpy().astype(np.int64)
+    group = (np.cumsum(sizes) - sizes) // BYTES_AT_ONCE
+    edges = np.union1d(np.flatnonzero(np.diff(group)) + 1, np.arange(0, len(group) + 1, DOCUMENTS_AT_ONCE))
+    cuts = np.union1d(edges, [0, len(group)]).tolist()
+    for at, end in zip(cuts, cuts[1:]):
+        yield batch.slice(at, end - at)
+
+
 def _encoded(batches: Iterator[pa.RecordBatch], path: str, end_id: int) -> Iterator[pa.RecordBatch]:
     part = TaskContext.get().partitionId()
     end = np.array([end_id], dtype="<u4").tobytes()
@@ -169,9 +198,8 @@ def _encoded(batches: Iterator[pa.RecordBatch], path: str, end_id: int) -> Itera
     ids: list[int] = []
     data: list[bytes] = []
     for batch in batches:
-        for at in range(0, batch.num_rows, DOCUMENTS_AT_ONCE):
-            some = batch.slice(at, DOCUMENTS_AT_ONCE)
-            coded = encoder(path).encode(some.column("text").to_pylist())
+        for some in _slices(batch):
+            coded = encoder(path).encode(some.column("text"))
             for doc_id, document in zip(some.column("doc_id").to_pylist(), coded):
                 ids.append(doc_id)
                 data.append(document + end)

@@ -225,6 +225,46 @@ def test_odd_rows_in_token_files(spark, tmp_path, monkeypatch):
     assert token_files.read_token_files(spark, str(tmp_path / "none")).count() == 0
 
 
+def test_pieces_are_encoded_as_their_texts(monkeypatch):
+    """Every white space, special tokens and a memory that overflows again and again."""
+    import pyarrow as pa
+    from tokenizers import Tokenizer
+
+    blanks = [chr(c) for c in range(0x3001) if chr(c).isspace()]
+    rng = np.random.default_rng(3)
+    words = ["it's", "a", "(x)", "...", "1,5", "é!", "<|endoftext|>", "wort?!", "\u65b0\u805e", "\U0001f600", "-", "x" * 50]
+    texts = ["", " ", "\n", "a\n", "a b\n\nc", *blanks, *[f"a{x}b {x}c{x}" for x in blanks]]
+    texts += ["".join(str(rng.choice(words)) + str(rng.choice([" ", " ", "\n", *blanks[:3]])) for _ in range(30)) + "z" for _ in range(200)]
+    texts += [" ".join(f"w{n}{i % 7}." for n in range(40)) for i in range(40)]
+    monkeypatch.setattr(token_files, "KNOWN_PIECES", 50)
+    made = token_files.PieceEncoder(queries.tokenizer_path())
+    tokenizer = Tokenizer.from_file(queries.tokenizer_path())
+    want = [tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    for given in (texts, pa.array(texts), pa.array(["cut", *texts]).slice(1)):
+        got = [x for at in range(0, len(texts), 37) for x in made.encode(given[at : at + 37])]
+        assert [np.frombuffer(x, dtype="<u4").tolist() for x in got] == want
+
+
+def test_long_documents_are_encoded_few_at_once(monkeypatch):
+    """What one call gets is bounded by bytes, not by the number of documents alone."""
+    import pyarrow as pa
+
+    texts = ["word " * 20_000, "", "x", "word " * 90_000] * 10
+    batch = pa.record_batch({"doc_id": list(range(len(texts))), "text": texts})
+    seen = []
+
+    class Watched:
+        def encode(self, column):
+            seen.append([len(t) for t in column.to_pylist()])
+            return [b""] * len(column)
+
+    monkeypatch.setattr(token_files, "encoder", lambda path: Watched())
+    monkeypatch.setattr(token_files.TaskContext, "get", lambda: type("T", (), {"partitionId": lambda self: 0})())
+    out = list(token_files._encoded(iter([batch, batch.slice(0, 0)]), "", 2))
+    assert sum(seen, []) == [len(t) for t in texts] and max(map(sum, seen)) < 5_000_000
+    assert out[0].column("doc_ids").to_pylist() == [list(range(len(texts)))]
+
+
 def test_documents_longer_than_a_chunk():
     from unittest.mock import patch
 
