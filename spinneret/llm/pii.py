@@ -118,13 +118,16 @@ def terms_of(text: Column, least: int = LEAST_LETTERS) -> Column:
 
 def disclosures(
     docs: DataFrame, text: str = "text", context: int = CONTEXT, support: int = SUPPORT,
-    least_bits: float = LEAST_BITS,
+    least_bits: float = LEAST_BITS, least: float | None = None,
 ) -> DataFrame:
     """``entity, term, d_entity, d_term, d_both, n, disclosure, k0, k1``: a row for each
     text in whose context of the entity the term stands.
 
     Copies of a text count once. All statistics cover all texts; those of terms are
-    only counted for terms that stand beside an entity in ``support`` texts.
+    only counted for terms that stand beside an entity in ``support`` texts. With ``least``
+    pairs that cannot disclose so much are left out, and their terms are not looked up
+    in all texts: a term stands in no fewer texts than beside entities of any kind, protected or
+    not, which bounds what it discloses. No pair that reaches ``least`` is lost.
     """
     texts = docs.select(body(text).alias("content")).select(*_key(F.col("content")), "content")
     keys = settle(texts.groupBy(F.struct("k0", "k1").alias("key")).agg(F.count("*").alias("copies")))
@@ -141,6 +144,16 @@ def disclosures(
         beside.groupBy("entity", "term").agg(F.first("d_entity").alias("d_entity"), F.count("*").alias("d_both"))
         .where(F.col("d_both") >= support)
     )
+    n = F.lit(float(max(total, 1)))
+    if least is not None:
+        near = found.select("k0", "k1", F.explode(terms_of(F.col("around"))).alias("term"))
+        held_by = (
+            lookup_join(near, settle(pairs.select("term").distinct()), "term", "inner")
+            .distinct().groupBy("term").agg(F.count("*").alias("d_beside"))
+        )
+        most = F.log2(n * F.col("d_both") / (F.col("d_entity") * F.col("d_beside").cast("double")))
+        needed = F.lit(least) * F.log2(n / F.col("d_entity")) - 1e-9
+        pairs = settle(pairs.join(held_by, "term").where(most >= needed).drop("d_beside"))
     wanted = settle(pairs.select("term").distinct())
     each = texts.select(F.struct("k0", "k1").alias("key"), F.explode(terms_of(F.col("content"))).alias("term"))
     marked = lookup_join(
@@ -152,7 +165,6 @@ def disclosures(
         marked.groupBy("term", copied).agg(F.count("*").alias("rows"))
         .groupBy("term").agg(F.sum(F.when(F.col("copied").isNull(), F.col("rows")).otherwise(1)).alias("d_term"))
     )
-    n = F.lit(float(max(total, 1)))
     known = settle(
         pairs.join(counts, "term").withColumn("n", F.lit(total).cast("bigint")).withColumn(
             "disclosure",
@@ -168,7 +180,7 @@ def revealing_terms(docs: DataFrame, text: str = "text", disclosure: float = DIS
 
     There are at most as many as the contexts of that text hold.
     """
-    found = disclosures(docs, text, **options).where(F.col("disclosure") >= disclosure)
+    found = disclosures(docs, text, least=disclosure, **options).where(F.col("disclosure") >= disclosure)
     return settle(
         found.groupBy(F.struct("k0", "k1").alias("key")).agg(F.collect_set("term").alias("terms"))
     )

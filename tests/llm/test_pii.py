@@ -139,6 +139,27 @@ def test_disclosure_equals_brute_force(spark):
     assert want["email:zeb@mail.example", "everyday"] < 0.1
 
 
+def test_terms_that_cannot_reveal_are_not_looked_up(spark, monkeypatch):
+    """The bound drops words that stand beside many entities, and no pair that reaches it."""
+    rows = [(i, f"common own{i} person{i // 4} mail a{i // 4}@b.org now") for i in range(400)]
+    rows += [(i, f"common person{i // 4} nothing{i}") for i in range(400, 800)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    looked = []
+    plain = pii.lookup_join
+
+    def watched(facts, lookup, on, how):
+        if on == "term":
+            looked.append(sorted(r.term for r in lookup.collect()))
+        return plain(facts, lookup, on, how)
+
+    monkeypatch.setattr(pii, "lookup_join", watched)
+    every = pii.disclosures(docs, least_bits=4.0).where(F.col("disclosure") >= 0.8).collect()
+    few = pii.disclosures(docs, least_bits=4.0, least=0.8).where(F.col("disclosure") >= 0.8).collect()
+    assert sorted(map(str, few)) == sorted(map(str, every)) != []
+    pii.revealing_terms(docs, least_bits=4.0)
+    assert "common" in looked[0] and looked[2] == looked[4] == sorted(f"person{k}" for k in range(100))
+
+
 def test_revealing_terms_are_marked_and_replaced(spark):
     rows = texts_with_entities()
     docs = spark.createDataFrame(rows, DOC)
