@@ -113,6 +113,62 @@ def test_quoted_csv_in_many_blocks_of_a_file(spark, tmp_path):
     assert sorted(map(plain, got)) == sorted(map(plain, rows))
 
 
+def records_of(text):
+    """Lines joined to records by the parity of the quotes before them."""
+    found, held = [], []
+    for line in text.removesuffix("\n").split("\n"):
+        held.append(line)
+        if sum(x.count('"') for x in held) % 2 == 0:
+            found.append("\n".join(held).removesuffix("\r"))
+            held = []
+    return [r for r in found if r] + (["\n".join(held).removesuffix("\r")] if held else [])
+
+
+@pytest.mark.parametrize("chunk_bytes", [1, 90, 1 << 14])
+def test_csv_records_over_chunks_blocks_and_files(spark, tmp_path, chunk_bytes):
+    """Escape characters, records longer than a block, empty lines and a quote that nothing ends."""
+    rng = random.Random(9)
+    cells = ["", "a", '"b"', '"\n"', '"c\r\n""\n"', "\x1b", '"\x1bn\n\x1be\x1b"', '"' + "long\n" * 200 + '"', "é" * 90, '"\n\n\n"']
+    texts = ["\r\n".join(",".join(rng.choice(cells) for _ in range(rng.randrange(4))) for _ in range(150)) for _ in range(3)]
+    texts += ['x\n"open\n' + "rest\n" * 300, "\n\n", "no end"]
+    for i, text in enumerate(texts):
+        (tmp_path / f"{i}.csv").write_bytes(text.encode())
+    before = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for k in before:
+            spark.conf.set(k, "500")
+        got = [r.record for r in files.csv_records(spark, str(tmp_path), chunk_bytes).collect()]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sorted(got) == sorted(r for text in texts for r in records_of(text))
+
+
+def shuffled_bytes(node):
+    """Bytes written to shuffles by an executed plan."""
+    kind = node.getClass().getSimpleName()
+    if kind == "AdaptiveSparkPlanExec":
+        return shuffled_bytes(node.executedPlan())
+    if kind.endswith("QueryStageExec"):
+        return shuffled_bytes(node.plan())
+    own = node.metrics().apply("dataSize").value() if kind == "ShuffleExchangeExec" else 0
+    return own + sum(shuffled_bytes(node.children().apply(i)) for i in range(node.children().size()))
+
+
+def test_lines_of_csv_records_are_not_moved(spark, tmp_path):
+    """Records over several lines are joined where they are read; no task gets the lines of a file."""
+    data = "".join(f'"{i}","two\n\nlines {i}"\n' for i in range(40_000))
+    (tmp_path / "a.csv").write_text(data)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "200k")
+    try:
+        found = files.csv_records(spark, str(tmp_path))
+        assert len(found.collect()) == 40_000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert shuffled_bytes(found._jdf.queryExecution().executedPlan()) < len(data) / 10
+
+
 # Charsets
 
 @pytest.mark.parametrize("codec", ["gbk", "gb18030", "gb2312", "big5", "euc_kr"])
