@@ -250,3 +250,35 @@ def test_hot_split_join_evaluates_the_facts_once(spark):
         watched, "k string, id bigint")
     other = spark.createDataFrame([("hot", 1), ("k1", 2)], "k string, v int")
     assert joins.hot_split_join(facts, other, "k", "inner").count() == 400 and read.value == 900
+
+
+# Assets
+
+def test_large_assets_come_in_parts(spark, tmp_path):
+    content = {"a b%20.bin": bytes(range(256)) * 5, "sub/c.bin": b"x" * 128, "d.bin": b"y" * 129}
+    (tmp_path / "sub").mkdir()
+    for name, data in content.items():
+        (tmp_path / name).write_bytes(data)
+    rows = files.read_assets(spark, str(tmp_path), "*.bin", whole=128, part=50).orderBy("name", "at").collect()
+    got = {}
+    for r in rows:
+        before = got.setdefault(r.name, b"")
+        assert r.at == len(before) and r.length == len(content["sub/c.bin" if r.name == "c.bin" else r.name])
+        got[r.name] = before + bytes(r.content)
+    assert got == {name.removeprefix("sub/"): data for name, data in content.items()}
+    assert max(len(r.content) for r in rows if r.length > 128) < 100
+    assert [len(r.content) for r in rows if r.name == "c.bin"] == [128]
+
+
+def test_tables_over_two_gigabytes_or_in_folders_are_assets(spark, small, tmp_path):
+    with open(tmp_path / "lineitem.parquet", "wb") as file:  # a hole, no disk
+        file.write(b"PAR1")
+        file.seek((1 << 31) + 7)
+        file.write(b"TAIL")
+    pages = spark.read.parquet(f"{small}/pages.parquet")
+    pages.repartition(3).write.parquet(f"{tmp_path}/pages.parquet")
+    pages.selectExpr("*", "page_id % 2 AS k").write.partitionBy("k").parquet(f"{tmp_path}/orders.parquet")
+    got = catalog.QUERIES["binary_assets"](spark, str(tmp_path)).collect()
+    assert sorted(map(tuple, got)) == [
+        ("lineitem.parquet", "PAR1", "TAIL"), ("orders.parquet", "PAR1", "PAR1"), ("pages.parquet", "PAR1", "PAR1"),
+    ]
